@@ -1,14 +1,16 @@
 """The query registry: every implemented operator key -> (spark, sf_dir) -> DataFrame."""
 from __future__ import annotations
 
-from tillroll.plans import catalog_lake
+from tillroll.plans import catalog_lake, catalog_star
 from tillroll.plans import oracle
 
 QUERIES = {}
 QUERIES.update(catalog_lake.QUERIES)
+QUERIES.update(catalog_star.QUERIES)
 
 ORACLE_SQL = {}
 ORACLE_SQL.update(oracle.LAKE_SQL)
+ORACLE_SQL.update(oracle.STAR_SQL)
 
 
 def flagship(spark, sf_dir):
