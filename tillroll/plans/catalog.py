@@ -1,18 +1,20 @@
 """The query registry: every implemented operator key -> (spark, sf_dir) -> DataFrame."""
 from __future__ import annotations
 
-from tillroll.plans import catalog_lake, catalog_star, catalog_stream
+from tillroll.plans import catalog_lake, catalog_monitoring, catalog_star, catalog_stream
 from tillroll.plans import oracle
 
 QUERIES = {}
 QUERIES.update(catalog_lake.QUERIES)
 QUERIES.update(catalog_star.QUERIES)
 QUERIES.update(catalog_stream.QUERIES)
+QUERIES.update(catalog_monitoring.QUERIES)
 
 ORACLE_SQL = {}
 ORACLE_SQL.update(oracle.LAKE_SQL)
 ORACLE_SQL.update(oracle.STAR_SQL)
 ORACLE_SQL.update(oracle.STREAM_SQL)
+ORACLE_SQL.update(oracle.MONITORING_SQL)
 
 
 def flagship(spark, sf_dir):
