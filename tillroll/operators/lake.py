@@ -59,7 +59,11 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
 
     Returns the merged rows of the touched days, read back from staging.
     """
-    new = to_processed_layout(new_rows).withColumn("_new", F.lit(1))
+    # Stage the increment once: every later step reads this copy instead of
+    # recomputing the upstream pipeline (and the lineage is cut).
+    new_path = scratch_path(spark, "merge-new")
+    to_processed_layout(new_rows).write.mode("overwrite").parquet(new_path)
+    new = read_processed(spark, new_path).withColumn("_new", F.lit(1))
     exists = path_exists(spark, processed_path)
     touched = new.select(*DATE_PARTS)
     if exists:
