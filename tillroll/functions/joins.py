@@ -1,0 +1,17 @@
+"""Broadcast only behind a size check."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a broadcast side may have (dimension-sized: calendars, regions,
+# touched days, per-partition offsets).  Above it the join shuffles.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``
+    unchanged (the planner then shuffles or lets AQE decide at run time).
+    The check reads at most ``max_rows + 1`` rows."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tillroll import config as C
 from tillroll import schemas
 from tillroll.operators.clean import add_date_parts
+from tillroll.functions.joins import sized_broadcast
 from tillroll.operators.dedup import latest_per_key
 from tillroll.session import scratch_path
 from tillroll.sources.files import delete_path, path_exists
@@ -73,20 +74,21 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
                      .join(new.select("transaction_id").distinct(), "transaction_id", "left_semi")
                      .select(*DATE_PARTS))
             touched = touched.unionByName(moved)
-        touched = touched.distinct()
-        # one row per calendar day: bounded by the calendar, not by the data
-        old = existing.join(F.broadcast(touched), DATE_PARTS, "left_semi").withColumn("_new", F.lit(0))
+    touched_path = scratch_path(spark, "merge-touched")
+    touched.distinct().write.mode("overwrite").parquet(touched_path)
+    touched = spark.read.parquet(touched_path)
+    if exists:
+        # one row per touched day (bounded by the calendar); broadcast after a
+        # size check, so the semi join prunes partitions of the processed scan
+        old = existing.join(sized_broadcast(touched), DATE_PARTS, "left_semi").withColumn("_new", F.lit(0))
         merged = old.unionByName(new)
     else:
-        touched = touched.distinct()
         merged = new
     merged = latest_per_key(merged, prefer=[F.col("_new")]).drop("_new")
     merged = to_processed_layout(merged)
 
     staging = scratch_path(spark, "merge-staging")
     merged.write.mode("overwrite").parquet(staging)
-    touched_path = scratch_path(spark, "merge-touched")
-    touched.write.mode("overwrite").parquet(touched_path)
     staged = read_processed(spark, staging)
     write_partitioned(staged, processed_path, DATE_PARTS)
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillroll.functions.joins import sized_broadcast
 from tillroll.session import checkpoint_root
 
 _INDEX_BITS = 33  # monotonically_increasing_id = partition << 33 | index in partition
@@ -36,6 +37,6 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "pos
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
     index = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _INDEX_BITS)
-    return (frozen.join(F.broadcast(offsets), "_pid")
+    return (frozen.join(sized_broadcast(offsets), "_pid")
             .withColumn(name, (F.col("_off") + index + 1).cast("long"))
             .drop("_pid", "_mid", "_off"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillroll import config as C
 from tillroll.functions.columns import date_key, null_safe_differs
+from tillroll.functions.joins import sized_broadcast
 from tillroll.operators.positions import with_position
 from tillroll.session import scratch_path
 from tillroll.sources.files import path_exists
@@ -188,7 +189,8 @@ def fact_transactions(stg: DataFrame, customers: DataFrame, regions: DataFrame)
     """Fact rows with surrogate keys.  Rows whose region has no dimension row
     are dropped by the inner join (the integrity checks surface that)."""
     looked_up = scd2_lookup(stg, customers)
-    r = F.broadcast(regions.select("region_key", F.col("region_code")))  # one row per region
+    # no hint: AQE sees the distinct-region side's real size at run time
+    r = regions.select("region_key", F.col("region_code"))
     j = looked_up.join(r, looked_up["region"] == r["region_code"], "inner")
     return j.select(
         "transaction_id", date_key(F.col("transaction_date")).alias("date_key"), "customer_key", "region_key",
@@ -208,7 +210,7 @@ def merge_by_key(spark: SparkSession, path: str, increment: DataFrame, key: str,
     existing = spark.read.schema(increment.schema).parquet(path)
     same_keys = existing.join(increment.select(key), key, "left_semi").select(*parts)
     touched = increment.select(*parts).unionByName(same_keys).distinct()
-    old = existing.join(F.broadcast(touched), parts, "left_semi").join(increment.select(key), key, "left_anti")
+    old = existing.join(sized_broadcast(touched), parts, "left_semi").join(increment.select(key), key, "left_anti")
     merged = old.unionByName(increment)
     staging = scratch_path(spark, "fact-merge-staging")
     merged.write.mode("overwrite").partitionBy(*parts).parquet(staging)
@@ -228,8 +230,8 @@ def _count_as(df: DataFrame, name: str, col: str = "violations") -> DataFrame:
 def fk_orphans(fact: DataFrame, customers: DataFrame, regions: DataFrame, dates: DataFrame) -> DataFrame:
     """Fact rows whose key has no dimension row, per foreign key."""
     return (_count_as(fact.join(customers.select("customer_key"), "customer_key", "left_anti"), "fk_customer")
-            .unionByName(_count_as(fact.join(F.broadcast(regions.select("region_key")), "region_key", "left_anti"), "fk_region"))
-            .unionByName(_count_as(fact.join(F.broadcast(dates.select("date_key")), "date_key", "left_anti"), "fk_date")))
+            .unionByName(_count_as(fact.join(regions.select("region_key"), "region_key", "left_anti"), "fk_region"))
+            .unionByName(_count_as(fact.join(dates.select("date_key"), "date_key", "left_anti"), "fk_date")))
 
 
 def duplicate_key_count(df: DataFrame, key: str, name: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tillroll import config as C
 from tillroll import schemas
 from tillroll.functions.columns import any_rule_broken
+from tillroll.functions.joins import sized_broadcast
 from tillroll.operators import aggregates as agg
 from tillroll.operators.clean import standardise
 from tillroll.operators.dedup import latest_per_key
@@ -67,8 +68,8 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_date: str | None = Non
             merged = merge_into_processed(spark, deduped, paths.processed)
 
             # curated: recompute every month that was touched, from all its days
-            months = merged.select("year", "month").distinct()
-            processed = read_processed(spark, paths.processed).join(F.broadcast(months), ["year", "month"], "left_semi")
+            months = merged.select("year", "month").distinct()  # bounded by the calendar
+            processed = read_processed(spark, paths.processed).join(sized_broadcast(months), ["year", "month"], "left_semi")
             write_partitioned(agg.daily_region_sales(processed), f"{paths.curated}/daily_region_sales",
                               list(cfg.curated_partitions))
             write_partitioned(agg.daily_sales(processed), f"{paths.curated}/daily_sales", list(cfg.curated_partitions))
