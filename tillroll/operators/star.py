@@ -188,10 +188,12 @@ def scd2_lookup(facts: DataFrame, dim: DataFrame, date_col: str = "transaction_d
 def fact_transactions(stg: DataFrame, customers: DataFrame, regions: DataFrame) -> DataFrame:
     """Fact rows with surrogate keys.  Rows whose region has no dimension row
     are dropped by the inner join (the integrity checks surface that)."""
-    looked_up = scd2_lookup(stg, customers)
-    # no hint: AQE sees the distinct-region side's real size at run time
-    r = regions.select("region_key", F.col("region_code"))
-    j = looked_up.join(r, looked_up["region"] == r["region_code"], "inner")
+    # The region side has one row per region: broadcast it (after a size
+    # check) before the customer lookup, so fact rows are never shuffled by a
+    # handful of region values.
+    r = sized_broadcast(regions.select("region_key", F.col("region_code")))
+    with_region = stg.join(r, stg["region"] == r["region_code"], "inner")
+    j = scd2_lookup(with_region, customers)
     return j.select(
         "transaction_id", date_key(F.col("transaction_date")).alias("date_key"), "customer_key", "region_key",
         "store_id", "product_id", "payment_method", "status", "quantity", "unit_price", "amount", "transaction_ts")
