@@ -192,6 +192,21 @@ def file_report_q(spark: SparkSession, sf: str) -> DataFrame:
     return rep.filter(F.col("year") == y)
 
 
+def batch_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The full batch job over the whole landing (first run, then a rerun
+    that finds nothing new); result: the processed table."""
+    from tillroll.plans.batch import BatchPaths, run_batch
+
+    L.raw(spark, sf)
+    root = scratch_path(spark, "batch-run")
+    paths = BatchPaths(landing_for(spark, sf), f"{root}/processed", f"{root}/curated",
+                       f"{root}/quarantine", f"{root}/state")
+    run_batch(spark, paths)
+    if run_batch(spark, paths) is not None:
+        raise RuntimeError("a rerun without new data must not process anything")
+    return read_processed(spark, paths.processed).select(*schemas.PROCESSED_COLUMNS)
+
+
 def schema_drift_q(spark: SparkSession, sf: str) -> DataFrame:
     """Processed as written by an older layout (no currency, amount as double)
     compared with the expected schema."""
@@ -229,4 +244,5 @@ QUERIES = {
     "compact_partition": compact_partition,
     "file_report": file_report_q,
     "schema_drift": schema_drift_q,
+    "batch_run": batch_run,
 }
