@@ -44,3 +44,5 @@ def test_option_builders():
     assert kin["endpointUrl"] == "https://kinesis.ap-south-1.amazonaws.com"
     assert kin["kinesis.executor.maxFetchRecordsPerShard"] == "10"
     assert SP.file_options(5) == {"maxFilesPerTrigger": "5"}
+    sink = SP.kafka_sink_options("b:9098", "out")
+    assert sink["topic"] == "out" and "subscribe" not in sink and sink["kafka.bootstrap.servers"] == "b:9098"

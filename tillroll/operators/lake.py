@@ -143,3 +143,16 @@ def schema_drift(spark: SparkSession, path: str, expected: T.StructType) -> Data
         rows.append((name, e, a, status))
     schema = "column_name string, expected_type string, actual_type string, status string"
     return spark.createDataFrame(rows, schema)
+
+
+def sync_partitions(spark: SparkSession, table: str, path: str, schema: T.StructType,
+                    partitions: Sequence[str]) -> DataFrame:
+    """Register ``path`` as an external partitioned table (if needed), recover
+    the partition folders written since the last sync, and list them.
+    The table's schema is the expected one: drift is reported by
+    ``schema_drift``, never applied here."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+              f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'")
+    spark.catalog.recoverPartitions(table)
+    return spark.sql(f"SHOW PARTITIONS {table}")

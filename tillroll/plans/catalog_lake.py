@@ -192,6 +192,22 @@ def file_report_q(spark: SparkSession, sf: str) -> DataFrame:
     return rep.filter(F.col("year") == y)
 
 
+def partition_sync(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed written, registered as a catalog table, partitions recovered;
+    result: the catalog's partitions as (year, month, day)."""
+    import uuid
+
+    from tillroll.operators.lake import sync_partitions
+
+    path = scratch_path(spark, "processed-sync")
+    write_partitioned(to_processed_layout(_processed(spark, sf)), path, ["year", "month", "day"])
+    table = f"processed_{uuid.uuid4().hex[:10]}"
+    parts = sync_partitions(spark, table, path, schemas.PROCESSED, ["year", "month", "day"])
+    kv = F.split(F.col("partition"), "/")
+    return parts.select(*[F.element_at(F.split(F.element_at(kv, i + 1), "="), 2).alias(c)
+                          for i, c in enumerate(["year", "month", "day"])])
+
+
 def batch_run(spark: SparkSession, sf: str) -> DataFrame:
     """The full batch job over the whole landing (first run, then a rerun
     that finds nothing new); result: the processed table."""
@@ -245,4 +261,5 @@ QUERIES = {
     "file_report": file_report_q,
     "schema_drift": schema_drift_q,
     "batch_run": batch_run,
+    "partition_sync": partition_sync,
 }

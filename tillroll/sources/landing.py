@@ -23,7 +23,7 @@ _CSV_OPTIONS = {
 def write_landing(raw: DataFrame, path: str) -> str:
     """Land raw text rows as header CSV, one folder per ingest_date."""
     (raw.select(*schemas.RAW_COLUMNS, "ingest_date")
-     .repartition("ingest_date")
+     .hint("rebalance", "ingest_date")  # ~one file per day; AQE splits an oversized day
      .write.mode("overwrite").options(**_CSV_OPTIONS)
      .partitionBy("ingest_date").csv(path))
     return path
