@@ -22,16 +22,16 @@ STD_OUT = [*schemas.RAW_COLUMNS, "ingest_date"]
 
 
 def raw_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return L.raw(spark, sf).select(*RAW_OUT)
+    return L.raw(spark, sf, with_source=False).select(*RAW_OUT)
 
 
 def incremental_extract(spark: SparkSession, sf: str) -> DataFrame:
-    L.raw(spark, sf)
+    L.raw(spark, sf, with_source=False)
     return extract(spark, landing_for(spark, sf), watermark=L.WATERMARK).select(*RAW_OUT)
 
 
 def backfill_extract(spark: SparkSession, sf: str) -> DataFrame:
-    L.raw(spark, sf)
+    L.raw(spark, sf, with_source=False)
     return extract(spark, landing_for(spark, sf), run_date=L.BACKFILL_DATE, watermark=L.WATERMARK).select(*RAW_OUT)
 
 
@@ -40,7 +40,7 @@ def standardise_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def date_normalise(spark: SparkSession, sf: str) -> DataFrame:
-    r = L.raw(spark, sf)
+    r = L.raw(spark, sf, with_source=False)
     ts = parse_ts(F.nullif(F.trim("transaction_ts"), F.lit("")))
     return r.select("transaction_id", F.col("transaction_ts").alias("transaction_ts_text"),
                     ts.alias("transaction_ts"), F.to_date(ts).alias("transaction_date"))
@@ -122,7 +122,7 @@ def partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 def next_watermark(spark: SparkSession, sf: str) -> DataFrame:
     """New watermark = greatest(previous, max ingest_date read): a backfill of
     an old day never moves the watermark back."""
-    L.raw(spark, sf)
+    L.raw(spark, sf, with_source=False)
     land = landing_for(spark, sf)
     prev = F.lit(L.WATERMARK)
     inc = extract(spark, land, watermark=L.WATERMARK, with_source=False).agg(F.max("ingest_date").alias("m"))
@@ -149,7 +149,7 @@ def watermark_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Commit the state row of a full run and read it back."""
     state = scratch_path(spark, "state")
     m = run_metrics(spark, sf).first().asDict()
-    last = L.raw(spark, sf).agg(F.max("ingest_date")).first()[0]
+    last = L.raw(spark, sf, with_source=False).agg(F.max("ingest_date")).first()[0]
     write_watermark(spark, state, str(last), dict(m, job=C.LakeConfig.job_name, duration_sec=0.0))
     return read_state(spark, state).select("job", "rows_read", "rows_valid", "rows_quarantined",
                                            "duplicates_removed", "last_ingest_date")
@@ -213,7 +213,7 @@ def batch_run(spark: SparkSession, sf: str) -> DataFrame:
     that finds nothing new); result: the processed table."""
     from tillroll.plans.batch import BatchPaths, run_batch
 
-    L.raw(spark, sf)
+    L.raw(spark, sf, with_source=False)
     root = scratch_path(spark, "batch-run")
     paths = BatchPaths(landing_for(spark, sf), f"{root}/processed", f"{root}/curated",
                        f"{root}/quarantine", f"{root}/state")

@@ -95,11 +95,11 @@ def h3(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def h4a(spark: SparkSession, sf: str) -> DataFrame:
-    return duplicate_keys(L.raw(spark, sf).drop("source_file"))
+    return duplicate_keys(L.raw(spark, sf, with_source=False))
 
 
 def h4b(spark: SparkSession, sf: str) -> DataFrame:
-    raw = L.raw(spark, sf).drop("source_file")
+    raw = L.raw(spark, sf, with_source=False)
     return duplicate_rows(raw, tiebreak=H4B_TIEBREAK).select(*RAW_COLUMNS, "ingest_date", "rn", "copies")
 
 

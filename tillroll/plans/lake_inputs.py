@@ -22,15 +22,16 @@ OVERWRITE_MONTH = ("1997", "06")
 COMPACT_MONTH = ("1997", "06")
 MOVED_ID_RESIDUE = 101  # every 101st order is re-sent one day later (moves partition)
 
-_FRAMES: dict[tuple[str, str], DataFrame] = {}
+_FRAMES: dict[tuple[str, str, bool], DataFrame] = {}
 
 
-def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing scan, memoised per session so the folder listing is reused."""
+def raw(spark: SparkSession, sf_dir: str, with_source: bool = True) -> DataFrame:
+    """The landing scan, memoised per session so the folder listing is reused.
+    ``with_source`` adds the lineage column ``source_file`` (file metadata)."""
     pin_session(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, with_source)
     if key not in _FRAMES:
-        _FRAMES[key] = read_landing(spark, landing_for(spark, sf_dir))
+        _FRAMES[key] = read_landing(spark, landing_for(spark, sf_dir), with_source)
     return _FRAMES[key]
 
 
