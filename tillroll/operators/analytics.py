@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll import config as C
-from tillroll.functions.columns import date_key
 from tillroll.functions.joins import sized_broadcast
 
 
@@ -91,7 +90,3 @@ def h5_dormant_customers(fact: DataFrame, customers: DataFrame, dates: DataFrame
     return dormant.select(
         "customer_id", "customer_name", "customer_email", "last_transaction_date",
         F.date_diff(F.lit(as_of), F.col("last_transaction_date")).cast("int").alias("days_since_last_txn"))
-
-
-def fact_date_key(col: str = "transaction_date"):
-    return date_key(F.col(col))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll import config as C
 from tillroll.session import pin_session, scratch_path
 from tillroll.streaming import payloads as P
 from tillroll.streaming import pipeline as SP
