@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tillroll import config as C
 from tillroll import schemas
 from tillroll.operators.clean import add_date_parts
-from tillroll.functions.joins import sized_broadcast
+from tillroll.functions.joins import BROADCAST_MAX_ROWS
 from tillroll.operators.dedup import latest_per_key
 from tillroll.session import scratch_path
 from tillroll.sources.files import delete_path, path_exists
@@ -35,6 +35,23 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str],
      .partitionBy(*partitions).parquet(path))
 
 
+def prune_to_partitions(df: DataFrame, touched: DataFrame, partitions: Sequence[str],
+                        max_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of ``df`` in the partition folders listed by ``touched``.
+
+    The folder keys are bounded by the calendar (one per day/month) and
+    size-checked; up to ``max_keys`` they become a static partition filter
+    (``IN`` over the folder columns), so only those folders are listed and
+    read.  Beyond it, a semi join keeps the result right without pruning.
+    """
+    parts = list(partitions)
+    if touched.limit(max_keys + 1).count() > max_keys:
+        return df.join(touched.select(*parts), parts, "left_semi")
+    keys = ["/".join(str(v) for v in r) for r in touched.select(*parts).distinct().toLocalIterator()]
+    folder = F.concat_ws("/", *[F.col(c).cast("string") for c in parts])
+    return df.filter(folder.isin(keys)) if keys else df.limit(0)
+
+
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
     """Explicit schema: year/month/day stay zero-padded strings."""
     return spark.read.schema(schemas.PROCESSED).parquet(path)
@@ -78,9 +95,8 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
     touched.distinct().write.mode("overwrite").parquet(touched_path)
     touched = spark.read.parquet(touched_path)
     if exists:
-        # one row per touched day (bounded by the calendar); broadcast after a
-        # size check, so the semi join prunes partitions of the processed scan
-        old = existing.join(sized_broadcast(touched), DATE_PARTS, "left_semi").withColumn("_new", F.lit(0))
+        # only the touched day folders are listed and read
+        old = prune_to_partitions(existing, touched, DATE_PARTS).withColumn("_new", F.lit(0))
         merged = old.unionByName(new)
     else:
         merged = new

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillroll import config as C
 from tillroll.functions.columns import date_key, null_safe_differs
 from tillroll.functions.joins import sized_broadcast
+from tillroll.operators.lake import prune_to_partitions
 from tillroll.operators.positions import with_position
 from tillroll.session import scratch_path
 from tillroll.sources.files import path_exists
@@ -212,7 +213,10 @@ def merge_by_key(spark: SparkSession, path: str, increment: DataFrame, key: str,
     existing = spark.read.schema(increment.schema).parquet(path)
     same_keys = existing.join(increment.select(key), key, "left_semi").select(*parts)
     touched = increment.select(*parts).unionByName(same_keys).distinct()
-    old = existing.join(sized_broadcast(touched), parts, "left_semi").join(increment.select(key), key, "left_anti")
+    touched_path = scratch_path(spark, "fact-merge-touched")
+    touched.write.mode("overwrite").parquet(touched_path)
+    old = (prune_to_partitions(existing, spark.read.parquet(touched_path), parts)
+           .join(increment.select(key), key, "left_anti"))
     merged = old.unionByName(increment)
     staging = scratch_path(spark, "fact-merge-staging")
     merged.write.mode("overwrite").partitionBy(*parts).parquet(staging)

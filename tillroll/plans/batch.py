@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 from tillroll import config as C
 from tillroll import schemas
 from tillroll.functions.columns import any_rule_broken
-from tillroll.functions.joins import sized_broadcast
 from tillroll.operators import aggregates as agg
 from tillroll.operators.clean import standardise
 from tillroll.operators.dedup import latest_per_key
-from tillroll.operators.lake import merge_into_processed, read_processed, write_partitioned
+from tillroll.operators.lake import merge_into_processed, prune_to_partitions, read_processed, write_partitioned
 from tillroll.operators.quality import check_reject_ratio, split_good_bad, write_quarantine
 from tillroll.session import pin_session
 from tillroll.sources.landing import extract, read_watermark, write_watermark
@@ -69,7 +68,7 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_date: str | None = Non
 
             # curated: recompute every month that was touched, from all its days
             months = merged.select("year", "month").distinct()  # bounded by the calendar
-            processed = read_processed(spark, paths.processed).join(sized_broadcast(months), ["year", "month"], "left_semi")
+            processed = prune_to_partitions(read_processed(spark, paths.processed), months, ["year", "month"])
             write_partitioned(agg.daily_region_sales(processed), f"{paths.curated}/daily_region_sales",
                               list(cfg.curated_partitions))
             write_partitioned(agg.daily_sales(processed), f"{paths.curated}/daily_sales", list(cfg.curated_partitions))
