@@ -187,9 +187,7 @@ def compact_partition(spark: SparkSession, sf: str) -> DataFrame:
 
 def file_report_q(spark: SparkSession, sf: str) -> DataFrame:
     path, _ = _compacted(spark, sf)
-    y, _m = L.COMPACT_MONTH
-    rep = file_report(spark, path, ["year", "month", "day"], schemas.PROCESSED)
-    return rep.filter(F.col("year") == y)
+    return file_report(spark, path, ["year", "month", "day"], schemas.PROCESSED)
 
 
 def partition_sync(spark: SparkSession, sf: str) -> DataFrame:

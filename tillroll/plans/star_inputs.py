@@ -14,7 +14,7 @@ from tillroll.sources.files import path_exists
 from tillroll.sources.fixtures import customer_feed, stg_transactions
 
 AS_OF = dt.date(2001, 8, 1)
-SCD2_CUTOFF = dt.date(2000, 6, 1)
+SCD2_CUTOFF = dt.date(2000, 6, 1)  # used by tests as a mid-history day
 SCD2_INCREMENT_DAYS = 3
 FACT_MERGE_EXISTING_BEFORE = 20010101
 FACT_MERGE_RESENT_FROM = 20001201
@@ -59,13 +59,13 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_with_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History up to the cutoff, then the next three feed days applied one by one."""
+    """The whole feed: history built in one pass up to the last three feed
+    days, then those days applied one by one as daily increments."""
     f = feed(spark, sf_dir)
-    dim = S.scd2_history(f.filter(F.col("transaction_date") < F.lit(SCD2_CUTOFF)))
-    days = [r[0] for r in (f.filter(F.col("transaction_date") >= F.lit(SCD2_CUTOFF))
-                           .select("transaction_date").distinct()
-                           .orderBy("transaction_date").limit(SCD2_INCREMENT_DAYS).collect())]
-    for day in days:  # a handful of daily increments, each a distributed step
+    days = sorted(r[0] for r in (f.select("transaction_date").distinct()
+                                 .orderBy(F.col("transaction_date").desc()).limit(SCD2_INCREMENT_DAYS).collect()))
+    dim = S.scd2_history(f.filter(F.col("transaction_date") < F.lit(days[0])))
+    for day in days:  # three daily increments, each a distributed step
         dim = S.scd2_apply(dim, f, day)
         dim = dim.checkpoint(eager=True)
     return dim
