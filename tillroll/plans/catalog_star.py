@@ -84,28 +84,31 @@ def h1(spark: SparkSession, sf: str) -> DataFrame:
 
 def h2(spark: SparkSession, sf: str) -> DataFrame:
     fact, _, reg, dates = _star(spark, sf)
-    return A.h2_region_sales(fact, reg, dates, SI.AS_OF).withColumn("total_sales", F.col("total_sales").cast("decimal(24,2)"))
+    out = A.h2_region_sales(fact, reg, dates, SI.AS_OF).withColumn("total_sales", F.col("total_sales").cast("decimal(24,2)"))
+    return out.orderBy(F.col("total_sales").desc())
 
 
 def h3(spark: SparkSession, sf: str) -> DataFrame:
     fact, _, _, dates = _star(spark, sf)
     return (A.h3_mom_growth(fact, dates)
             .withColumn("monthly_sales", F.col("monthly_sales").cast("decimal(24,2)"))
-            .withColumn("prev_month_sales", F.col("prev_month_sales").cast("decimal(24,2)")))
+            .withColumn("prev_month_sales", F.col("prev_month_sales").cast("decimal(24,2)"))
+            .orderBy("year_number", "month_number"))
 
 
 def h4a(spark: SparkSession, sf: str) -> DataFrame:
-    return duplicate_keys(L.raw(spark, sf, with_source=False))
+    return duplicate_keys(L.raw(spark, sf, with_source=False)).orderBy(F.col("copies").desc(), "transaction_id")
 
 
 def h4b(spark: SparkSession, sf: str) -> DataFrame:
     raw = L.raw(spark, sf, with_source=False)
-    return duplicate_rows(raw, tiebreak=H4B_TIEBREAK).select(*RAW_COLUMNS, "ingest_date", "rn", "copies")
+    return (duplicate_rows(raw, tiebreak=H4B_TIEBREAK).select(*RAW_COLUMNS, "ingest_date", "rn", "copies")
+            .orderBy("transaction_id", "rn"))
 
 
 def h5(spark: SparkSession, sf: str) -> DataFrame:
     fact, cust, _, dates = _star(spark, sf)
-    return A.h5_dormant_customers(fact, cust, dates, SI.AS_OF)
+    return A.h5_dormant_customers(fact, cust, dates, SI.AS_OF).orderBy(F.col("last_transaction_date").asc_nulls_first())
 
 
 def integrity_report(spark: SparkSession, sf: str) -> DataFrame:
