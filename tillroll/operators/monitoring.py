@@ -2,7 +2,7 @@
 latest records, hourly series and the four alarms, as DataFrame queries."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import config as C
@@ -54,21 +54,31 @@ def quarantine_alarm(metrics: DataFrame, threshold: int = C.QUARANTINE_ALARM_ROW
                     (F.col("max_quarantined") > threshold).alias("breaching")))
 
 
-def _spine(observed: DataFrame, ts_col: str, step: str) -> DataFrame:
-    """Every period between the first and last observed one.  Its size is
-    bounded by the time span (periods), not by the data volume."""
-    b = observed.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi"))
-    return b.select(F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {step}"))).alias(ts_col))
+def _spine(observed: DataFrame, ts_col: str, step_seconds: int) -> DataFrame:
+    """Every period between the first and last observed one, generated as a
+    distributed range (one row per period; no single-task explode)."""
+    spark = observed.sparkSession
+    b = observed.agg(F.unix_seconds(F.min(ts_col)).alias("lo"),
+                     F.unix_seconds(F.max(ts_col)).alias("hi")).first()  # two scalars (epoch seconds)
+    if b["lo"] is None:
+        return observed.select(ts_col).limit(0)
+    n = (b["hi"] - b["lo"]) // step_seconds + 1
+    return spark.range(n).select(F.timestamp_seconds(F.lit(b["lo"]) + F.col("id") * step_seconds).alias(ts_col))
 
 
-def consecutive_breaches(periods: DataFrame, ts_col: str, breach: str, n: int) -> DataFrame:
-    """Periods ending a run of ``n`` consecutive breaching periods.  The
-    window runs over the period spine (bounded by the span, not the data)."""
-    w = Window.orderBy(ts_col).rowsBetween(-(n - 1), 0)
-    return (periods.withColumn("_bad", F.sum(F.col(breach).cast("int")).over(w))
-            .withColumn("_seen", F.count(F.lit(1)).over(w))
-            .filter((F.col("_seen") == n) & (F.col("_bad") == n))
-            .select(ts_col))
+def consecutive_breaches(periods: DataFrame, ts_col: str, breach: str, n: int, step_seconds: int) -> DataFrame:
+    """Periods that end a run of ``n`` consecutive breaching periods.
+
+    Each period is sent to itself and its ``n - 1`` successors, then counted
+    per receiving period (partial aggregation, no global ordering window):
+    a period alarms when it received ``n`` periods, all breaching.
+    """
+    offsets = F.sequence(F.lit(0), F.lit(n - 1))
+    sent = periods.select(F.col(ts_col).alias("_from"), F.col(breach).cast("int").alias("_b"),
+                          F.explode(offsets).alias("_k"))
+    target = F.timestamp_seconds(F.unix_seconds("_from") + F.col("_k") * step_seconds).alias(ts_col)
+    got = sent.groupBy(target).agg(F.count(F.lit(1)).alias("_seen"), F.sum("_b").alias("_bad"))
+    return got.filter((F.col("_seen") == n) & (F.col("_bad") == n)).select(ts_col)
 
 
 def no_data_alarm(metrics: DataFrame, hours: int = C.NO_DATA_ALARM_HOURS) -> DataFrame:
@@ -76,10 +86,10 @@ def no_data_alarm(metrics: DataFrame, hours: int = C.NO_DATA_ALARM_HOURS) -> Dat
     rows_valid is below 1; an hour without a record counts as breaching."""
     per_hour = (metrics.groupBy(F.date_trunc("hour", "run_ts").alias("hour_start"))
                 .agg(F.sum("rows_valid").alias("rows_valid")))
-    spine = _spine(per_hour, "hour_start", "1 HOUR")
+    spine = _spine(per_hour, "hour_start", 3600)
     periods = spine.join(per_hour, "hour_start", "left").withColumn(
         "breach", F.coalesce(F.col("rows_valid") < 1, F.lit(True)))
-    return consecutive_breaches(periods, "hour_start", "breach", hours)
+    return consecutive_breaches(periods, "hour_start", "breach", hours, 3600)
 
 
 def failed_runs_alarm(log: DataFrame, marker: str = C.FAILED_RUN_MARKER) -> DataFrame:
@@ -97,7 +107,7 @@ def stream_lag_alarm(lags: DataFrame, limit_ms: int = C.STREAM_LAG_ALARM_MS,
     lag exceeds ``limit_ms``; a period without data counts as breaching."""
     per = (lags.groupBy(F.window("arrival_ts", "5 minutes").start.alias("period_start"))
            .agg(F.max("lag_ms").alias("max_lag_ms")))
-    spine = _spine(per, "period_start", "5 MINUTES")
+    spine = _spine(per, "period_start", 300)
     p = spine.join(per, "period_start", "left").withColumn(
         "breach", F.coalesce(F.col("max_lag_ms") > limit_ms, F.lit(True)))
-    return consecutive_breaches(p, "period_start", "breach", periods)
+    return consecutive_breaches(p, "period_start", "breach", periods, 300)
