@@ -87,5 +87,7 @@ class StreamConfig:
     window: str = STREAM_WINDOW
     max_files_per_trigger: int = STREAM_MAX_FILES_PER_TRIGGER
     max_records: int = STREAM_MAX_RECORDS
-    shuffle_partitions: int = 8
+    # State partitions, fixed by the checkpoint at the first start.  None: the
+    # session's spark.sql.shuffle.partitions.
+    shuffle_partitions: int | None = None
     extra: dict = field(default_factory=dict)

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll import config as C
 from tillroll.session import pin_session, scratch_path
 from tillroll.streaming import payloads as P
 from tillroll.streaming import pipeline as SP
 
+def _cfg(spark: SparkSession) -> C.StreamConfig:
+    """State partitions sized to the cluster's cores, not to a fixed default."""
+    return C.StreamConfig(shuffle_partitions=max(4, spark.sparkContext.defaultParallelism))
+
+
 CLEAN_COLUMNS = ["transaction_id", "customer_id", "region", "store_id", "amount", "status", "event_time", "event_date"]
 _RUNS: dict[tuple[str, str], dict] = {}
 
@@ -23,7 +29,7 @@ def _staged(spark: SparkSession, sf: str) -> dict:
         inbox = scratch_path(spark, "stream-in")
         P.stage_files(spark, lines, inbox)
         run = SP.start(spark, SP.read_source(spark, "files", f"{inbox}/batch_*", SP.file_options(1)),
-                       scratch_path(spark, "stream-out"))
+                       scratch_path(spark, "stream-out"), cfg=_cfg(spark))
         SP.await_all(run)
         _RUNS[key] = {"lines": lines_path, "run": run, "progress": SP.progress(run)}
     return _RUNS[key]
@@ -91,10 +97,10 @@ def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
     inbox = scratch_path(spark, "stream-restart-in")
     out = scratch_path(spark, "stream-restart-out")
     P.stage_files(spark, lines, inbox, numbers[:half])
-    first = SP.start(spark, SP.read_source(spark, "files", f"{inbox}/batch_*", SP.file_options(1)), out)
+    first = SP.start(spark, SP.read_source(spark, "files", f"{inbox}/batch_*", SP.file_options(1)), out, cfg=_cfg(spark))
     SP.await_all(first)
     P.stage_files(spark, lines, inbox, numbers[half:])
-    second = SP.start(spark, SP.read_source(spark, "files", f"{inbox}/batch_*", SP.file_options(1)), out)
+    second = SP.start(spark, SP.read_source(spark, "files", f"{inbox}/batch_*", SP.file_options(1)), out, cfg=_cfg(spark))
     SP.await_all(second)
     return spark.read.parquet(second.clean_path).select(*CLEAN_COLUMNS)
 
