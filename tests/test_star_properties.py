@@ -59,3 +59,17 @@ def test_fact_lookup_hits_exactly_one_version(spark, sf_small):
     j = S.scd2_lookup(f.select("transaction_id", "customer_id", "transaction_date"), h)
     assert j.count() == f.count()
     assert j.select("transaction_id").distinct().count() == f.count()
+
+
+def test_star_views_answer_sql(spark, sf_small):
+    """The star registered as views: a SQL statement over them equals the
+    DataFrame implementation (monthly completed sales, H3's first step)."""
+    from tillroll.operators import analytics as A
+
+    t = SI.register_views(spark, sf_small)
+    sql = spark.sql("""
+        SELECT d.year_number, d.month_number, SUM(f.amount) AS monthly_sales
+        FROM fact_transactions f JOIN dim_date d ON d.date_key = f.date_key
+        WHERE f.status = 'COMPLETED' GROUP BY d.year_number, d.month_number""")
+    df = A.h3_mom_growth(t["fact"], t["dim_date"]).select("year_number", "month_number", "monthly_sales")
+    assert sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0

@@ -46,3 +46,17 @@ def test_option_builders():
     assert SP.file_options(5) == {"maxFilesPerTrigger": "5"}
     sink = SP.kafka_sink_options("b:9098", "out")
     assert sink["topic"] == "out" and "subscribe" not in sink and sink["kafka.bootstrap.servers"] == "b:9098"
+
+
+def test_cli_stream_once(spark):
+    """The command line runs the file-source pipeline once."""
+    from tillroll.__main__ import main
+
+    inbox = scratch_path(spark, "t-cli-in")
+    out = scratch_path(spark, "t-cli-out")
+    local = inbox.replace("file:", "")
+    os.makedirs(local)
+    with open(f"{local}/b.json", "w") as fh:
+        fh.write(_ev("T9", "north", "10.0", NOW) + "\n")
+    assert main(["stream", "--source", "files", "--input", inbox, "--output", out, "--once"]) == 0
+    assert [r[0] for r in spark.read.parquet(f"{out}/processed/transactions_stream").select("transaction_id").collect()] == ["T9"]

@@ -69,3 +69,16 @@ def scd2_with_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
         dim = S.scd2_apply(dim, f, day)
         dim = dim.checkpoint(eager=True)
     return dim
+
+
+STAR_VIEWS = {"dim_date": "dim_date", "dim_region": "dim_region", "dim_customer": "dim_customer",
+              "fact": "fact_transactions"}
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Expose the loaded star as temporary views (dim_date, dim_region,
+    dim_customer, fact_transactions) so existing SQL runs on it unchanged."""
+    t = tables(spark, sf_dir)
+    for name, view in STAR_VIEWS.items():
+        t[name].createOrReplaceTempView(view)
+    return t
