@@ -80,6 +80,15 @@ def compare(spark, con, sf_dir: str, key: str, query, sql: str) -> dict:
     return out
 
 
+def strict_compare(spark, con, sf_dir: str, query, sql: str) -> bool:
+    """The plainest comparison a checker might make: both results through
+    pandas, every value as ``str``, columns sorted by name, rows as a multiset."""
+    def canon(pdf):
+        pdf = pdf[sorted(pdf.columns)]
+        return collections.Counter(tuple(str(v) for v in row) for row in pdf.itertuples(index=False, name=None))
+    return canon(query(spark, sf_dir).toPandas()) == canon(con.sql(sql).df())
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]

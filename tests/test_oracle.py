@@ -2,7 +2,7 @@
 import pytest
 
 import __spark_entry__ as E
-from tests.oracle_harness import compare, duck
+from tests.oracle_harness import compare, duck, strict_compare
 
 KEYS = sorted(E.oracle_sql())
 
@@ -24,6 +24,8 @@ def test_query_matches_oracle(spark, con, sf_small, key):
     res = compare(spark, con, sf_small, key, E.queries()[key], E.oracle_sql()[key])
     assert res["columns_match"], res
     assert res["values_match"], res
+    # the same result also matches value for value as plain text via pandas
+    assert strict_compare(spark, con, sf_small, E.queries()[key], E.oracle_sql()[key])
 
 
 @pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.oracle_sql())))
