@@ -3,7 +3,7 @@ import os
 import time
 
 from tillroll.session import scratch_path
-from tillroll.streaming import pipeline as SP
+from tillroll.streaming import job as SP
 
 NOW = "2024-01-10T12:00:00"
 OLD = "2024-01-10T07:00:00"  # five hours earlier

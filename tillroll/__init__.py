@@ -2,6 +2,6 @@
 
 Layers: ``sources`` (scans, fixtures, state), ``functions`` (Column builders),
 ``operators`` (DataFrame -> DataFrame steps), ``plans`` (composite jobs and the
-query registry), ``streaming`` (Structured Streaming pipeline).
+query registry), ``streaming`` (Structured Streaming job).
 """
 __all__ = ["config", "schemas", "session"]

@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
         run_batch(spark, paths, a.run_date, cfg)
         return 0
 
-    from tillroll.streaming import pipeline as SP
+    from tillroll.streaming import job as SP
 
     spark = _session(a.local, "tillroll-stream")
     if a.source == "kafka":

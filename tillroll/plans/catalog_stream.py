@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillroll import config as C
 from tillroll.session import pin_session, scratch_path
 from tillroll.streaming import payloads as P
-from tillroll.streaming import pipeline as SP
+from tillroll.streaming import job as SP
 
 def _cfg(spark: SparkSession) -> C.StreamConfig:
     """State partitions sized to the cluster's cores, not to a fixed default."""
