@@ -29,7 +29,7 @@ def dim_customer_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_load(spark: SparkSession, sf: str) -> DataFrame:
-    return SI.build(spark, sf)["fact"]
+    return SI.fact_load(spark, sf)
 
 
 def scd2_history_q(spark: SparkSession, sf: str) -> DataFrame:
