@@ -163,3 +163,18 @@ def test_extract_is_strictly_after_watermark(spark, sf_small):
     assert inc.filter(F.col("ingest_date") == F.lit(day)).count() == 0
     back = extract(spark, land, run_date=day, watermark=day, with_source=False)
     assert back.count() > 0 and back.filter(F.col("ingest_date") != F.lit(day)).count() == 0
+
+
+def test_bounded_relocation_prunes_and_still_moves_nearby_ids(spark, sf_small):
+    """With a relocation window the id scan is partition-pruned; ids moved
+    within the window still leave their old day."""
+    good, _ = L.good_bad(spark, sf_small)
+    path = scratch_path(spark, "t-reloc")
+    base = L.deduped(good.filter(L.ingest_hour(21))).drop("source_file", "transaction_date", "year", "month", "day")
+    merge_into_processed(spark, base, path)
+    moved = L.moved_slice(good).drop("source_file")  # one day later
+    merge_into_processed(spark, moved, path, relocate_within_days=3)
+    got = read_processed(spark, path)
+    assert got.count() == got.select("transaction_id").distinct().count()
+    m = moved.select("transaction_id", F.to_date("transaction_ts").alias("d"))
+    assert got.join(m, "transaction_id").filter(F.col("transaction_date") != F.col("d")).count() == 0

@@ -68,6 +68,9 @@ class LakeConfig:
     max_reject_ratio: float = MAX_REJECT_RATIO
     # Upper bound on rows per written file; a large day becomes several files.
     max_records_per_file: int = 5_000_000
+    # None: find moved transactions over the whole processed table (exact);
+    # N: only within N days of the increment's dates (partition-pruned).
+    relocate_within_days: int | None = None
     processed_partitions: tuple[str, ...] = ("year", "month", "day")
     curated_partitions: tuple[str, ...] = ("year", "month")
     job_name: str = "tillroll-batch"

@@ -62,12 +62,16 @@ def to_processed_layout(df: DataFrame) -> DataFrame:
 
 
 def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_path: str,
-                         relocate_moved_ids: bool = True) -> DataFrame:
+                         relocate_moved_ids: bool = True,
+                         relocate_within_days: int | None = None) -> DataFrame:
     """Upsert ``new_rows`` (standardised, DQ-clean) into the processed layer.
 
     * touched days = days of the new rows, plus (``relocate_moved_ids``) the
       current days of the same ids, so a correction that moves a transaction
-      to another day removes the old copy;
+      to another day removes the old copy.  Finding those days scans the id
+      column of the whole table (exact).  ``relocate_within_days`` limits that
+      scan to day folders within that many days of the increment's dates: use
+      it only where corrections are known to stay within the window;
     * the touched days are read back whole (partition pruning via a semi join
       on the folder columns), unioned with the new rows and deduplicated with
       the new side preferred on equal ingest stamps;
@@ -87,7 +91,13 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
     if exists:
         existing = read_processed(spark, processed_path)
         if relocate_moved_ids:
-            moved = (existing.select("transaction_id", *DATE_PARTS)
+            candidates = existing
+            if relocate_within_days is not None:
+                lo, hi = new.agg(F.min("transaction_date"), F.max("transaction_date")).first()  # two scalars
+                folder_day = F.to_date(F.concat_ws("-", *[F.col(c) for c in DATE_PARTS]))
+                candidates = existing.filter(folder_day.between(
+                    F.date_sub(F.lit(lo), relocate_within_days), F.date_add(F.lit(hi), relocate_within_days)))
+            moved = (candidates.select("transaction_id", *DATE_PARTS)
                      .join(new.select("transaction_id").distinct(), "transaction_id", "left_semi")
                      .select(*DATE_PARTS))
             touched = touched.unionByName(moved)

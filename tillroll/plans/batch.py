@@ -68,7 +68,8 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_date: str | None = Non
 
             deduped = latest_per_key(good, prefer=[F.col("source_file")]).drop("source_file")
             log.info("Deduplication on transaction_id removes %d rows", s["valid"] - s["ids"])
-            merged = merge_into_processed(spark, deduped, paths.processed)
+            merged = merge_into_processed(spark, deduped, paths.processed,
+                                          relocate_within_days=cfg.relocate_within_days)
 
             # curated: recompute every month that was touched, from all its days
             months = merged.select("year", "month").distinct()  # bounded by the calendar
