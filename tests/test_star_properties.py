@@ -73,3 +73,16 @@ def test_star_views_answer_sql(spark, sf_small):
         WHERE f.status = 'COMPLETED' GROUP BY d.year_number, d.month_number""")
     df = A.h3_mom_growth(t["fact"], t["dim_date"]).select("year_number", "month_number", "monthly_sales")
     assert sql.exceptAll(df).count() == 0 and df.exceptAll(sql).count() == 0
+
+
+def test_scd2_same_day_change_to_null_is_kept(spark, sf_small):
+    """An in-place update may set an attribute to NULL."""
+    f = SI.feed(spark, sf_small)
+    day = dt.date(2000, 6, 1)
+    dim = S.scd2_history(f.filter(F.col("transaction_date") < F.lit(day))).checkpoint()
+    one = f.filter(F.col("transaction_date") < F.lit(day)).limit(1).withColumn("transaction_date", F.lit(day))
+    first = S.scd2_apply(dim, one.withColumn("customer_email", F.lit("a@x.org")), day).checkpoint()
+    second = S.scd2_apply(first, one.withColumn("customer_email", F.lit(None).cast("string")), day)
+    cid = one.first()["customer_id"]
+    cur = second.filter((F.col("customer_id") == cid) & F.col("is_current")).select("customer_email").collect()
+    assert [r[0] for r in cur] == [None]

@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from tillroll import config as C
 from tillroll import schemas
-from tillroll.operators.clean import add_date_parts
 from tillroll.functions.joins import BROADCAST_MAX_ROWS
+from tillroll.operators.clean import add_date_parts
 from tillroll.operators.dedup import latest_per_key
 from tillroll.session import scratch_path
 from tillroll.sources.files import delete_path, path_exists
@@ -72,9 +72,9 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
       column of the whole table (exact).  ``relocate_within_days`` limits that
       scan to day folders within that many days of the increment's dates: use
       it only where corrections are known to stay within the window;
-    * the touched days are read back whole (partition pruning via a semi join
-      on the folder columns), unioned with the new rows and deduplicated with
-      the new side preferred on equal ingest stamps;
+    * the touched days are read back whole (only their folders: a static
+      partition filter, see ``prune_to_partitions``), unioned with the new
+      rows and deduplicated with the new side preferred on equal ingest stamps;
     * date parts are recomputed from transaction_ts after the union;
     * the result is staged (lineage cut) and written with dynamic overwrite;
       touched days that end up empty are removed.

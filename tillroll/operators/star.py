@@ -153,18 +153,22 @@ def scd2_apply(dim: DataFrame, feed_day: DataFrame, day: dt.date) -> DataFrame:
     in_place = ~is_new & changed & (F.col("effective_from") == day_lit)
     reopen = ~is_new & changed & (F.col("effective_from") < day_lit)
 
-    updates = cmp.filter(in_place).select("customer_key", *[F.col(c).alias(f"_upd_{c}") for c in CUSTOMER_ATTRS])
-    closes = cmp.filter(reopen).select("customer_key", F.lit(True).alias("_close"))
+    # one row per touched current version: update in place, or close
+    changes = cmp.filter(in_place | reopen).select(
+        "customer_key", in_place.alias("_update"), reopen.alias("_close"),
+        *[F.col(c).alias(f"_upd_{c}") for c in CUSTOMER_ATTRS])
     inserts = cmp.filter(is_new | reopen).select(
         "customer_id", *CUSTOMER_ATTRS, day_lit.alias("effective_from"),
         F.lit(C.OPEN_END_DATE).alias("effective_to"), F.lit(True).alias("is_current"))
 
-    kept = (dim.join(updates, "customer_key", "left").join(closes, "customer_key", "left")
+    upd = F.coalesce(F.col("_update"), F.lit(False))
+    close = F.coalesce(F.col("_close"), F.lit(False))
+    kept = (dim.join(changes, "customer_key", "left")
             .select("customer_key", "customer_id",
-                    *[F.coalesce(F.col(f"_upd_{c}"), F.col(c)).alias(c) for c in CUSTOMER_ATTRS],
+                    *[F.when(upd, F.col(f"_upd_{c}")).otherwise(F.col(c)).alias(c) for c in CUSTOMER_ATTRS],
                     "effective_from",
-                    F.when(F.col("_close"), F.date_sub(day_lit, 1)).otherwise(F.col("effective_to")).alias("effective_to"),
-                    F.when(F.col("_close"), F.lit(False)).otherwise(F.col("is_current")).alias("is_current")))
+                    F.when(close, F.date_sub(day_lit, 1)).otherwise(F.col("effective_to")).alias("effective_to"),
+                    F.when(close, F.lit(False)).otherwise(F.col("is_current")).alias("is_current")))
     max_key = dim.agg(F.coalesce(F.max("customer_key"), F.lit(0)).alias("m")).first()["m"]
     new_rows = with_position(inserts, ["customer_id"], "_pos").select(
         (F.col("_pos") + F.lit(max_key)).cast("long").alias("customer_key"), "customer_id", *CUSTOMER_ATTRS,
