@@ -49,6 +49,22 @@ STREAM_LAG_ALARM_MS = 300_000
 STREAM_LAG_ALARM_PERIODS = 3
 FAILED_RUN_MARKER = "ETL run FAILED"
 LATEST_METRICS_LIMIT = 20
+# Output layout.
+STATE_FILE = "watermark.json"
+CURATED_DAILY_REGION = "daily_region_sales"
+CURATED_DAILY = "daily_sales"
+STREAM_CLEAN_DIR = "processed/transactions_stream"
+STREAM_AGG_DIR = "curated/region_sales_5min"
+STREAM_DLQ_DIR = "dlq/transactions_stream"
+STREAM_CHECKPOINT_DIR = "_checkpoints/transactions_stream"
+# Kafka with IAM authentication, and the Kinesis endpoint pattern.
+KAFKA_IAM_OPTIONS = {
+    "kafka.security.protocol": "SASL_SSL",
+    "kafka.sasl.mechanism": "AWS_MSK_IAM",
+    "kafka.sasl.jaas.config": "software.amazon.msk.auth.iam.IAMLoginModule required;",
+    "kafka.sasl.client.callback.handler.class": "software.amazon.msk.auth.iam.IAMClientCallbackHandler",
+}
+KINESIS_ENDPOINT = "https://kinesis.{region}.amazonaws.com"
 # Analytics windows (days).
 RECENT_SALES_DAYS = 30
 DORMANT_DAYS = 90

@@ -45,8 +45,7 @@ def dq_rules(valid_regions: Iterable[str]) -> dict[str, Column]:
 def broken_rules(valid_regions: Iterable[str]) -> Column:
     """Array of the names of broken rules, in rule order (empty when clean)."""
     rules = dq_rules(valid_regions)
-    return F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]),
-                    lambda x: x.isNotNull())
+    return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]))
 
 
 def any_rule_broken(valid_regions: Iterable[str]) -> Column:

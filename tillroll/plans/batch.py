@@ -74,9 +74,10 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_date: str | None = Non
             # curated: recompute every month that was touched, from all its days
             months = merged.select("year", "month").distinct()  # bounded by the calendar
             processed = prune_to_partitions(read_processed(spark, paths.processed), months, ["year", "month"])
-            write_partitioned(agg.daily_region_sales(processed), f"{paths.curated}/daily_region_sales",
+            write_partitioned(agg.daily_region_sales(processed), f"{paths.curated}/{C.CURATED_DAILY_REGION}",
+                              list(cfg.curated_partitions))
+            write_partitioned(agg.daily_sales(processed), f"{paths.curated}/{C.CURATED_DAILY}",
                               list(cfg.curated_partitions))
-            write_partitioned(agg.daily_sales(processed), f"{paths.curated}/daily_sales", list(cfg.curated_partitions))
         finally:
             std.unpersist()
 
