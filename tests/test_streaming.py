@@ -2,6 +2,8 @@
 import os
 import time
 
+from pyspark.sql import functions as F
+
 from tillroll.session import scratch_path
 from tillroll.streaming import job as SP
 
@@ -60,3 +62,12 @@ def test_cli_stream_once(spark):
         fh.write(_ev("T9", "north", "10.0", NOW) + "\n")
     assert main(["stream", "--source", "files", "--input", inbox, "--output", out, "--once"]) == 0
     assert [r[0] for r in spark.read.parquet(f"{out}/processed/transactions_stream").select("transaction_id").collect()] == ["T9"]
+
+
+def test_status_normalisation_is_optional(spark):
+    """D20: status stays as sent by default; the batch rule is available."""
+    raw = spark.createDataFrame([(_ev("T5", "north", "1.0", NOW).replace("COMPLETED", " completed"),)], "raw string")
+    parsed = SP.parse(raw, stamp=False).withColumn("ingest_time", F.current_timestamp())
+    as_sent = SP.valid_events(parsed).select("status").first()[0]
+    batch_like = SP.valid_events(parsed, normalise_status=True).select("status").first()[0]
+    assert (as_sent, batch_like) == (" completed", "COMPLETED")

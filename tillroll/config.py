@@ -109,4 +109,6 @@ class StreamConfig:
     # State partitions, fixed by the checkpoint at the first start.  None: the
     # session's spark.sql.shuffle.partitions.
     shuffle_partitions: int | None = None
+    # The batch layer upper-cases status; the stream keeps it as sent unless asked.
+    normalise_status: bool = False
     extra: dict = field(default_factory=dict)
