@@ -43,3 +43,21 @@ def test_landing_filter_is_partition_pruned(spark, sf_small):
     p = _plan(df)
     assert "PartitionFilters" in p and "ingest_date" in p
     assert F is not None
+
+
+def test_bucketed_star_aggregates_and_joins_without_shuffling_the_fact(spark, sf_small):
+    from tillroll.plans import star_inputs as SI
+
+    t = SI.bucketed_tables(spark, sf_small, 8)
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle-join path
+    try:
+        per_key = t["fact"].groupBy("customer_key").agg(F.sum("amount").alias("s"))
+        joined = per_key.join(t["dim_customer"], "customer_key")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "Exchange hashpartitioning(customer_key" not in plan, plan
+        assert joined.count() == t["dim_customer"].join(
+            t["fact"].select("customer_key").distinct(), "customer_key").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
