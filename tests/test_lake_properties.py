@@ -178,3 +178,20 @@ def test_bounded_relocation_prunes_and_still_moves_nearby_ids(spark, sf_small):
     assert got.count() == got.select("transaction_id").distinct().count()
     m = moved.select("transaction_id", F.to_date("transaction_ts").alias("d"))
     assert got.join(m, "transaction_id").filter(F.col("transaction_date") != F.col("d")).count() == 0
+
+
+def test_cli_batch_run(spark, sf_small):
+    """The command line runs the whole batch job on a landing folder."""
+    from tillroll.__main__ import main
+    from tillroll.sources.landing import landing_for
+
+    L.raw(spark, sf_small)
+    root = scratch_path(spark, "t-cli-batch")
+    args = ["batch", "--source_path", landing_for(spark, sf_small), "--processed_path", f"{root}/processed",
+            "--curated_path", f"{root}/curated", "--quarantine_path", f"{root}/quarantine",
+            "--state_path", f"{root}/state", "--metrics_path", f"{root}/metrics"]
+    assert main(args) == 0
+    good, _ = L.good_bad(spark, sf_small)
+    assert read_processed(spark, f"{root}/processed").count() == L.deduped(good).count()
+    m = spark.read.parquet(f"{root}/metrics").first()
+    assert m["event"] == "DQ_METRICS" and m["rows_read"] == L.raw(spark, sf_small).count()
