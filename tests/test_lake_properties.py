@@ -195,3 +195,30 @@ def test_cli_batch_run(spark, sf_small):
     assert read_processed(spark, f"{root}/processed").count() == L.deduped(good).count()
     m = spark.read.parquet(f"{root}/metrics").first()
     assert m["event"] == "DQ_METRICS" and m["rows_read"] == L.raw(spark, sf_small).count()
+
+
+def test_files_per_partition(spark, sf_small):
+    """Up to N files per folder with a salt; one file per folder by default."""
+    from tillroll.operators.lake import file_report, write_partitioned
+
+    good, _ = L.good_bad(spark, sf_small)
+    df = L.deduped(good).drop("source_file").filter(F.col("year") == "1997")
+    one, three = scratch_path(spark, "t-fpp1"), scratch_path(spark, "t-fpp3")
+    write_partitioned(df, one, ["year", "month"])
+    write_partitioned(df, three, ["year", "month"], files_per_partition=3)
+    r1 = file_report(spark, one, ["year", "month"]).agg(F.max("n_files"), F.sum("n_rows")).first()
+    r3 = file_report(spark, three, ["year", "month"]).agg(F.max("n_files"), F.sum("n_rows")).first()
+    assert r1[0] == 1 and r3[0] == 3 and r1[1] == r3[1] == df.count()
+
+
+def test_compaction_leaves_one_file_per_day(spark, sf_small):
+    from tillroll import schemas
+    from tillroll.operators.lake import file_report
+    from tillroll.plans.catalog_lake import _compacted
+
+    path, df = _compacted(spark, sf_small)
+    rep = file_report(spark, path, ["year", "month", "day"], schemas.PROCESSED)
+    y, m = L.COMPACT_MONTH
+    in_month = rep.filter((F.col("year") == y) & (F.col("month") == m)).agg(F.max("n_files")).first()[0]
+    elsewhere = rep.filter(~((F.col("year") == y) & (F.col("month") == m))).agg(F.max("n_files")).first()[0]
+    assert in_month == 1 and elsewhere > 1

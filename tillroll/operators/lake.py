@@ -21,14 +21,24 @@ DATE_PARTS = ["year", "month", "day"]
 
 def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str],
                       max_records_per_file: int = C.LakeConfig.max_records_per_file,
-                      mode: str = "overwrite") -> None:
+                      mode: str = "overwrite", files_per_partition: int = 1) -> None:
     """Dynamic partition overwrite: only folders present in ``df`` are replaced.
 
-    ``rebalance`` on the folder columns groups each folder's rows into as few
-    tasks as possible (about one file per small folder) while AQE splits a
-    folder that is too big for one task; ``maxRecordsPerFile`` caps files.
+    Default: ``rebalance`` on the folder columns groups each folder's rows into
+    as few tasks as possible (about one file per small folder) while AQE
+    splits a folder that is too big for one task; ``maxRecordsPerFile`` caps
+    files.  ``files_per_partition`` > 1 spreads each folder over up to that
+    many tasks and files with a salt of the row hash (hashing on the folder
+    columns alone would still send a folder to a single task).  The explicit
+    partition count keeps AQE from coalescing the salted partitions again.
     """
-    (df.hint("rebalance", *partitions)
+    if files_per_partition > 1:
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
+        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), files_per_partition)
+        laid_out = df.repartition(n, *[F.col(c) for c in partitions], salt)
+    else:
+        laid_out = df.hint("rebalance", *partitions)
+    (laid_out
      .write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
@@ -139,12 +149,11 @@ def compact(spark: SparkSession, path: str, partitions: Sequence[str], where: di
     df.write.mode("overwrite").partitionBy(*partitions).parquet(staging)
     staged = spark.read.schema(schema).parquet(staging)
     if files_per_partition > 1:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in staged.columns]), F.lit(files_per_partition))
-        staged = staged.repartition(*[F.col(c) for c in partitions], salt)
+        write_partitioned(staged, path, partitions, files_per_partition=files_per_partition)
     else:
-        staged = staged.repartition(*partitions)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partitions).parquet(path))
+        # exactly one file per folder: hash on the folder columns
+        (staged.repartition(*partitions).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
     return spark.read.schema(schema).parquet(path)
 
 

@@ -172,9 +172,7 @@ def _compacted(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     """Processed written with four files per day, then one month compacted."""
     path = scratch_path(spark, "processed-compact")
     processed = to_processed_layout(_processed(spark, sf))
-    salt = F.pmod(F.xxhash64("transaction_id"), F.lit(4))
-    processed.repartition("year", "month", "day", salt).write.mode("overwrite") \
-        .partitionBy("year", "month", "day").parquet(path)
+    write_partitioned(processed, path, ["year", "month", "day"], files_per_partition=4)
     y, m = L.COMPACT_MONTH
     compact(spark, path, ["year", "month", "day"], {"year": y, "month": m}, files_per_partition=1)
     return path, read_processed(spark, path)
