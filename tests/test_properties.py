@@ -120,3 +120,61 @@ def test_dq_rules_match_python(spark, rows):
                             "transaction_ts": _py_parse(r["transaction_ts"]), "amount": _py_amount(r["amount"]),
                             "region": region})
         assert got[i] == expect, (r, got[i], expect)
+
+
+def _py_scd2(feed):
+    """Brute-force SCD2: last state per customer-day; a version starts on the
+    first day and whenever e-mail or region changes; it ends the day before
+    the next version starts."""
+    by_cust = {}
+    for r in feed:
+        by_cust.setdefault(r["customer_id"], []).append(r)
+    out = []
+    for cid, rows in by_cust.items():
+        last_of_day = {}
+        for r in sorted(rows, key=lambda r: (r["transaction_date"], r["transaction_ts"], r["transaction_id"])):
+            last_of_day[r["transaction_date"]] = r
+        days = sorted(last_of_day)
+        starts, prev = [], None
+        for d in days:
+            r = last_of_day[d]
+            state = (r["customer_email"], r["home_region_code"])
+            if prev is None or state != prev:
+                starts.append(r)
+            prev = state
+        for i, r in enumerate(starts):
+            nxt = starts[i + 1]["transaction_date"] if i + 1 < len(starts) else None
+            out.append((cid, r["customer_name"], r["customer_email"], r["home_region_code"], r["transaction_date"],
+                        nxt - dt.timedelta(days=1) if nxt else C.OPEN_END_DATE, nxt is None))
+    return sorted(out, key=lambda t: (t[0], t[4]))
+
+
+@st.composite
+def feed_row(draw):
+    day = dt.date(2020, 1, 1) + dt.timedelta(days=draw(st.integers(0, 20)))
+    return {
+        "transaction_id": f"T{draw(st.integers(0, 10**6))}",
+        "customer_id": draw(st.sampled_from(["C1", "C2", "C3", "C4"])),
+        "customer_name": draw(st.sampled_from(["a", "b"])),
+        "customer_email": draw(st.sampled_from(["x@e", "y@e", None])),
+        "home_region_code": draw(st.sampled_from(["NORTH", "SOUTH"])),
+        "transaction_date": day,
+        "transaction_ts": dt.datetime.combine(day, dt.time(draw(st.integers(0, 23)), draw(st.integers(0, 59)))),
+    }
+
+
+@SETTINGS
+@given(st.lists(feed_row(), min_size=5, max_size=40, unique_by=lambda r: r["transaction_id"]))
+def test_scd2_history_matches_brute_force(spark, feed):
+    from tillroll.operators.star import scd2_history
+
+    schema = ("transaction_id string, customer_id string, customer_name string, customer_email string, "
+              "home_region_code string, transaction_date date, transaction_ts timestamp")
+    cols = ["transaction_id", "customer_id", "customer_name", "customer_email", "home_region_code",
+            "transaction_date", "transaction_ts"]
+    hist = scd2_history(spark.createDataFrame([tuple(r[c] for c in cols) for r in feed], schema)).collect()
+    got = sorted(((r["customer_id"], r["customer_name"], r["customer_email"], r["home_region_code"],
+                   r["effective_from"], r["effective_to"], r["is_current"]) for r in hist), key=lambda t: (t[0], t[4]))
+    assert got == _py_scd2(feed)
+    keys = [r["customer_key"] for r in sorted(hist, key=lambda r: (r["customer_id"], r["effective_from"]))]
+    assert keys == list(range(1, len(hist) + 1))
