@@ -178,3 +178,46 @@ def test_scd2_history_matches_brute_force(spark, feed):
     assert got == _py_scd2(feed)
     keys = [r["customer_key"] for r in sorted(hist, key=lambda r: (r["customer_id"], r["effective_from"]))]
     assert keys == list(range(1, len(hist) + 1))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["K1", "K2", "K3"]), st.one_of(st.none(), st.integers(0, 5)),
+                          st.integers(0, 3)), min_size=1, max_size=40, unique=True))
+def test_latest_per_key_keeps_newest_then_preferred(spark, rows):
+    """Newest stamp wins (NULL stamps last), then the larger ``prefer`` value."""
+    from tillroll.operators.dedup import latest_per_key
+
+    base = dt.datetime(2024, 1, 1)
+    data = [(k, None if t is None else base + dt.timedelta(hours=t), p) for k, t, p in rows]
+    df = spark.createDataFrame(data, "transaction_id string, ingest_ts timestamp, p int")
+    got = {r["transaction_id"]: (r["ingest_ts"], r["p"]) for r in latest_per_key(df, prefer=[F.col("p")]).collect()}
+    expect = {}
+    for k, ts, p in data:
+        rank = (ts is not None, ts or base, p)
+        if k not in expect or rank > expect[k][0]:
+            expect[k] = (rank, (ts, p))
+    assert got == {k: v for k, (_, v) in expect.items()}
+
+
+@SETTINGS
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=80), st.integers(1, 9))
+def test_positions_are_dense_in_order(spark, values, parts):
+    from tillroll.operators.positions import with_position
+
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "k int, i int")
+    got = [(r["k"], r["i"], r["pos"]) for r in with_position(df, ["k", "i"], "pos", partitions=parts).collect()]
+    expect = [(k, i, n + 1) for n, (k, i) in enumerate(sorted((v, i) for i, v in enumerate(values)))]
+    assert sorted(got) == sorted(expect)
+
+
+@SETTINGS
+@given(st.lists(st.booleans(), min_size=1, max_size=60), st.integers(1, 5))
+def test_consecutive_breaches_match_sliding_window(spark, flags, n):
+    from tillroll.operators.monitoring import consecutive_breaches
+
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(t0 + dt.timedelta(hours=i), b) for i, b in enumerate(flags)],
+                               "hour_start timestamp, breach boolean")
+    got = sorted(r[0] for r in consecutive_breaches(df, "hour_start", "breach", n, 3600).collect())
+    expect = [t0 + dt.timedelta(hours=i) for i in range(n - 1, len(flags)) if all(flags[i - n + 1:i + 1])]
+    assert got == expect
