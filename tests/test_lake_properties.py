@@ -222,3 +222,20 @@ def test_compaction_leaves_one_file_per_day(spark, sf_small):
     in_month = rep.filter((F.col("year") == y) & (F.col("month") == m)).agg(F.max("n_files")).first()[0]
     elsewhere = rep.filter(~((F.col("year") == y) & (F.col("month") == m))).agg(F.max("n_files")).first()[0]
     assert in_month == 1 and elsewhere > 1
+
+
+def test_prune_to_partitions_fallback_equals_pruned_path(spark, sf_small):
+    """Above the key limit the semi join gives the same rows as the IN filter."""
+    from tillroll.operators.lake import DATE_PARTS, prune_to_partitions, write_partitioned
+
+    good, _ = L.good_bad(spark, sf_small)
+    path = scratch_path(spark, "t-prune")
+    write_partitioned(L.deduped(good).drop("source_file").filter(F.col("year") == "1999"), path, DATE_PARTS)
+    table = read_processed(spark, path)
+    touched = table.select(*DATE_PARTS).distinct().limit(5).checkpoint()
+    pruned = prune_to_partitions(table, touched, DATE_PARTS)
+    fallback = prune_to_partitions(table, touched, DATE_PARTS, max_keys=1)
+    import re
+    assert re.search(r"PartitionFilters: \[\(?concat_ws", pruned._jdf.queryExecution().executedPlan().toString())
+    assert pruned.exceptAll(fallback).count() == 0 and fallback.exceptAll(pruned).count() == 0
+    assert pruned.select(*DATE_PARTS).distinct().count() == 5
