@@ -56,7 +56,8 @@ def prune_to_partitions(df: DataFrame, touched: DataFrame, partitions: Sequence[
     """
     parts = list(partitions)
     if touched.limit(max_keys + 1).count() > max_keys:
-        return df.join(touched.select(*parts), parts, "left_semi")
+        # a semi join on named columns moves them first: keep the input's order
+        return df.join(touched.select(*parts), parts, "left_semi").select(*df.columns)
     keys = ["/".join(str(v) for v in r) for r in touched.select(*parts).distinct().toLocalIterator()]
     folder = F.concat_ws("/", *[F.col(c).cast("string") for c in parts])
     return df.filter(folder.isin(keys)) if keys else df.limit(0)
