@@ -1,4 +1,5 @@
 """Plan shape: the physical choices the design relies on."""
+import pytest
 from pyspark.sql import functions as F
 
 from tillroll.plans import catalog_star, lake_inputs as L
@@ -61,3 +62,25 @@ def test_bucketed_star_aggregates_and_joins_without_shuffling_the_fact(spark, sf
             t["fact"].select("customer_key").distinct(), "customer_key").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+
+
+DATA_SIZED = ["standardise", "dq_reasons", "dedup_latest", "run_metrics", "daily_region_sales", "daily_sales",
+              "dim_customer", "scd2_history", "scd2_asof", "fact_load", "h4a_duplicate_keys", "h4b_duplicate_rows",
+              "h5_dormant_customers", "alarm_no_data", "alarm_stream_lag", "event_parse"]
+
+
+@pytest.mark.parametrize("key", DATA_SIZED)
+def test_no_single_partition_over_data(spark, sf_small, key):
+    """Queries over fact-sized inputs never gather rows into one partition.
+    Single-partition exchanges are allowed only over one row per partition:
+    the offsets of the dense-key step, or the partial results of a global
+    aggregate (``keys=[]``) being merged."""
+    from tillroll.plans.catalog import _ALL
+
+    df = _ALL[key](spark, sf_small)
+    df.write.format("noop").mode("overwrite").save()
+    lines = _plan(df).splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            nxt = lines[i + 1]
+            assert "keys=[_pid" in nxt or "HashAggregate(keys=[]," in nxt, (key, lines[i:i + 3])
