@@ -4,7 +4,9 @@ Comparison is order-insensitive: columns sorted by name, values normalised
 (decimals by value, floats to 9 significant digits), rows compared as
 multisets.  Usable from pytest and as a script:
 
-    python tests/oracle_harness.py /root/testdata/sf0.01 [key ...]
+    python tests/oracle_harness.py /root/testdata/sf0.01 [--strict] [key ...]
+
+``--strict`` also compares every key as plain text through pandas.
 """
 from __future__ import annotations
 
@@ -90,6 +92,8 @@ def strict_compare(spark, con, sf_dir: str, query, sql: str) -> bool:
 
 
 def main(argv):
+    strict = "--strict" in argv
+    argv = [a for a in argv if a != "--strict"]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     keys = argv[2:]
     import __spark_entry__ as E
@@ -109,6 +113,8 @@ def main(argv):
         except Exception as e:  # report and continue
             res = {"key": key, "error": repr(e)[:800]}
         ok = res.get("columns_match") and res.get("values_match")
+        if ok and strict:
+            res["strict_match"] = ok = strict_compare(spark, con, sf_dir, qs[key], sqls[key])
         bad += not ok
         print(("OK   " if ok else "FAIL ") + str(res), flush=True)
     print(f"failures: {bad}")
