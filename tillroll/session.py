@@ -56,25 +56,28 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when nothing is configured (local tests) a
-    folder is created and registered, so ``DataFrame.checkpoint`` works too.
+    Only a local master may go without the setting: a folder of this machine
+    is then created and registered.  On any other master executors would not
+    see each other's files there, so an unset folder raises.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = (sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+               or spark.conf.get("spark.checkpoint.dir", None))
     if not current:
-        current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-        if not current:
-            current = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+        if not is_local(sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set on master {sc.master}: "
+                               "scratch data needs a folder that driver and executors share")
+        current = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
     return current.rstrip("/")
 
 
+def is_local(master: str) -> bool:
+    """True for ``local``, ``local[n]``; not for ``local-cluster[...]``."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, run-unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tillroll/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A stable folder under the shared root (for copies made once per input)."""
-    return f"{checkpoint_root(spark)}/tillroll/{name}"
