@@ -1,11 +1,13 @@
 """The registered queries of the training-data operators."""
 from __future__ import annotations
 
-from tillroll.llm import mixing, url_filter
+from tillroll.llm import fingerprints, mixing, token_counts, url_filter
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1,
     "op3_url_filter": url_filter.op3,
     "op6_mix_sources": mixing.op6,
+    "op10_fingerprints": fingerprints.op10,
 }
 
 ORACLE_SQL = {

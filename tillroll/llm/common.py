@@ -1,7 +1,10 @@
 """Helpers shared by the training-data operators."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+import tempfile
+import zipfile
+from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,6 +27,31 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers: Spark sends a zip of
+    its sources to the executors, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    folder = tempfile.TemporaryDirectory()  # the driver's own: Spark serves the file from it
+    path = f"{folder.name}/{root.name}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(path)
+    _SHIPPED[sc.applicationId] = folder
+
+
+def map_batches(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def random_key(*cols: Column | str, seed: str = "") -> Column:
     """MD5 of the columns as text: a random order that is the same in every
     run, partitioning and engine.  NULL counts as the empty text."""
