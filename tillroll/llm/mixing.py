@@ -21,6 +21,8 @@ result; other columns pass through ``mix`` untouched.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,7 +30,6 @@ from tillroll.llm.common import WORD, random_key, running_total, save
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
-SLICE_ROWS = 20_000  # documents a slice of one source's key space holds on average
 
 
 def word_count(text: Column) -> Column:
@@ -62,7 +63,8 @@ def mix(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, max_epochs: float =
     per_source = save(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows")), "mix-sources")
     goals = targets(per_source.drop("_rows"), weights, max_epochs)
     largest = per_source.agg(F.max("_rows")).first()[0] or 1  # one number decides the slicing, not the result
-    placed = running_total(sized, ["source"], ["key", "doc_id", "size"], F.col("size"), -(-largest // SLICE_ROWS), total="_source_total")
+    # the square root: a slice's rows and a source's slices are then equally many
+    placed = running_total(sized, ["source"], ["key", "doc_id", "size"], F.col("size"), math.ceil(math.sqrt(largest)), total="_source_total")
     goals = goals.select(F.col("source").alias("_source"), "source_size", "target")
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long")
