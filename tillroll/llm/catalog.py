@@ -1,13 +1,15 @@
 """The registered queries of the training-data operators."""
 from __future__ import annotations
 
-from tillroll.llm import fingerprints, id_files, mixing, packing, token_counts, url_filter
+from tillroll.llm import fingerprints, id_files, language, mixing, packing, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
     "op3_url_filter": url_filter.op3,
+    "op4_toxicity": toxicity.op4,
     "op5_id_files": id_files.op5,
     "op6_mix_sources": mixing.op6,
+    "op7_language": language.op7,
     "op9_pack": packing.op9,
     "op10_fingerprints": fingerprints.op10,
 }
