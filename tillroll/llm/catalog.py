@@ -1,10 +1,11 @@
 """The registered queries of the training-data operators."""
 from __future__ import annotations
 
-from tillroll.llm import fingerprints, id_files, language, mixing, packing, token_counts, toxicity, url_filter
+from tillroll.llm import embedding_dups, fingerprints, id_files, language, mixing, packing, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
+    "op2_embedding_dups": embedding_dups.op2,
     "op3_url_filter": url_filter.op3,
     "op4_toxicity": toxicity.op4,
     "op5_id_files": id_files.op5,

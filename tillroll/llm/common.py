@@ -89,3 +89,28 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[str], value:
             .join(sums, on)
             .withColumn(before, F.col("_off") + F.col("_in"))
             .drop("_v", "_slice", "_in", "_off", "_ks", *[f"_k{i}" for i in range(len(by))]))
+
+
+def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+    """(node, component): the smallest id that each node of ``edges`` (a, b)
+    reaches.  Alternating large-star and small-star rounds: every node points
+    its neighbours to the smallest one, until all of a component point to one.
+    Aggregations and joins only; each round is written to the shared folder."""
+    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    current = save(pairs, f"{name}-0")
+    state = None
+    while True:
+        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(low, "u")
+        small = (small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        current = save(small, name)
+        check = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if check == state:
+            break
+        state = check
+    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
