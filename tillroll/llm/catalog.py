@@ -1,7 +1,7 @@
 """The registered queries of the training-data operators."""
 from __future__ import annotations
 
-from tillroll.llm import embedding_dups, fingerprints, id_files, language, mixing, packing, token_counts, toxicity, url_filter
+from tillroll.llm import embedding_dups, fingerprints, id_files, language, mixing, ngram_join, packing, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_token_counts": token_counts.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_id_files": id_files.op5,
     "op6_mix_sources": mixing.op6,
     "op7_language": language.op7,
+    "op8_ngram_join": ngram_join.op8,
     "op9_pack": packing.op9,
     "op10_fingerprints": fingerprints.op10,
 }
