@@ -22,11 +22,12 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_batches, random_key, save
+from tillroll.llm.common import map_batches, random_key, save, ship
 from tillroll.llm.toxicity import fold
 
 BUCKETS = 1 << 14
@@ -212,19 +213,23 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1) -> Model:
     return model
 
 
-def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, lang_pred and score of each row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lang, score = model.predict(b.column(len(keep)).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
+def identifier(spark, model: Model):
+    """A column function: text -> struct of lang_pred and score."""
+    ship(spark)
+    known = spark.sparkContext.broadcast(model)  # BUCKETS x languages weights
+
+    @F.pandas_udf("lang_pred string, score double")
+    def identify(text: pd.Series) -> pd.DataFrame:
+        lang, score = known.value.predict(text.tolist())
+        return pd.DataFrame({"lang_pred": lang, "score": score})
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return map_batches(docs.select(*keep, F.col("text").alias("_text")), run, f"{fields}, lang_pred string, score double")
+    return identify
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
     from tillroll.llm.common import read
 
-    docs = read(spark, sf_dir, "documents")
-    return identify(docs, fit(docs)).select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    identify = identifier(spark, fit(docs))
+    return (docs.select("doc_id", identify("text").alias("_found"))
+            .select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "_found.lang_pred", "_found.score"))

@@ -28,11 +28,12 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_batches, random_key, save
+from tillroll.llm.common import map_batches, random_key, save, ship
 
 SAMPLE = 6000          # labelled rows of each class that a model is fitted on, at most
 LEXICON = 4000         # learned words, and as many word beginnings, at most
@@ -243,20 +244,22 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -
     return Model(*lexicons[-1], Trees().fit(x, y, weight), isotonic(unseen, y, weight), constant)
 
 
-def score(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and score double of each row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            s = model.scores([t or "" for t in b.column(len(keep)).to_pylist()])
-            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(s, pa.float64())], [*keep, "score"])
+def scorer(spark, model: Model):
+    """A column function: text -> score double."""
+    ship(spark)
+    known = spark.sparkContext.broadcast(model)  # lexicons and trees of bounded size
+
+    @F.pandas_udf("double")
+    def score(text: pd.Series) -> pd.Series:
+        return pd.Series(known.value.scores([t or "" for t in text]))
 
-    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return map_batches(docs.select(*keep, F.col("text").alias("_text")), run, f"{fields}, score double")
+    return score
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
     from tillroll.llm.common import read
 
-    docs = read(spark, sf_dir, "documents")
-    scored = score(docs, fit(docs, read(spark, sf_dir, "labels")))
-    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    score = scorer(spark, fit(docs, read(spark, sf_dir, "labels")))
+    return (docs.select("doc_id", score("text").alias("score"))
+            .select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
