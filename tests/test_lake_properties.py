@@ -165,21 +165,6 @@ def test_extract_is_strictly_after_watermark(spark, sf_small):
     assert back.count() > 0 and back.filter(F.col("ingest_date") != F.lit(day)).count() == 0
 
 
-def test_bounded_relocation_prunes_and_still_moves_nearby_ids(spark, sf_small):
-    """With a relocation window the id scan is partition-pruned; ids moved
-    within the window still leave their old day."""
-    good, _ = L.good_bad(spark, sf_small)
-    path = scratch_path(spark, "t-reloc")
-    base = L.deduped(good.filter(L.ingest_hour(21))).drop("source_file", "transaction_date", "year", "month", "day")
-    merge_into_processed(spark, base, path)
-    moved = L.moved_slice(good).drop("source_file")  # one day later
-    merge_into_processed(spark, moved, path, relocate_within_days=3)
-    got = read_processed(spark, path)
-    assert got.count() == got.select("transaction_id").distinct().count()
-    m = moved.select("transaction_id", F.to_date("transaction_ts").alias("d"))
-    assert got.join(m, "transaction_id").filter(F.col("transaction_date") != F.col("d")).count() == 0
-
-
 def test_cli_batch_run(spark, sf_small):
     """The command line runs the whole batch job on a landing folder."""
     from tillroll.__main__ import main
@@ -224,18 +209,96 @@ def test_compaction_leaves_one_file_per_day(spark, sf_small):
     assert in_month == 1 and elsewhere > 1
 
 
-def test_prune_to_partitions_fallback_equals_pruned_path(spark, sf_small):
-    """Above the key limit the semi join gives the same rows as the IN filter."""
-    from tillroll.operators.lake import DATE_PARTS, prune_to_partitions, write_partitioned
+def test_prune_to_partitions_reads_only_their_folders(spark, sf_small):
+    import re
+
+    from tillroll.operators.lake import DATE_PARTS, partition_keys, prune_to_partitions, write_partitioned
 
     good, _ = L.good_bad(spark, sf_small)
     path = scratch_path(spark, "t-prune")
     write_partitioned(L.deduped(good).drop("source_file").filter(F.col("year") == "1999"), path, DATE_PARTS)
     table = read_processed(spark, path)
-    touched = table.select(*DATE_PARTS).distinct().limit(5).checkpoint()
-    pruned = prune_to_partitions(table, touched, DATE_PARTS)
-    fallback = prune_to_partitions(table, touched, DATE_PARTS, max_keys=1)
-    import re
+    keys = partition_keys(table, DATE_PARTS)[:5]
+    pruned = prune_to_partitions(table, keys, DATE_PARTS)
     assert re.search(r"PartitionFilters: \[\(?concat_ws", pruned._jdf.queryExecution().executedPlan().toString())
-    assert pruned.exceptAll(fallback).count() == 0 and fallback.exceptAll(pruned).count() == 0
-    assert pruned.select(*DATE_PARTS).distinct().count() == 5
+    assert partition_keys(pruned, DATE_PARTS) == keys
+    assert prune_to_partitions(table, [], DATE_PARTS).count() == 0
+
+
+# --- cases that the fixtures do not reach ---------------------------------
+def _land(spark, path, rows):
+    """rows: (transaction_id, transaction_ts, amount, ingest_date)"""
+    values = {"customer_id": "C1", "customer_name": "A B", "customer_email": "a@b.c", "region": "NORTH", "store_id": "S1", "product_id": "P1",
+              "quantity": "1", "unit_price": "10.00", "currency": "INR", "payment_method": "CARD", "status": "COMPLETED"}
+    full = [tuple({**values, "transaction_id": t, "transaction_ts": ts, "amount": a, "ingest_ts": f"{d} 21:00:00"}.get(c, "x") for c in schemas.RAW_COLUMNS)
+            + (dt.date.fromisoformat(d),) for t, ts, a, d in rows]
+    write_landing(spark.createDataFrame(full, ", ".join(f"{c} string" for c in schemas.RAW_COLUMNS) + ", ingest_date date"), path)
+
+
+def _paths(spark, name):
+    root = scratch_path(spark, name)
+    return BatchPaths(f"{root}/raw", f"{root}/processed", f"{root}/curated", f"{root}/quarantine", f"{root}/state")
+
+
+def test_curated_forgets_a_sale_that_moved_to_another_month(spark):
+    p = _paths(spark, "t-moved")
+    _land(spark, p.source, [("RT1", "2024-06-30 10:00:00", "10.00", "2024-07-01")])
+    run_batch(spark, p)
+    _land(spark, p.source, [("RT1", "2024-07-01 10:00:00", "10.00", "2024-07-02")])
+    run_batch(spark, p, run_date="2024-07-02")
+    got = spark.read.parquet(f"{p.curated}/daily_sales").select("year", "month", "day", F.col("total_sales").cast("double")).collect()
+    assert [(int(r[0]), int(r[1]), int(r[2]), r[3]) for r in got] == [(2024, 7, 1, 10.0)]
+
+
+def test_a_clean_backfill_clears_the_days_rejects(spark):
+    p = _paths(spark, "t-clean-backfill")
+    good = [(f"G{i}", "2024-06-30 10:00:00", "10.00", "2024-07-01") for i in range(20)]
+    _land(spark, p.source, [*good, ("B1", "2024-06-30 10:00:00", "-1", "2024-07-01")])
+    assert run_batch(spark, p)["rows_quarantined"] == 1
+    _land(spark, p.source, good)
+    assert run_batch(spark, p, run_date="2024-07-01")["rows_quarantined"] == 0
+    assert list_dirs(spark, p.quarantine) == []
+
+
+def test_a_damaged_state_raises_and_a_missing_one_is_a_first_run(spark):
+    from tillroll import config as C
+    from tillroll.sources.landing import UnreadableState, write_watermark
+
+    state = scratch_path(spark, "t-state")
+    assert read_watermark(spark, state) is None
+    write_watermark(spark, state, "2024-07-01", {})
+    write_watermark(spark, state, "2024-07-02", {})
+    assert read_watermark(spark, state) == "2024-07-02"
+    spark.createDataFrame([('{"last_ingest_date": "2024-0',)], "value string").write.mode("overwrite").text(f"{state}/{C.STATE_FILE}")
+    with pytest.raises(UnreadableState):
+        read_watermark(spark, state)
+
+
+def test_batch_run_leaves_no_staging(spark):
+    from tillroll.session import checkpoint_root
+
+    p = _paths(spark, "t-staging")
+    _land(spark, p.source, [("RT1", "2024-06-30 10:00:00", "10.00", "2024-07-01")])
+    before = set(list_dirs(spark, f"{checkpoint_root(spark)}/tillroll"))
+    run_batch(spark, p)
+    assert set(list_dirs(spark, f"{checkpoint_root(spark)}/tillroll")) == before
+
+
+def test_scratch_root_raises_off_a_local_master():
+    from tillroll.session import checkpoint_root, is_local
+
+    class Context:
+        master = "local-cluster[3,2,1000]"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    assert is_local("local[8]") and is_local("local") and not is_local(Context.master)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

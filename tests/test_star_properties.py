@@ -86,3 +86,39 @@ def test_scd2_same_day_change_to_null_is_kept(spark, sf_small):
     cid = one.first()["customer_id"]
     cur = second.filter((F.col("customer_id") == cid) & F.col("is_current")).select("customer_email").collect()
     assert [r[0] for r in cur] == [None]
+
+
+def test_fact_merge_moves_keys_empties_partitions_and_drops_repeats(spark):
+    from tillroll.operators.star import merge_by_key
+    from tillroll.session import scratch_path
+    from tillroll.sources.files import list_dirs
+
+    path = scratch_path(spark, "t-fact-merge")
+    schema = "transaction_id string, amount int, month int"
+    merge_by_key(spark, path, spark.createDataFrame([("A", 1, 202401), ("B", 2, 202402)], schema), "transaction_id", ["month"])
+    moved = spark.createDataFrame([("A", 5, 202402), ("A", 4, 202402), ("C", 1, 202403)], schema)
+    for _ in range(2):  # again: the same table
+        got = merge_by_key(spark, path, moved, "transaction_id", ["month"])
+        assert sorted(tuple(r) for r in got.select("transaction_id", "amount", "month").collect()) == [("A", 5, 202402), ("B", 2, 202402), ("C", 1, 202403)]
+    assert sorted(list_dirs(spark, path)) == ["month=202402", "month=202403"]
+
+
+def test_scd2_takes_days_in_any_order(spark):
+    import datetime as dt
+
+    from tillroll import config as C
+    from tillroll.operators.star import CUSTOMER_ATTRS, scd2_apply, scd2_lookup
+
+    d = lambda m, day=1: dt.date(2024, m, day)
+    feed = spark.createDataFrame([("K", "n", e, "NORTH", day, dt.datetime(day.year, day.month, day.day, 9)) for e, day in
+                                  (("jan", d(1)), ("mar", d(3)), ("feb", d(2)), ("old", dt.date(2023, 6, 1)))],
+                                 "customer_id string, customer_name string, customer_email string, region string, transaction_date date, transaction_ts timestamp")
+    feed = feed.withColumn("home_region_code", F.col("region")).withColumn("ingest_ts", F.col("transaction_ts")).withColumn("transaction_id", F.col("customer_email"))
+    dim = spark.createDataFrame([], "customer_key long, customer_id string, " + ", ".join(f"{c} string" for c in CUSTOMER_ATTRS)
+                                + ", effective_from date, effective_to date, is_current boolean")
+    for day in (d(1), d(3), d(2), dt.date(2023, 6, 1), d(2)):
+        dim = scd2_apply(dim, feed, day).checkpoint()
+    got = [(r.customer_email, r.effective_from, r.effective_to, r.is_current) for r in dim.orderBy("effective_from").collect()]
+    assert got == [("old", dt.date(2023, 6, 1), dt.date(2023, 12, 31), False), ("jan", d(1), d(1, 31), False),
+                   ("feb", d(2), d(2, 29), False), ("mar", d(3), C.OPEN_END_DATE, True)]
+    assert scd2_lookup(feed.select("customer_id", "transaction_date"), dim).count() == 4

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll import config as C
-from tillroll.functions.joins import sized_broadcast
 
 
 def _key(d: dt.date) -> int:
@@ -46,9 +45,9 @@ def h2_region_sales(fact: DataFrame, regions: DataFrame, dates: DataFrame, as_of
     in_range = dates.filter((F.col("full_date") >= F.lit(lo)) & (F.col("full_date") < F.lit(hi))).select("date_key")
     # the same range as a key predicate on the fact: pushed into its scan
     f = _completed(fact).filter((F.col("date_key") >= _key(lo)) & (F.col("date_key") < _key(hi)))
-    f = f.join(sized_broadcast(in_range), "date_key", "left_semi")
+    f = f.join(in_range, "date_key", "left_semi")
     per_region = f.groupBy("region_key").agg(F.count(F.lit(1)).alias("txn_count"), F.sum("amount").alias("total_sales"))
-    named = (per_region.join(sized_broadcast(regions.select("region_key", "region_name")), "region_key")
+    named = (per_region.join(regions.select("region_key", "region_name"), "region_key")
              .groupBy("region_name").agg(F.sum("txn_count").alias("txn_count"), F.sum("total_sales").alias("total_sales")))
     grand = F.sum("total_sales").over(Window.partitionBy(F.lit(1)))
     return named.select(
@@ -59,7 +58,7 @@ def h2_region_sales(fact: DataFrame, regions: DataFrame, dates: DataFrame, as_of
 def h3_mom_growth(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Monthly completed sales, the previous row's sales and the growth in %."""
     per_day = _completed(fact).groupBy("date_key").agg(F.sum("amount").alias("s"))
-    monthly = (per_day.join(sized_broadcast(dates.select("date_key", "year_number", "month_number")), "date_key")
+    monthly = (per_day.join(dates.select("date_key", "year_number", "month_number"), "date_key")
                .groupBy("year_number", "month_number").agg(F.sum("s").alias("monthly_sales")))
     w = Window.orderBy("year_number", "month_number")  # one row per month
     prev = F.lag("monthly_sales").over(w)
@@ -76,7 +75,7 @@ def h5_dormant_customers(fact: DataFrame, customers: DataFrame, dates: DataFrame
     as_of - days; with their last purchase date (NULL if they never bought)."""
     since = as_of - dt.timedelta(days=days)
     versions = customers.select("customer_key", "customer_id")
-    calendar = sized_broadcast(dates.select("date_key", "full_date"))
+    calendar = dates.select("date_key", "full_date")
     recent = (fact.filter(F.col("date_key") >= _key(since)).select("customer_key", "date_key")
               .join(calendar, "date_key")
               .filter(F.col("full_date") >= F.lit(since))

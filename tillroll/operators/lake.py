@@ -3,6 +3,7 @@ compaction, file report and schema drift."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,6 @@ from pyspark.sql import types as T
 
 from tillroll import config as C
 from tillroll import schemas
-from tillroll.functions.joins import BROADCAST_MAX_ROWS
 from tillroll.operators.clean import add_date_parts
 from tillroll.operators.dedup import latest_per_key
 from tillroll.session import scratch_path
@@ -45,22 +45,22 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str],
      .partitionBy(*partitions).parquet(path))
 
 
-def prune_to_partitions(df: DataFrame, touched: DataFrame, partitions: Sequence[str],
-                        max_keys: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``df`` in the partition folders listed by ``touched``.
+def partition_keys(touched: DataFrame, partitions: Sequence[str]) -> list[tuple]:
+    """The distinct partition folders of ``touched``: at most one per day or
+    month of the calendar, so they are listed on the driver."""
+    return sorted(tuple(r) for r in touched.select(*partitions).distinct().toLocalIterator())
 
-    The folder keys are bounded by the calendar (one per day/month) and
-    size-checked; up to ``max_keys`` they become a static partition filter
-    (``IN`` over the folder columns), so only those folders are listed and
-    read.  Beyond it, a semi join keeps the result right without pruning.
-    """
-    parts = list(partitions)
-    if touched.limit(max_keys + 1).count() > max_keys:
-        # a semi join on named columns moves them first: keep the input's order
-        return df.join(touched.select(*parts), parts, "left_semi").select(*df.columns)
-    keys = ["/".join(str(v) for v in r) for r in touched.select(*parts).distinct().toLocalIterator()]
-    folder = F.concat_ws("/", *[F.col(c).cast("string") for c in parts])
-    return df.filter(folder.isin(keys)) if keys else df.limit(0)
+
+def prune_to_partitions(df: DataFrame, keys: Sequence[tuple], partitions: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` in the partition folders ``keys``: a static partition
+    filter (``IN`` over the folder columns), so only those folders are read."""
+    folder = F.concat_ws("/", *[F.col(c).cast("string") for c in partitions])
+    return df.filter(folder.isin(["/".join(map(str, k)) for k in keys])) if keys else df.limit(0)
+
+
+def delete_partitions(spark: SparkSession, path: str, partitions: Sequence[str], keys: Sequence[tuple]) -> None:
+    for key in keys:
+        delete_path(spark, "/".join([path, *[f"{c}={v}" for c, v in zip(partitions, key)]]))
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
@@ -72,92 +72,92 @@ def to_processed_layout(df: DataFrame) -> DataFrame:
     return add_date_parts(df).select(*schemas.PROCESSED_COLUMNS)
 
 
+@dataclass(frozen=True)
+class Merged:
+    touched: list[tuple]  # (year, month, day) folders that were rewritten or emptied
+    new_rows: int         # rows of the increment after deduplication
+
+
 def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_path: str,
-                         relocate_moved_ids: bool = True,
-                         relocate_within_days: int | None = None) -> DataFrame:
+                         relocate_moved_ids: bool = True) -> Merged:
     """Upsert ``new_rows`` (standardised, DQ-clean) into the processed layer.
 
     * touched days = days of the new rows, plus (``relocate_moved_ids``) the
       current days of the same ids, so a correction that moves a transaction
       to another day removes the old copy.  Finding those days scans the id
-      column of the whole table (exact).  ``relocate_within_days`` limits that
-      scan to day folders within that many days of the increment's dates: use
-      it only where corrections are known to stay within the window;
+      column of the whole table;
     * the touched days are read back whole (only their folders: a static
       partition filter, see ``prune_to_partitions``), unioned with the new
       rows and deduplicated with the new side preferred on equal ingest stamps;
     * date parts are recomputed from transaction_ts after the union;
     * the result is staged (lineage cut) and written with dynamic overwrite;
-      touched days that end up empty are removed.
-
-    Returns the merged rows of the touched days, read back from staging.
+      touched days that end up empty are removed, and so is the staging.
     """
     # Stage the increment once: every later step reads this copy instead of
     # recomputing the upstream pipeline (and the lineage is cut).
-    new_path = scratch_path(spark, "merge-new")
+    new_path, staging = scratch_path(spark, "merge-new"), scratch_path(spark, "merge-staging")
     to_processed_layout(new_rows).write.mode("overwrite").parquet(new_path)
     new = read_processed(spark, new_path).withColumn("_new", F.lit(1))
-    exists = path_exists(spark, processed_path)
     touched = new.select(*DATE_PARTS)
-    if exists:
+    merged = new
+    if exists := path_exists(spark, processed_path):
         existing = read_processed(spark, processed_path)
         if relocate_moved_ids:
-            candidates = existing
-            if relocate_within_days is not None:
-                lo, hi = new.agg(F.min("transaction_date"), F.max("transaction_date")).first()  # two scalars
-                folder_day = F.to_date(F.concat_ws("-", *[F.col(c) for c in DATE_PARTS]))
-                candidates = existing.filter(folder_day.between(
-                    F.date_sub(F.lit(lo), relocate_within_days), F.date_add(F.lit(hi), relocate_within_days)))
-            moved = (candidates.select("transaction_id", *DATE_PARTS)
+            moved = (existing.select("transaction_id", *DATE_PARTS)
                      .join(new.select("transaction_id").distinct(), "transaction_id", "left_semi")
                      .select(*DATE_PARTS))
             touched = touched.unionByName(moved)
-    touched_path = scratch_path(spark, "merge-touched")
-    touched.distinct().write.mode("overwrite").parquet(touched_path)
-    touched = spark.read.parquet(touched_path)
+    days = partition_keys(touched, DATE_PARTS)
     if exists:
-        # only the touched day folders are listed and read
-        old = prune_to_partitions(existing, touched, DATE_PARTS).withColumn("_new", F.lit(0))
-        merged = old.unionByName(new)
-    else:
-        merged = new
+        merged = prune_to_partitions(existing, days, DATE_PARTS).withColumn("_new", F.lit(0)).unionByName(new)
     merged = latest_per_key(merged, prefer=[F.col("_new")]).drop("_new")
-    merged = to_processed_layout(merged)
-
-    staging = scratch_path(spark, "merge-staging")
-    merged.write.mode("overwrite").parquet(staging)
+    to_processed_layout(merged).write.mode("overwrite").parquet(staging)
     staged = read_processed(spark, staging)
     write_partitioned(staged, processed_path, DATE_PARTS)
+    left = set(partition_keys(staged, DATE_PARTS))
+    delete_partitions(spark, processed_path, DATE_PARTS, [d for d in days if d not in left])
+    count = new.count()
+    for path in (new_path, staging):
+        delete_path(spark, path)
+    return Merged(days, count)
 
-    # Days that were touched but have no rows left (every id moved away).
-    emptied = (spark.read.parquet(touched_path)
-               .join(staged.select(*DATE_PARTS).distinct(), DATE_PARTS, "left_anti"))
-    for r in emptied.toLocalIterator():  # bounded by touched days
-        delete_path(spark, f"{processed_path}/year={r['year']}/month={r['month']}/day={r['day']}")
-    return staged
+
+STREAM_LOG = "_spark_metadata"
 
 
 def compact(spark: SparkSession, path: str, partitions: Sequence[str], where: dict[str, str],
             files_per_partition: int = 1, schema: T.StructType = schemas.PROCESSED) -> DataFrame:
     """Rewrite the folders selected by ``where`` into ``files_per_partition``
-    files each (rows unchanged).  Reads are staged first: a folder is never
-    overwritten while it is being read.  The explicit schema keeps folder
-    values as written ('06' stays '06', never re-inferred as 6)."""
+    files each, more where a folder exceeds the records-per-file bound (rows
+    unchanged).  Reads are staged first: a folder is never overwritten while it
+    is being read.  The explicit schema keeps folder values as written ('06'
+    stays '06', never re-inferred as 6).  A streaming sink's folder is refused:
+    its log lists the files, see ``compact_stream``."""
+    if path_exists(spark, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} is written by a stream; compact it into a table of its own with compact_stream")
     df = spark.read.schema(schema).parquet(path)
     for c, v in where.items():
         df = df.filter(F.col(c) == F.lit(v))
     staging = scratch_path(spark, "compact-staging")
     df.write.mode("overwrite").partitionBy(*partitions).parquet(staging)
-    staged = spark.read.schema(schema).parquet(staging)
-    if files_per_partition > 1:
-        write_partitioned(staged, path, partitions, files_per_partition=files_per_partition)
-    else:
-        # exactly one file per folder: hash on the folder columns
-        (staged.repartition(*partitions).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path))
+    write_partitioned(spark.read.schema(schema).parquet(staging), path, partitions, files_per_partition=files_per_partition)
+    delete_path(spark, staging)
     return spark.read.schema(schema).parquet(path)
 
 
+def compact_stream(spark: SparkSession, path: str, into: str, partitions: Sequence[str],
+                   files_per_partition: int = 1) -> DataFrame:
+    """A compacted copy of a streaming sink's table, in a folder of its own.
+    The sink's log says which files count; they stay as they are, so the
+    stream and its readers are not disturbed.  Run again, it replaces every
+    partition that the stream has written by then."""
+    if not path_exists(spark, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} has no stream log")
+    df = spark.read.parquet(path)
+    write_partitioned(df, into, partitions, files_per_partition=files_per_partition)
+    return spark.read.schema(df.schema).parquet(into)
+
+
 def file_report(spark: SparkSession, path: str, partitions: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
     """Files and rows per partition folder (small-file monitoring)."""
     reader = spark.read.schema(schema) if schema is not None else spark.read

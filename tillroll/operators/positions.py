@@ -1,10 +1,9 @@
 """Dense 1-based positions in a global order without a single-partition window.
 
 ``row_number() OVER (ORDER BY k)`` makes Spark move every row to one task.
-Instead: range-partition and sort (hot keys are split across ranges), freeze
+Instead: range-partition and sort (rows equal in all order columns share a range), freeze
 the layout with a reliable checkpoint, count rows per partition, turn counts
-into offsets (one row per partition, so the broadcast is bounded by the
-partition count, not the data) and add the in-partition index.
+into offsets (one row per partition, whatever the data's size) and add the in-partition index.
 """
 from __future__ import annotations
 
@@ -13,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.joins import sized_broadcast
 from tillroll.session import checkpoint_root
 
 _INDEX_BITS = 33  # monotonically_increasing_id = partition << 33 | index in partition
@@ -37,6 +35,6 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "pos
         F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"))
     index = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), _INDEX_BITS)
-    return (frozen.join(sized_broadcast(offsets), "_pid")
+    return (frozen.join(offsets, "_pid")
             .withColumn(name, (F.col("_off") + index + 1).cast("long"))
             .drop("_pid", "_mid", "_off"))

@@ -1,13 +1,14 @@
 """Data-quality rules, good/bad split, quarantine and the reject-ratio breaker."""
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import config as C
 from tillroll.functions.columns import any_rule_broken, broken_rules
+from tillroll.operators.lake import delete_partitions, partition_keys
 
 
 class RejectRatioExceeded(RuntimeError):
@@ -51,7 +52,7 @@ def check_reject_ratio(rows_read: int, rows_bad: int, limit: float = C.MAX_REJEC
     ratio = rows_bad / rows_read if rows_read else 0.0
     if ratio > limit:
         raise RejectRatioExceeded(
-            f"Reject ratio {ratio:.1%} exceeds {limit:.0%}; stopping before bad data reaches processed/")
+            f"{rows_bad} of {rows_read} rows ({ratio:.1%}) break a rule, more than the allowed {limit:.0%}")
     return ratio
 
 
@@ -60,9 +61,12 @@ def quarantine_rows(bad: DataFrame) -> DataFrame:
     return bad.withColumn("dq_errors", F.concat_ws(",", "dq_errors"))
 
 
-def write_quarantine(bad: DataFrame, path: str) -> None:
-    """Idempotent: each ingest_date folder is replaced, so a retried run does
-    not append the same rejects twice."""
+def write_quarantine(bad: DataFrame, path: str, days: Sequence = ()) -> None:
+    """Each ingest_date folder is replaced, so a retried run does not append
+    the same rejects twice.  ``days``: the ingest dates that were read; those
+    without a reject lose the rejects of an earlier run."""
     (quarantine_rows(bad).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("ingest_date").parquet(path))
+    with_rejects = {k for k, in partition_keys(bad, ["ingest_date"])} if days else set()
+    delete_partitions(bad.sparkSession, path, ["ingest_date"], [(d,) for d in days if d not in with_rejects])

@@ -10,11 +10,10 @@ from pyspark.sql import functions as F
 
 from tillroll import config as C
 from tillroll.functions.columns import date_key, null_safe_differs
-from tillroll.functions.joins import sized_broadcast
-from tillroll.operators.lake import prune_to_partitions
+from tillroll.operators.lake import delete_partitions, partition_keys, prune_to_partitions
 from tillroll.operators.positions import with_position
 from tillroll.session import scratch_path
-from tillroll.sources.files import path_exists
+from tillroll.sources.files import delete_path, path_exists
 
 CUSTOMER_ATTRS = ["customer_name", "customer_email", "home_region_code"]
 # Attributes whose change opens a new customer version.
@@ -134,32 +133,37 @@ def scd2_history(feed: DataFrame) -> DataFrame:
 
 
 def scd2_apply(dim: DataFrame, feed_day: DataFrame, day: dt.date) -> DataFrame:
-    """Apply one day's feed to an SCD2 dimension.
-
-    Changed customers: the current version is closed at ``day - 1`` and a new
-    version opens at ``day``; if the current version itself opened on ``day``
-    it is updated in place (no inverted interval).  New customers get a
-    version.  New keys continue after the largest existing key, in
-    customer_id order.  Re-applying the same feed changes nothing.
+    """Apply one day's feed to an SCD2 dimension; days may come in any order.
+
+    The version that covers ``day`` is compared.  If a trigger attribute
+    differs, it ends at ``day - 1`` and a version with the new attributes runs
+    from ``day`` to where it ended (for the current version: open end); if it
+    began on ``day`` it is updated in place (no inverted interval).  A day
+    before a customer's first version adds one that ends where that begins.
+    New customers get a version.  New keys continue after the largest existing
+    key, in customer_id order.  Re-applying the same feed changes nothing.
     """
-    day_lit = F.lit(day)
-    latest = (_day_states(feed_day.filter(F.col("transaction_date") == day_lit))
-              .drop("day"))
-    current = dim.filter("is_current").select(
-        "customer_key", "customer_id", *[F.col(c).alias(f"_cur_{c}") for c in CUSTOMER_ATTRS], "effective_from")
-    cmp = latest.join(current, "customer_id", "left")
-    changed = null_safe_differs([F.col(c) for c in SCD2_TRIGGERS], [F.col(f"_cur_{c}") for c in SCD2_TRIGGERS])
-    is_new = F.col("customer_key").isNull()
-    in_place = ~is_new & changed & (F.col("effective_from") == day_lit)
-    reopen = ~is_new & changed & (F.col("effective_from") < day_lit)
-
-    # one row per touched current version: update in place, or close
-    changes = cmp.filter(in_place | reopen).select(
-        "customer_key", in_place.alias("_update"), reopen.alias("_close"),
+    on = F.lit(day)
+    latest = _day_states(feed_day.filter(F.col("transaction_date") == on)).drop("day")
+    covering = dim.filter(F.lit(day).between(F.col("effective_from"), F.col("effective_to"))).select(
+        "customer_id", F.col("customer_key").alias("_key"), F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to"),
+        F.col("is_current").alias("_open"), *[F.col(c).alias(f"_cur_{c}") for c in CUSTOMER_ATTRS])
+    first_later = dim.filter(F.col("effective_from") > on).groupBy("customer_id").agg(F.min("effective_from").alias("_next"))
+    cmp = latest.join(covering, "customer_id", "left").join(first_later, "customer_id", "left")
+    covered = F.col("_key").isNotNull()
+    changed = covered & null_safe_differs([F.col(c) for c in SCD2_TRIGGERS], [F.col(f"_cur_{c}") for c in SCD2_TRIGGERS])
+    in_place = changed & (F.col("_from") == on)
+    split = changed & (F.col("_from") < on)
+
+    # one row per touched version: update in place, or end
+    changes = cmp.filter(changed).select(
+        F.col("_key").alias("customer_key"), in_place.alias("_update"), split.alias("_close"),
         *[F.col(c).alias(f"_upd_{c}") for c in CUSTOMER_ATTRS])
-    inserts = cmp.filter(is_new | reopen).select(
-        "customer_id", *CUSTOMER_ATTRS, day_lit.alias("effective_from"),
-        F.lit(C.OPEN_END_DATE).alias("effective_to"), F.lit(True).alias("is_current"))
+    # a new version ends where the split one did, before the first later one, or not at all
+    until = F.coalesce(F.col("_to"), F.date_sub("_next", 1), F.lit(C.OPEN_END_DATE))
+    inserts = cmp.filter(~covered | split).select(
+        "customer_id", *CUSTOMER_ATTRS, on.alias("effective_from"), until.alias("effective_to"),
+        F.coalesce(F.col("_open"), F.col("_next").isNull()).alias("is_current"))
 
     upd = F.coalesce(F.col("_update"), F.lit(False))
     close = F.coalesce(F.col("_close"), F.lit(False))
@@ -167,7 +171,7 @@ def scd2_apply(dim: DataFrame, feed_day: DataFrame, day: dt.date) -> DataFrame:
             .select("customer_key", "customer_id",
                     *[F.when(upd, F.col(f"_upd_{c}")).otherwise(F.col(c)).alias(c) for c in CUSTOMER_ATTRS],
                     "effective_from",
-                    F.when(close, F.date_sub(day_lit, 1)).otherwise(F.col("effective_to")).alias("effective_to"),
+                    F.when(close, F.date_sub(on, 1)).otherwise(F.col("effective_to")).alias("effective_to"),
                     F.when(close, F.lit(False)).otherwise(F.col("is_current")).alias("is_current")))
     max_key = dim.agg(F.coalesce(F.max("customer_key"), F.lit(0)).alias("m")).first()["m"]
     new_rows = with_position(inserts, ["customer_id"], "_pos").select(
@@ -193,10 +197,9 @@ def scd2_lookup(facts: DataFrame, dim: DataFrame, date_col: str = "transaction_d
 def fact_transactions(stg: DataFrame, customers: DataFrame, regions: DataFrame) -> DataFrame:
     """Fact rows with surrogate keys.  Rows whose region has no dimension row
     are dropped by the inner join (the integrity checks surface that)."""
-    # The region side has one row per region: broadcast it (after a size
-    # check) before the customer lookup, so fact rows are never shuffled by a
-    # handful of region values.
-    r = sized_broadcast(regions.select("region_key", F.col("region_code")))
+    # The region side has one row per region; joined before the customer
+    # lookup, so the planner broadcasts it by its size.
+    r = regions.select("region_key", F.col("region_code"))
     with_region = stg.join(r, stg["region"] == r["region_code"], "inner")
     j = scd2_lookup(with_region, customers)
     return j.select(
@@ -207,26 +210,30 @@ def fact_transactions(stg: DataFrame, customers: DataFrame, regions: DataFrame)
 def merge_by_key(spark: SparkSession, path: str, increment: DataFrame, key: str,
                  partition_cols: Sequence[str]) -> DataFrame:
     """Idempotent upsert of ``increment`` into a Parquet table partitioned by
-    ``partition_cols``: rows of the increment replace rows with the same key;
-    only touched partitions (new ones and those holding the same keys) are
-    rewritten.  Re-running with the same increment yields the same table."""
-    parts = list(partition_cols)
-    if not path_exists(spark, path):
-        increment.hint("rebalance", *parts).write.mode("overwrite").partitionBy(*parts).parquet(path)
-        return spark.read.parquet(path)
-    existing = spark.read.schema(increment.schema).parquet(path)
-    same_keys = existing.join(increment.select(key), key, "left_semi").select(*parts)
-    touched = increment.select(*parts).unionByName(same_keys).distinct()
-    touched_path = scratch_path(spark, "fact-merge-touched")
-    touched.write.mode("overwrite").parquet(touched_path)
-    old = (prune_to_partitions(existing, spark.read.parquet(touched_path), parts)
-           .join(increment.select(key), key, "left_anti"))
-    merged = old.unionByName(increment)
-    staging = scratch_path(spark, "fact-merge-staging")
-    merged.write.mode("overwrite").partitionBy(*parts).parquet(staging)
-    staged = spark.read.schema(increment.schema).parquet(staging)
+    ``partition_cols``: rows of the increment replace rows with the same key,
+    wherever those lie; only touched partitions (new ones and those holding
+    the same keys) are rewritten, and those left empty are removed.  Of several
+    rows of the increment with one key the greatest by all columns stays."""
+    parts, columns = list(partition_cols), increment.columns
+    rest = [c for c in columns if c != key]
+    newest = F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in rest]))
+    new_path, staging = scratch_path(spark, "fact-merge-new"), scratch_path(spark, "fact-merge-staging")
+    increment.withColumn("_n", newest).filter("_n = 1").drop("_n").write.mode("overwrite").parquet(new_path)
+    new = spark.read.schema(increment.schema).parquet(new_path).select(*columns)
+    touched, merged = partition_keys(new, parts), new
+    if path_exists(spark, path):
+        existing = spark.read.schema(increment.schema).parquet(path)
+        holding = partition_keys(existing.select(key, *parts).join(new.select(key), key, "left_semi"), parts)
+        touched = sorted({*touched, *holding})
+        merged = prune_to_partitions(existing, touched, parts).join(new.select(key), key, "left_anti").select(*columns).unionByName(new)
+    merged.write.mode("overwrite").parquet(staging)
+    staged = spark.read.schema(increment.schema).parquet(staging).select(*columns)
     (staged.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(path))
+    left = set(partition_keys(staged, parts))
+    delete_partitions(spark, path, parts, [k for k in touched if k not in left])
+    for p in (new_path, staging):
+        delete_path(spark, p)
     return spark.read.schema(increment.schema).parquet(path)
 
 

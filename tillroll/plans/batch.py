@@ -11,7 +11,6 @@ import logging
 import time
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +20,11 @@ from tillroll.functions.columns import any_rule_broken
 from tillroll.operators import aggregates as agg
 from tillroll.operators.clean import standardise
 from tillroll.operators.dedup import latest_per_key
-from tillroll.operators.lake import merge_into_processed, prune_to_partitions, read_processed, write_partitioned
+from tillroll.operators.lake import (delete_partitions, merge_into_processed, partition_keys, prune_to_partitions,
+                                     read_processed, write_partitioned)
 from tillroll.operators.quality import check_reject_ratio, split_good_bad, write_quarantine
-from tillroll.session import pin_session
+from tillroll.session import pin_session, scratch_path
+from tillroll.sources.files import delete_path
 from tillroll.sources.landing import extract, read_watermark, write_watermark
 
 log = logging.getLogger("tillroll.batch")
@@ -46,61 +47,65 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_date: str | None = Non
     ``print_metrics`` writes the DQ_METRICS JSON line to stdout (what log
     metric filters pick up); otherwise it goes to the log only."""
     pin_session(spark)
-    started = time.time()
+    began = time.monotonic()
+    staged = scratch_path(spark, "batch-standardised")
     try:
-        watermark = read_watermark(spark, paths.state)
-        log.info("Starting run. run_date=%s watermark=%s", run_date, watermark)
-        raw = extract(spark, paths.source, run_date, watermark)
-        std = standardise(raw, cfg.ts_formats).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            ok = ~any_rule_broken(cfg.valid_regions)
-            # one pass: counts and the new watermark
-            s = std.agg(F.count(F.lit(1)).alias("read"), F.count_if(ok).alias("valid"),
-                        F.count_distinct(F.when(ok, F.col("transaction_id"))).alias("ids"),
-                        F.max("ingest_date").alias("max_ingest")).first()
-            if s["read"] == 0:
-                log.info("No new data since watermark %s - nothing to do.", watermark)
-                return None
-            bad_count = s["read"] - s["valid"]
-            log.info("Read %d rows | passed DQ %d | quarantined %d (%.2f%%)",
-                     s["read"], s["valid"], bad_count, 100.0 * bad_count / s["read"])
-            good, bad = split_good_bad(std, cfg.valid_regions)
-            if bad_count:
-                write_quarantine(bad, paths.quarantine)
-            check_reject_ratio(s["read"], bad_count, cfg.max_reject_ratio)
-
-            deduped = latest_per_key(good, prefer=[F.col("source_file")]).drop("source_file")
-            log.info("Deduplication on transaction_id removes %d rows", s["valid"] - s["ids"])
-            merged = merge_into_processed(spark, deduped, paths.processed,
-                                          relocate_within_days=cfg.relocate_within_days)
-
-            # curated: recompute every month that was touched, from all its days
-            months = merged.select("year", "month").distinct()  # bounded by the calendar
-            processed = prune_to_partitions(read_processed(spark, paths.processed), months, ["year", "month"])
-            write_partitioned(agg.daily_region_sales(processed), f"{paths.curated}/{C.CURATED_DAILY_REGION}",
-                              list(cfg.curated_partitions))
-            write_partitioned(agg.daily_sales(processed), f"{paths.curated}/{C.CURATED_DAILY}",
-                              list(cfg.curated_partitions))
-        finally:
-            std.unpersist()
-
-        metrics = {"job": cfg.job_name, "rows_read": int(s["read"]), "rows_valid": int(s["valid"]),
-                   "rows_quarantined": int(bad_count), "duplicates_removed": int(s["valid"] - s["ids"]),
-                   "duration_sec": round(time.time() - started, 1)}
+        before = read_watermark(spark, paths.state)
+        log.info("batch run: run_date %s, processed up to %s", run_date, before)
+        # written once: the checks, the quarantine and the merge read the files
+        std = standardise(extract(spark, paths.source, run_date, before), cfg.ts_formats)
+        std.write.parquet(staged)
+        metrics = _process(spark, paths, spark.read.schema(std.schema).parquet(staged), cfg, began)
+        if metrics is None:
+            log.info("batch run: no rows to process")
+            return None
+        newest = metrics.pop("_newest")
         if paths.metrics:
             spark.createDataFrame([dict(metrics, event="DQ_METRICS")], _metrics_schema()) \
                 .withColumn("run_ts", F.current_timestamp()).write.mode("append").parquet(paths.metrics)
-        new_wm = max(str(s["max_ingest"]), watermark) if watermark else str(s["max_ingest"])
-        write_watermark(spark, paths.state, new_wm, metrics)
-        line = json.dumps(dict(metrics, event="DQ_METRICS"))
-        if print_metrics:
-            print(line, flush=True)
-        else:
-            log.info(line)
-        return metrics
+        write_watermark(spark, paths.state, max(newest, before or newest), metrics)
     except Exception:
-        log.exception("%s - watermark not advanced, rerun is safe", C.FAILED_RUN_MARKER)
+        log.exception("%s; the state is as before the run", C.FAILED_RUN_MARKER)
         raise
+    finally:
+        delete_path(spark, staged)
+    line = json.dumps(dict(metrics, event="DQ_METRICS"))
+    if print_metrics:
+        print(line, flush=True)
+    else:
+        log.info(line)
+    return metrics
+
+
+def _process(spark: SparkSession, paths: BatchPaths, std: DataFrame, cfg: C.LakeConfig, began: float) -> dict | None:
+    """Quarantine, breaker, merge, curated tables; the run's metrics."""
+    ok = ~any_rule_broken(cfg.valid_regions)
+    per_day = std.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"), F.count_if(ok).alias("ok")).collect()  # a row per ingest day
+    if not per_day:
+        return None
+    n_read, n_valid = sum(r["n"] for r in per_day), sum(r["ok"] for r in per_day)
+    good, bad = split_good_bad(std, cfg.valid_regions)
+    write_quarantine(bad, paths.quarantine, [r["ingest_date"] for r in per_day])
+    check_reject_ratio(n_read, n_read - n_valid, cfg.max_reject_ratio)
+
+    deduped = latest_per_key(good, prefer=[F.col("source_file")]).drop("source_file")
+    merged = merge_into_processed(spark, deduped, paths.processed)
+    _recompute_curated(spark, paths, cfg, sorted({day[:2] for day in merged.touched}))
+    log.info("batch run: %d rows read, %d quarantined, %d replaced by later versions", n_read, n_read - n_valid, n_valid - merged.new_rows)
+    return {"job": cfg.job_name, "rows_read": n_read, "rows_valid": n_valid, "rows_quarantined": n_read - n_valid,
+            "duplicates_removed": n_valid - merged.new_rows, "duration_sec": round(time.monotonic() - began, 1),
+            "_newest": str(max(r["ingest_date"] for r in per_day))}
+
+
+def _recompute_curated(spark: SparkSession, paths: BatchPaths, cfg: C.LakeConfig, months: list[tuple]) -> None:
+    """Every month with a rewritten or emptied day, from all its days; a month
+    without days any more leaves the curated tables too."""
+    parts = list(cfg.curated_partitions)
+    processed = prune_to_partitions(read_processed(spark, paths.processed), months, ["year", "month"])
+    left = set(partition_keys(processed, ["year", "month"]))
+    for name, table in ((C.CURATED_DAILY_REGION, agg.daily_region_sales), (C.CURATED_DAILY, agg.daily_sales)):
+        write_partitioned(table(processed), f"{paths.curated}/{name}", parts)
+        delete_partitions(spark, f"{paths.curated}/{name}", ["year", "month"], [m for m in months if m not in left])
 
 
 def _metrics_schema():

@@ -24,6 +24,12 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    fs, p = _fs(spark, path)
+    if not fs.rename(p, _fs(spark, to)[1]):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
