@@ -122,3 +122,28 @@ def test_scd2_takes_days_in_any_order(spark):
     assert got == [("old", dt.date(2023, 6, 1), dt.date(2023, 12, 31), False), ("jan", d(1), d(1, 31), False),
                    ("feb", d(2), d(2, 29), False), ("mar", d(3), C.OPEN_END_DATE, True)]
     assert scd2_lookup(feed.select("customer_id", "transaction_date"), dim).count() == 4
+
+
+def test_calendar_over_a_given_range(spark):
+    rows = S.dim_date_between(spark, dt.date(2023, 12, 30), dt.date(2024, 3, 1)).orderBy("date_key").collect()
+    assert [r["full_date"] for r in rows] == [dt.date(2023, 12, 30) + dt.timedelta(days=i) for i in range(63)]
+    assert {r["date_key"] for r in rows} >= {20231231, 20240229}
+
+
+def test_stored_fact_is_laid_out_by_date(spark, sf_small):
+    """Files hold disjoint date ranges, so the range that H2 and H5 push down skips most of them."""
+    fact = SI.tables(spark, sf_small)["fact"].withColumn("f", F.col("_metadata.file_path"))
+    spans = fact.groupBy("f").agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).orderBy("lo").collect()
+    assert all(a["hi"] <= b["lo"] for a, b in zip(spans, spans[1:]))
+    assert fact.where("load_ts IS NULL").count() == 0
+
+
+def test_dimensions_start_no_job_of_their_own(spark, sf_small):
+    tracker = spark.sparkContext.statusTracker()
+    SI.dimension(spark, sf_small, "dim_date")  # listing and schema of the source tables
+    spark.sparkContext.setJobGroup("dims", "plan only")
+    SI.dimension(spark, sf_small, "dim_date")
+    SI.dimension(spark, sf_small, "dim_region")
+    jobs = tracker.getJobIdsForGroup("dims")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 16  # schema inference of the tables read, none that reads rows

@@ -32,14 +32,9 @@ def dq_rules(valid_regions: Iterable[str]) -> dict[str, Column]:
     """
     regions = list(valid_regions)
     amount = F.col("amount")
-    return {
-        "missing_transaction_id": F.col("transaction_id").isNull(),
-        "missing_customer_id": F.col("customer_id").isNull(),
-        "invalid_or_missing_date": F.col("transaction_ts").isNull(),
-        "missing_amount": amount.isNull(),
-        "non_positive_amount": F.coalesce(amount <= 0, F.lit(False)),
-        "invalid_region": F.col("region").isNull() | ~F.col("region").isin(regions),
-    }
+    absent = [F.col(c).isNull() for c in ("transaction_id", "customer_id", "transaction_ts", "amount")]
+    foreign = F.col("region").isNull() | ~F.col("region").isin(regions)
+    return dict(zip(C.DQ_RULE_NAMES, [*absent, F.coalesce(amount <= 0, F.lit(False)), foreign], strict=True))
 
 
 def broken_rules(valid_regions: Iterable[str]) -> Column:

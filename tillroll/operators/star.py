@@ -261,3 +261,22 @@ def pk_unique(fact: DataFrame, customers: DataFrame, regions: DataFrame, dates:
             .unionByName(duplicate_key_count(customers, "customer_key", "pk_dim_customer"))
             .unionByName(duplicate_key_count(regions, "region_key", "pk_dim_region"))
             .unionByName(duplicate_key_count(dates, "date_key", "pk_dim_date")))
+
+
+# Columns that must not be NULL, per table.
+REQUIRED = {
+    "fact": ("transaction_id", "date_key", "customer_key", "region_key"),
+    "dim_customer": ("customer_key", "customer_id", "effective_from", "effective_to", "is_current"),
+    "dim_region": ("region_key", "region_code", "region_name"),
+    "dim_date": ("date_key", "full_date", "year_number", "month_number"),
+}
+
+
+def constraint_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(check_name, violations): repeated region codes, and rows of each table
+    with a NULL in a required column.  One aggregation a table."""
+    out = duplicate_key_count(tables["dim_region"], "region_code", "uk_region_code")
+    for name, columns in REQUIRED.items():
+        lacking = F.exists(F.array(*[F.col(c).isNull() for c in columns]), lambda x: x)
+        out = out.unionByName(tables[name].agg(F.count_if(lacking).alias("violations")).select(F.lit(f"nn_{name}").alias("check_name"), "violations"))
+    return out

@@ -6,6 +6,7 @@ idempotent, so a failed run is repaired by re-running it.
 """
 from __future__ import annotations
 
+import datetime as dt
 import json
 import logging
 import time
@@ -61,8 +62,8 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_date: str | None = Non
             return None
         newest = metrics.pop("_newest")
         if paths.metrics:
-            spark.createDataFrame([dict(metrics, event="DQ_METRICS")], _metrics_schema()) \
-                .withColumn("run_ts", F.current_timestamp()).write.mode("append").parquet(paths.metrics)
+            record = metrics | {"event": "DQ_METRICS", "run_ts": dt.datetime.now(dt.timezone.utc)}
+            spark.createDataFrame([tuple(record[f.name] for f in schemas.METRICS)], schemas.METRICS).write.mode("append").parquet(paths.metrics)
         write_watermark(spark, paths.state, max(newest, before or newest), metrics)
     except Exception:
         log.exception("%s; the state is as before the run", C.FAILED_RUN_MARKER)
@@ -108,10 +109,5 @@ def _recompute_curated(spark: SparkSession, paths: BatchPaths, cfg: C.LakeConfig
         delete_partitions(spark, f"{paths.curated}/{name}", ["year", "month"], [m for m in months if m not in left])
 
 
-def _metrics_schema():
-    return "event string, job string, rows_read long, rows_valid long, rows_quarantined long, " \
-           "duplicates_removed long, duration_sec double"
-
-
 def processed_table(spark: SparkSession, paths: BatchPaths) -> DataFrame:
     return read_processed(spark, paths.processed).select(*schemas.PROCESSED_COLUMNS)

@@ -17,15 +17,15 @@ H4B_TIEBREAK = ["customer_id", "transaction_ts", "amount", "product_id", "store_
 
 
 def dim_date_q(spark: SparkSession, sf: str) -> DataFrame:
-    return SI.build(spark, sf)["dim_date"]
+    return SI.dimension(spark, sf, "dim_date")
 
 
 def dim_region_q(spark: SparkSession, sf: str) -> DataFrame:
-    return SI.build(spark, sf)["dim_region"]
+    return SI.dimension(spark, sf, "dim_region")
 
 
 def dim_customer_q(spark: SparkSession, sf: str) -> DataFrame:
-    return SI.build(spark, sf)["dim_customer"]
+    return SI.dimension(spark, sf, "dim_customer")
 
 
 def fact_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,6 +76,10 @@ def pk_unique_q(spark: SparkSession, sf: str) -> DataFrame:
     return S.pk_unique(*_star(spark, sf))
 
 
+def constraint_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return S.constraint_violations(SI.tables(spark, sf))
+
+
 def h1(spark: SparkSession, sf: str) -> DataFrame:
     fact, cust, _, _ = _star(spark, sf)
     out = A.h1_top_customers(fact, cust)
@@ -145,6 +149,7 @@ QUERIES = {
     "fact_merge": fact_merge,
     "fk_orphans": fk_orphans_q,
     "pk_unique": pk_unique_q,
+    "constraint_checks": constraint_checks,
     "integrity_report": integrity_report,
     "h1_top_customers": h1,
     "h2_region_sales_30d": h2,

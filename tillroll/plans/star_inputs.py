@@ -22,38 +22,35 @@ FACT_MERGE_RESENT_FROM = 20001201
 _STARS: dict[tuple[str, str], dict[str, str]] = {}
 
 
-def build(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Lazy star plans straight from the stand-in (no writes)."""
+DIMENSIONS = {"dim_date": S.dim_date, "dim_region": S.dim_region, "dim_customer": S.dim_customer}
+
+
+def dimension(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The plan of one dimension straight from the stand-in (no writes)."""
     pin_session(spark)
-    stg = stg_transactions(spark, sf_dir)
-    dates = S.dim_date(stg)
-    regions = S.dim_region(stg)
-    customers = S.dim_customer(stg)
-    fact = S.fact_transactions(stg, customers, regions)
-    return {"stg": stg, "dim_date": dates, "dim_region": regions, "dim_customer": customers, "fact": fact}
+    return DIMENSIONS[name](stg_transactions(spark, sf_dir))
 
 
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The star loaded as Parquet tables (once per session and input).
 
-    Dimensions are written first; the fact is then built from the stand-in
-    and the *stored* dimensions, so the source is not re-derived for them.
+    The staged transactions are written once; dimensions and fact read them.
+    The fact is laid out by date (ranges of date_key, sorted), so a date range
+    skips files and row groups; ``load_ts`` says when it was loaded.
     """
     pin_session(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     paths = _STARS.get(key)
     if paths is None or not all(path_exists(spark, p) for p in paths.values()):
-        stg = stg_transactions(spark, sf_dir)
         root = scratch_path(spark, "star")
-        paths = {}
-        for name, build_dim in (("dim_date", S.dim_date), ("dim_region", S.dim_region),
-                                ("dim_customer", S.dim_customer)):
-            paths[name] = f"{root}/{name}"
-            build_dim(stg).write.mode("overwrite").parquet(paths[name])
-        paths["fact"] = f"{root}/fact"
-        fact = S.fact_transactions(stg, spark.read.parquet(paths["dim_customer"]),
-                                   spark.read.parquet(paths["dim_region"]))
-        fact.hint("rebalance", "date_key").write.mode("overwrite").parquet(paths["fact"])
+        stg_transactions(spark, sf_dir).write.parquet(f"{root}/stg")
+        stg = spark.read.parquet(f"{root}/stg")
+        paths = {name: f"{root}/{name}" for name in (*DIMENSIONS, "fact")}
+        for name, plan in DIMENSIONS.items():
+            plan(stg).write.parquet(paths[name])
+        fact = S.fact_transactions(stg, *[spark.read.parquet(paths[n]) for n in ("dim_customer", "dim_region")])
+        (fact.withColumn("load_ts", F.current_timestamp()).repartitionByRange("date_key").sortWithinPartitions("date_key")
+         .write.parquet(paths["fact"]))
         _STARS[key] = paths
     return {name: spark.read.parquet(p) for name, p in paths.items()}
 

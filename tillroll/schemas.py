@@ -7,7 +7,6 @@ RAW_COLUMNS = (
     "transaction_ts", "ingest_ts",
 )
 
-# Raw files are read as text on purpose: a bad value must not fail the read.
 RAW = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 RAW_WITH_PARTITION = T.StructType(RAW.fields + [T.StructField("ingest_date", T.DateType())])
 
