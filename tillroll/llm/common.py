@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -27,6 +27,14 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(batches: Iterable, rows: int = 256) -> Iterator:
+    """The batches in pieces of few rows, so what a task holds as Python
+    objects at a time stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 

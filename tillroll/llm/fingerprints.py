@@ -38,23 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import map_batches, ship
-from tillroll.llm.pretokens import powers
+from tillroll.llm.hashing import MIX1, mix, powers
 
 SIZE = 64
 # (texts shorter than this, k, s)
 SCALES = ((16, 2, 1), (64, 4, 2), (1 << 62, 12, 6))
-_MIX1, _MIX2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 STEP_CHARS = 1 << 20  # characters worked at a time, whatever the text's length
 
 
-def _mix(v: np.ndarray) -> np.ndarray:
-    v = v ^ (v >> np.uint64(33))
-    v = v * _MIX1
-    v = v ^ (v >> np.uint64(29))
-    v = v * _MIX2
-    return v ^ (v >> np.uint64(32))
-
-
 def _window_min(a: np.ndarray, w: int) -> np.ndarray:
     """Minimum of each window of w, by doubling."""
     out, have = a, 1
@@ -74,12 +65,12 @@ def syncmers(codes: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     up, down = powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_mix(codes.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
-    inner = _mix((total[s:] - total[:-s]) * down[:n - s + 1])
+    np.cumsum(mix(codes.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
+    inner = mix((total[s:] - total[:-s]) * down[:n - s + 1])
     w = k - s + 1
     low = _window_min(inner, w)
     at = np.flatnonzero((inner[:len(low)] == low) | (inner[w - 1:] == low))
-    return _mix((total[at + k] - total[at]) * down[at] + np.uint64(k)), at
+    return mix((total[at + k] - total[at]) * down[at] + np.uint64(k)), at
 
 
 def anchors(text: str, size: int = SIZE) -> tuple[list[int], list[int], int]:
@@ -99,7 +90,7 @@ def anchors(text: str, size: int = SIZE) -> tuple[list[int], list[int], int]:
     if not new.all():  # the number of the occurrence goes into the hash
         index = np.arange(len(h))
         nth = (index - np.maximum.accumulate(np.where(new, index, 0))).astype(np.uint64)
-        h = np.where(new, h, _mix(h + nth * _MIX1))
+        h = np.where(new, h, mix(h + nth * MIX1))
         order = np.argsort(h, kind="stable")
         h, at = h[order], at[order]
     return (h[:size] >> np.uint64(32)).tolist(), at[:size].tolist(), len(h)

@@ -42,12 +42,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import connected_components, map_batches, save, ship
-from tillroll.llm.fingerprints import _mix
-from tillroll.llm.pretokens import _keys
+from tillroll.llm.common import connected_components, map_batches, save, ship, small
+from tillroll.llm.hashing import mix, span_keys
 
 WORDS, PERCENT = 4, 85
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 SKETCH_BITS = 20            # counters of the sketch of list lengths (4 MB)
 CHUNK = 1 << 12             # counters a row of it carries
 BINS = 256                  # bins of a document's token histogram
@@ -69,7 +68,7 @@ def _word_keys(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     space[1:-1] = _SPACE[raw]
     edge = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edge[::2], edge[1::2]
-    return _keys(_LOWER[raw], starts, ends), starts
+    return span_keys(_LOWER[raw], starts, ends), starts
 
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> Iterator[np.ndarray]:
@@ -81,13 +80,13 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> Iterator[np.nda
         many = np.zeros(max(0, len(keys) - words + 1), np.uint64)
         for j in range(words):
             many += keys[j:len(keys) - words + 1 + j] * _ODD[j] if len(many) else many
-        many = _mix(many + np.uint64(words))
+        many = mix(many + np.uint64(words))
         at = 0
         for n in sizes.tolist():
             if n >= words:
                 yield np.unique(many[at:at + n - words + 1])
             elif n:
-                yield _mix((keys[at:at + n] * _ODD[:n]).sum(dtype=np.uint64)[None] + np.uint64(n))
+                yield mix((keys[at:at + n] * _ODD[:n]).sum(dtype=np.uint64)[None] + np.uint64(n))
             else:
                 yield np.empty(0, np.uint64)
             at += n
@@ -123,7 +122,7 @@ def _sketch(docs: DataFrame, words: int) -> np.ndarray:
     """How many documents hold the tokens of each counter, over all documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
-        for b in batches:
+        for b in small(batches):
             sets = shingle_sets(b.column(0).to_pylist(), words)
             while some := list(itertools.islice(sets, 256)):
                 total += np.bincount((np.concatenate(some) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
@@ -161,12 +160,12 @@ def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
     lengths = spark.sparkContext.broadcast(_sketch(docs, words).astype(np.uint32))  # 2**SKETCH_BITS counters
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             out = []
             for doc, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1).to_pylist(), words)):
                 first = s[np.lexsort((s, lengths.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:len(s) - least_overlap(len(s), percent) + 1]] if len(s) else s
                 bins = np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-                out.append((doc, len(s), int(_mix(s).sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(_mix(s + _ODD[0]), initial=np.uint64(0)).astype(np.int64)),
+                out.append((doc, len(s), int(mix(s).sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(mix(s + _ODD[0]), initial=np.uint64(0)).astype(np.int64)),
                             bins.astype(np.uint8).tobytes() if bins.max() < 256 else None, first.astype(np.int64)))
             cols = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))],
@@ -212,34 +211,38 @@ def divide_skip(query: np.ndarray, others: list[np.ndarray], percent: int) -> li
 
 
 def _possible(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose histograms allow the overlap they need.
-    ``about``: (id, n: least size, bins) of documents or of whole components."""
-    side = lambda c: about.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bins").alias(f"bins_{c}"))
-    wide = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bins_a", "bins_b")
+    """The pairs (a, b) that may link, or whose groups may: two sets share at
+    most what their histograms do, so their distance is at least that much,
+    and their groups' members are nearer by the radii at most.
+    ``about``: (id, n, bins, radius)."""
+    side = lambda c: about.select(F.col("id").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "bins", "radius")])
+    wide = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select(
+        "a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), (F.col("radius_a") + F.col("radius_b")).alias("radius"), "bins_a", "bins_b")
+    limit = 1 - percent / 100 + 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n = b.column(2).to_numpy() + b.column(3).to_numpy()
+        for b in small(batches, 2048):
+            n, radius = b.column(2).to_numpy(), b.column(3).to_numpy()
             keep = np.ones(b.num_rows, bool)
             both = np.flatnonzero(b.column(4).is_valid().to_numpy(zero_copy_only=False) & b.column(5).is_valid().to_numpy(zero_copy_only=False))
-            for at in range(0, len(both), 4096):
-                some = both[at:at + 4096]
-                x, y = (np.frombuffer(b"".join(b.column(c).take(pa.array(some)).to_pylist()), np.uint8).reshape(-1, BINS) for c in (4, 5))
-                keep[some] = (100 + percent) * np.minimum(x, y).sum(1, dtype=np.int64) >= percent * n[some]
+            if len(both):
+                x, y = (np.frombuffer(b"".join(b.column(c).take(pa.array(both)).to_pylist()), np.uint8).reshape(-1, BINS) for c in (4, 5))
+                shared = np.minimum(x, y).sum(1, dtype=np.int64)
+                keep[both] = 1 - shared / np.maximum(1, n[both] - shared) - radius[both] <= limit
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(mask), b.column(1).filter(mask)], ["a", "b"])
 
     return map_batches(wide, run, "a long, b long")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) of class representatives that link, by T-occurrence
-    search with a as the query over blocks of its candidates b."""
+def _meet(pairs: DataFrame, docs: DataFrame, words: int, name: str, answer) -> DataFrame:
+    """(a, b, value) of the pairs (a, b) of class representatives for which
+    ``answer``(set of a, sets of a block of its b) names one: (index, value)."""
     pairs = save(pairs, f"{name}-candidates")
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in small(batches):
             found = [s.tobytes() for s in shingle_sets(b.column(1).to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["id", "set"])
 
@@ -254,10 +257,11 @@ def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int, name: st
         key, query, ids, others = None, None, [], []
 
         def out() -> pa.RecordBatch:
-            hits = divide_skip(query, others, percent) if others and query is not None else []
-            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(hits), pa.int64()), pa.array([ids[i] for i in hits], pa.int64())], ["a", "b"])
+            hits = answer(query, others) if others and query is not None else []
+            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(hits), pa.int64()), pa.array([ids[i] for i, _ in hits], pa.int64()),
+                                               pa.array([v for _, v in hits], pa.float64())], ["a", "b", "value"])
 
-        for b in batches:
+        for b in small(batches):
             for a, block, other, s in zip(*[c.to_pylist() for c in b.columns]):
                 if key != (a, block):
                     if key:
@@ -272,57 +276,25 @@ def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int, name: st
             yield out()
 
     together = others.unionByName(queries).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
-    return save(map_batches(together, search, "a long, b long").distinct(), f"{name}-links")
+    found = map_batches(together, search, "a long, b long, value double")
+    return save(found.groupBy("a", "b").agg(F.min("value").alias("value")), f"{name}-found")
 
 
-def _envelopes(members: DataFrame) -> DataFrame:
-    """(id, n: least size, most: largest size, bins: highest count in each bin)
-    of components, from (id, n, bins) of their members.  Each task first
-    combines what it has read, so a component of any size is a row a task."""
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-
-        def out() -> pa.RecordBatch:
-            cols = list(zip(*[(i, lo, hi, None if x is None else x.tobytes()) for i, (lo, hi, x) in held.items()])) or [()] * 4
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["id", "n", "most", "bins"])
-
-        for b in batches:
-            for i, lo, hi, bins in zip(*[c.to_pylist() for c in b.columns]):
-                x = None if bins is None else np.frombuffer(bins, np.uint8)
-                if i not in held:
-                    if len(held) >= 1 << 15:
-                        yield out()
-                        held.clear()
-                    held[i] = [lo, hi, x]
-                else:
-                    h = held[i]
-                    held[i] = [min(h[0], lo), max(h[1], hi), None if x is None or h[2] is None else np.maximum(h[2], x)]
-        yield out()
+def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """The pairs that link, by T-occurrence search with a as the query."""
+    return _meet(pairs, docs, words, name, lambda query, others: [(i, 0.0) for i in divide_skip(query, others, percent)]).select("a", "b")
 
-    kind = "id long, n long, most long, bins binary"
-    partial = map_batches(members.select("id", "n", F.col("n").alias("most"), "bins"), combine, kind)
-    return map_batches(partial.repartition("id").sortWithinPartitions("id"), _last_of_runs(combine), kind)
 
+def _distances(pairs: DataFrame, docs: DataFrame, words: int, name: str) -> DataFrame:
+    """(a, b, value): the Jaccard distances of the pairs."""
+    def answer(query: np.ndarray, others: list[np.ndarray]) -> list[tuple[int, float]]:
+        out = []
+        for i, o in enumerate(others):
+            shared = int((query[np.minimum(np.searchsorted(query, o), len(query) - 1)] == o).sum())
+            out.append((i, 1 - shared / (len(query) + len(o) - shared)))
+        return out
 
-def _last_of_runs(combine):
-    """``combine`` over rows sorted by id never splits an id when it flushes between ids."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute as pc
-
-        tail = None
-        for b in batches:
-            t = pa.Table.from_batches(([tail] if tail is not None else []) + [b]).combine_chunks().to_batches()
-            b = t[0] if t else b
-            if not b.num_rows:
-                continue
-            last = pc.index(b.column(0), b.column(0)[b.num_rows - 1]).as_py()
-            if last:
-                yield from combine(iter([b.slice(0, last)]))
-            tail = b.slice(last)
-        if tail is not None:
-            yield from combine(iter([tail]))
-
-    return run
+    return _meet(pairs, docs, words, name, answer)
 
 
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -347,28 +319,10 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
     star = (lists.where((F.col("id") != F.col("head.id")) & could(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos")))
             .select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct())
-    about = firsts.select("id", "n", "bins")
+    about = firsts.select("id", "n", "bins", F.lit(0.0).alias("radius"))
     near = _links(_possible(star, about, percent), docs, words, percent, "join-1")
     component = connected_components(near, "join-components-1")
-
-    # second round: members of a list, besides its first, that are in different components
-    rest = (lists.where((F.col("size") > 2) & (F.col("id") != F.col("head.id"))).join(component.withColumnRenamed("node", "id"), "id", "left")
-            .select("token", "id", "n", "pos", F.coalesce("component", "id").alias("group")))
-    rest = save(rest, "join-rest")
-    groups = rest.groupBy("token", "group").agg(F.min("n").alias("n"), F.max("n").alias("most"), F.min("pos").alias("pos"))
-    mixed = groups.join(groups.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "token")
-    left, right = (mixed.select("token", F.col("group").alias(c), F.col("n").alias(f"n_{c}"), F.col("most").alias(f"most_{c}")) for c in "ab")
-    apart = (left.join(right, "token").where((F.col("a") < F.col("b")) & (100 * F.col("most_a") >= percent * F.col("n_b")) & (100 * F.col("most_b") >= percent * F.col("n_a")))
-             .select("a", "b").distinct())
-    members = about.join(component.withColumnRenamed("node", "id"), "id", "left").select(F.coalesce("component", "id").alias("id"), "n", "bins")
-    open_groups = save(_possible(apart, _envelopes(members).select("id", "n", "bins"), percent), "join-open")
-    x, y = (rest.select("token", F.col("id").alias(c), F.col("n").alias(f"n_{c}"), F.col("pos").alias(f"pos_{c}"), F.col("group").alias(f"group_{c}")) for c in "ab")
-    # only members of groups that stay open, and only between those
-    some = open_groups.select(F.col("a").alias("g")).unionByName(open_groups.select(F.col("b").alias("g"))).distinct()
-    x, y = (s.join(some.withColumnRenamed("g", f"group_{c}"), f"group_{c}", "left_semi") for s, c in ((x, "a"), (y, "b")))
-    pairs = (x.join(open_groups.select(F.col("a").alias("group_a"), F.col("b").alias("group_b")), "group_a").join(y, ["token", "group_b"])
-             .where(could(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))).select("a", "b").distinct())
-    more = _links(_possible(pairs, about, percent), docs, words, percent, "join-2")
+    more = _between(lists, about, component, docs, words, percent, could)
     if not more.isEmpty():
         component = connected_components(near.unionByName(more), "join-components-2")
 
@@ -377,6 +331,46 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
 
 
+def _between(lists: DataFrame, about: DataFrame, component: DataFrame, docs: DataFrame, words: int, percent: int, could) -> DataFrame:
+    """Links between documents that share a list, besides its first, and are in
+    different components: enough of them to join what belongs together."""
+    limit = 1 - percent / 100 + 1e-9
+    of = component.select(F.col("node").alias("id"), F.col("component").alias("group"))
+    rest = (lists.where((F.col("size") > 2) & (F.col("id") != F.col("head.id"))).join(of, "id", "left")
+            .select("token", "id", "n", "pos", F.coalesce("group", "id").alias("group")))
+    rest = save(rest, "join-rest")
+
+    # components that share a list, with sizes within reach
+    groups = rest.groupBy("token", "group").agg(F.min("n").alias("n"), F.max("n").alias("most"))
+    mixed = groups.join(groups.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "token")
+    left, right = (mixed.select("token", F.col("group").alias(c), F.col("n").alias(f"n_{c}"), F.col("most").alias(f"most_{c}")) for c in "ab")
+    sharing = (left.join(right, "token").where((F.col("a") < F.col("b")) & (100 * F.col("most_a") >= percent * F.col("n_b")) & (100 * F.col("most_b") >= percent * F.col("n_a")))
+               .select("token", "a", "b"))
+
+    # how far members lie from their component's first document
+    far = _distances(of.where("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), docs, words, "join-radius")
+    radius = far.groupBy("a").agg(F.max("value").alias("r"))
+    firsts = about.join(radius.withColumnRenamed("a", "id"), "id", "left").select("id", "n", "bins", F.coalesce("r", F.lit(0.0)).alias("radius"))
+    apart = _distances(_possible(sharing.select("a", "b").distinct(), firsts, percent), docs, words, "join-apart")
+    direct = apart.where(F.col("value") <= limit).select("a", "b")
+
+    # components whose first documents are too far apart to link, but not too far for their members
+    r = lambda c: radius.select(F.col("a").alias(c), F.col("r").alias(f"r_{c}"))
+    wide = (apart.where(F.col("value") > limit).join(r("a"), "a", "left").join(r("b"), "b", "left")
+            .where(F.col("value") - F.coalesce("r_a", F.lit(0.0)) - F.coalesce("r_b", F.lit(0.0)) <= limit)
+            .where("r_a IS NOT NULL OR r_b IS NOT NULL").select("a", "b", "value"))
+    wide = save(wide, "join-wide")
+    away = far.select(F.col("b").alias("id"), F.col("value").alias("d"))
+    member = rest.join(away, "id", "left").select("token", "id", "n", "pos", "group", F.coalesce("d", F.lit(0.0)).alias("d"))
+    x, y = (member.select("token", F.col("group").alias(c), F.col("id").alias(f"id_{c}"), F.col("n").alias(f"n_{c}"), F.col("pos").alias(f"pos_{c}"), F.col("d").alias(f"d_{c}")) for c in "ab")
+    opened = sharing.join(wide, ["a", "b"]).select("token", "a", "b", "value").distinct()
+    pairs = (opened.join(x, ["token", "a"]).join(y, ["token", "b"])
+             .where((F.col("value") - F.col("d_a") - F.col("d_b") <= limit) & could(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b")))
+             .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
+    more = _links(_possible(pairs, about, percent), docs, words, percent, "join-2")
+    return direct.unionByName(more)
+
+
 def op8(spark, sf_dir: str) -> DataFrame:
     from tillroll.llm.common import read
 

@@ -22,6 +22,8 @@ import pandas as pd
 import regex
 from tokenizers import Tokenizer
 
+from tillroll.llm.hashing import span_keys
+
 LETTER, NUMBER, SPACE, OTHER = range(4)
 SLICE_CHARS = 1 << 19
 MEMO_ENTRIES = 1 << 20  # distinct pre-tokens a worker remembers before it starts anew
@@ -123,33 +125,7 @@ class Scheme:
         if self.word:
             keep = kind[starts] != SPACE
             starts, ends = starts[keep], ends[keep]
-        return starts, ends, _keys(cp, starts, ends)
-
-
-_C1, _C2, _R = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), 0xD6E8FEB86659FD93
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """R**i and R**-i modulo 2**64 for i < n."""
-    if not _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, SLICE_CHARS * 2)
-        for name, base in (("up", _R), ("down", pow(_R, -1, 1 << 64))):
-            a = np.full(size, base, np.uint64)
-            a[0] = 1
-            _POWERS[name] = np.multiply.accumulate(a)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
-
-
-def _keys(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit keys of the spans: differences of prefix hashes, moved to position 0."""
-    v = (symbols.astype(np.uint64) + np.uint64(1)) * _C1
-    v ^= v >> np.uint64(29)
-    v *= _C2
-    up, down = powers(len(v) + 1)
-    total = np.zeros(len(v) + 1, np.uint64)
-    np.cumsum(v * up[:-1], out=total[1:])
-    return (total[ends] - total[starts]) * down[starts]
+        return starts, ends, span_keys(cp, starts, ends)
 
 
 def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
