@@ -21,6 +21,7 @@ table gives an empty result; other columns (label) are not read.
 """
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -38,6 +39,7 @@ PIVOTS = 256        # pivots at most
 SAMPLE = 20         # sampled vectors per pivot
 # Bounds use float32 distances: beyond the reach they are exact to the first, near 0 to the second.
 SLACK, SLACK_NEAR = 1e-5, 2e-3
+FEW, NARROW = 8, 0.3  # nodes of so few members are not kept at wider radii
 
 
 class Tree:
@@ -64,11 +66,13 @@ class Tree:
                     near = self._distance(members[0], members) <= radius
                     near[0] = True
                     mine = members[near]
-                    self.order[at:at + len(mine)] = mine
-                    below.append(len(nodes))
-                    nodes.append([mine[0], at, at + len(mine), self._far(mine[0], mine), 0, 0])
-                    at += len(mine)
                     members = members[~near]
+                    # a wide node of few members would prune next to nothing: they stand for themselves
+                    for part in ([mine] if len(mine) > FEW or radius <= NARROW else np.split(mine, len(mine))):
+                        self.order[at:at + len(part)] = part
+                        below.append(len(nodes))
+                        nodes.append([part[0], at, at + len(part), self._far(part[0], part), 0, 0])
+                        at += len(part)
                 nodes[node][5] = len(nodes)
             level, radius = below, radius / 2
         table = list(zip(*nodes))
@@ -165,24 +169,31 @@ def traverse(s: Tree, t: Tree, exact_s: np.ndarray, exact_t: np.ndarray, weight_
             # open both nodes; one without children stands for itself
             left = np.arange(s.first[a], s.last[a]) if s.last[a] > s.first[a] else np.array([a])
             right = np.arange(t.first[b], t.last[b]) if t.last[b] > t.first[b] else np.array([b])
-            y = t.x[t.centre[right]]
-            limit = 1 - (s.radius[left].max() + t.radius[right].max() + reach + 2 * SLACK) ** 2 / 2
-            for at in range(0, len(left), 512):
-                some = left[at:at + 512]
-                dots = s.x[s.centre[some]] @ y.T
-                p, q = np.nonzero(dots >= limit)
-                u, v, dot = some[p], right[q], dots[p, q]
-                if same and a == b:
-                    keep = u <= v
-                    u, v, dot = u[keep], v[keep], dot[keep]
-                u, v = bounded(u, v, dot)
-                next_i.append(u)
-                next_j.append(v)
+            # single vectors and wider nodes apart: each has its own bound for all
+            for rows, columns in itertools.product(_by_width(s, left), _by_width(t, right)):
+                y = t.x[t.centre[columns]]
+                limit = 1 - (s.radius[rows].max() + t.radius[columns].max() + reach + 2 * SLACK) ** 2 / 2
+                for at in range(0, len(rows), 512):
+                    some = rows[at:at + 512]
+                    dots = s.x[s.centre[some]] @ y.T
+                    p, q = np.nonzero(dots >= limit)
+                    u, v, dot = some[p], columns[q], dots[p, q]
+                    if same and a == b:
+                        keep = u <= v
+                        u, v, dot = u[keep], v[keep], dot[keep]
+                    u, v = bounded(u, v, dot)
+                    next_i.append(u)
+                    next_j.append(v)
         i = np.concatenate(next_i) if next_i else np.empty(0, np.int64)
         j = np.concatenate(next_j) if next_j else np.empty(0, np.int64)
     return out
 
 
+def _by_width(tree: Tree, nodes: np.ndarray) -> list[np.ndarray]:
+    wide = tree.radius[nodes] > 0
+    return [part for part in (nodes[~wide], nodes[wide]) if len(part)]
+
+
 def _unit(raw: np.ndarray) -> np.ndarray:
     x = raw.astype(np.float64)
     # scaled first, so that squares neither overflow nor vanish
