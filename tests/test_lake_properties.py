@@ -302,3 +302,18 @@ def test_scratch_root_raises_off_a_local_master():
     assert is_local("local[8]") and is_local("local") and not is_local(Context.master)
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_drift_tells_contradicting_files_of_a_folder(spark):
+    from pyspark.sql import types as T
+
+    from tillroll.operators.lake import schema_drift
+
+    path = scratch_path(spark, "t-drift")
+    spark.createDataFrame([("a", 1, "x")], "k string, v int, d string").write.partitionBy("d").parquet(path)
+    spark.createDataFrame([("a", 2.5, 7, "y")], "k string, v double, extra int, d string").write.mode("append").partitionBy("d").parquet(path)
+    expected = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType()), T.StructField("d", T.StringType())])
+    got = {(r.folder, r.column_name): (r.status, r.n_rows) for r in schema_drift(spark, path, expected, ["d"]).collect()}
+    assert got == {("x", "k"): ("ok", 1), ("x", "v"): ("ok", 1), ("y", "k"): ("ok", 1), ("y", "v"): ("type_changed", 1), ("y", "extra"): ("unexpected", 1)}
+    spark.createDataFrame([("a", "text", "y")], "k string, v string, d string").write.mode("append").partitionBy("d").parquet(path)
+    assert ("y", None, "conflicting_files") in {(r.folder, r.column_name, r.status) for r in schema_drift(spark, path, expected, ["d"]).collect()}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,7 @@ from tillroll import schemas
 from tillroll.operators.clean import add_date_parts
 from tillroll.operators.dedup import latest_per_key
 from tillroll.session import scratch_path
-from tillroll.sources.files import delete_path, path_exists
+from tillroll.sources.files import delete_path, list_dirs, path_exists
 
 DATE_PARTS = ["year", "month", "day"]
 
@@ -167,18 +169,34 @@ def file_report(spark: SparkSession, path: str, partitions: Sequence[str], schem
             .agg(F.count_distinct("_file").alias("n_files"), F.count(F.lit(1)).alias("n_rows")))
 
 
-def schema_drift(spark: SparkSession, path: str, expected: T.StructType) -> DataFrame:
-    """Column-by-column comparison of the schema found on disk with the
-    expected one.  Drift is reported, never applied."""
-    found = {f.name: f.dataType.simpleString() for f in spark.read.parquet(path).schema.fields}
-    want = {f.name: f.dataType.simpleString() for f in expected.fields}
-    rows = []
-    for name in list(want) + [n for n in found if n not in want]:
-        e, a = want.get(name), found.get(name)
-        status = "ok" if e == a else ("missing" if a is None else ("unexpected" if e is None else "type_changed"))
-        rows.append((name, e, a, status))
-    schema = "column_name string, expected_type string, actual_type string, status string"
-    return spark.createDataFrame(rows, schema)
+def schema_drift(spark: SparkSession, path: str, expected: T.StructType, partitions: Sequence[str]) -> DataFrame:
+    """(folder, column_name, expected_type, actual_type, status, n_rows): what
+    the files of each top-level partition folder hold against the expected
+    data columns.  Spark reads and merges the footers of a folder's files in
+    parallel; where they contradict each other, the folder's one row says so.
+    Drift is reported, never applied."""
+    want = {f.name: f.dataType.simpleString() for f in expected.fields if f.name not in partitions}
+    top, rows = partitions[0], []
+    for name in list_dirs(spark, path):  # as many as the top level has, say years
+        if not name.startswith(f"{top}="):
+            continue
+        folder = name.split("=", 1)[1]
+        try:
+            found = spark.read.option("mergeSchema", "true").parquet(f"{path}/{name}").schema
+        except (PySparkException, Py4JJavaError) as e:
+            if "CANNOT_MERGE_SCHEMAS" not in str(e):
+                raise
+            rows.append((folder, None, None, None, "conflicting_files"))
+            continue
+        has = {f.name: f.dataType.simpleString() for f in found.fields if f.name not in partitions}
+        for c in [*want, *sorted(has.keys() - want.keys())]:
+            e, a = want.get(c), has.get(c)
+            status = "ok" if e == a else "missing" if a is None else "unexpected" if e is None else "type_changed"
+            rows.append((folder, c, e, a, status))
+    report = spark.createDataFrame(rows, "folder string, column_name string, expected_type string, actual_type string, status string")
+    counts = (spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in partitions])).parquet(path)
+              .groupBy(F.col(top).alias("folder")).agg(F.count(F.lit(1)).alias("n_rows")))
+    return report.join(counts, "folder")
 
 
 def sync_partitions(spark: SparkSession, table: str, path: str, schema: T.StructType,

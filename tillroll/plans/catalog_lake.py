@@ -220,16 +220,15 @@ def batch_run(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def schema_drift_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Processed as written by an older layout (no currency, amount as double)
-    compared with the expected schema."""
+    """Processed with two real layouts, years before L.DRIFT_YEAR without
+    currency and with amount as double, later ones with an extra column."""
     path = scratch_path(spark, "processed-drift")
-    old = to_processed_layout(_processed(spark, sf)).drop("currency").withColumn("amount", F.col("amount").cast("double"))
-    old.write.mode("overwrite").partitionBy("year", "month", "day").parquet(path)
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        return schema_drift(spark, path, schemas.PROCESSED)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
+    rows = to_processed_layout(_processed(spark, sf))
+    early = rows.filter(F.col("year") < L.DRIFT_YEAR).drop("currency").withColumn("amount", F.col("amount").cast("double"))
+    late = rows.filter(F.col("year") >= L.DRIFT_YEAR).withColumn("channel", F.lit("web"))
+    for part in (early, late):
+        part.write.mode("append").partitionBy("year", "month", "day").parquet(path)
+    return schema_drift(spark, path, schemas.PROCESSED, ["year", "month", "day"])
 
 
 QUERIES = {

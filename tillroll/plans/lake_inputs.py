@@ -19,6 +19,7 @@ WATERMARK = dt.date(1998, 6, 30)
 BACKFILL_DATE = dt.date(1999, 3, 15)
 OLD_BACKFILL_DATE = dt.date(1996, 2, 1)
 OVERWRITE_MONTH = ("1997", "06")
+DRIFT_YEAR = "1998"  # first year of the newer layout in the drift scenario
 COMPACT_MONTH = ("1997", "06")
 MOVED_ID_RESIDUE = 101  # every 101st order is re-sent one day later (moves partition)
 
