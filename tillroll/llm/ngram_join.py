@@ -358,13 +358,14 @@ def _between(lists: DataFrame, about: DataFrame, component: DataFrame, docs: Dat
     r = lambda c: radius.select(F.col("a").alias(c), F.col("r").alias(f"r_{c}"))
     wide = (apart.where(F.col("value") > limit).join(r("a"), "a", "left").join(r("b"), "b", "left")
             .where(F.col("value") - F.coalesce("r_a", F.lit(0.0)) - F.coalesce("r_b", F.lit(0.0)) <= limit)
-            .where("r_a IS NOT NULL OR r_b IS NOT NULL").select("a", "b", "value"))
+            .where("r_a IS NOT NULL OR r_b IS NOT NULL").select("a", "b", "value", F.coalesce("r_b", F.lit(0.0)).alias("r_b")))
     wide = save(wide, "join-wide")
     away = far.select(F.col("b").alias("id"), F.col("value").alias("d"))
     member = rest.join(away, "id", "left").select("token", "id", "n", "pos", "group", F.coalesce("d", F.lit(0.0)).alias("d"))
     x, y = (member.select("token", F.col("group").alias(c), F.col("id").alias(f"id_{c}"), F.col("n").alias(f"n_{c}"), F.col("pos").alias(f"pos_{c}"), F.col("d").alias(f"d_{c}")) for c in "ab")
-    opened = sharing.join(wide, ["a", "b"]).select("token", "a", "b", "value").distinct()
-    pairs = (opened.join(x, ["token", "a"]).join(y, ["token", "b"])
+    opened = sharing.join(wide, ["a", "b"]).select("token", "a", "b", "value", "r_b").distinct()
+    # a member of a that no member of b can reach is left out before b's are joined
+    pairs = (opened.join(x, ["token", "a"]).where(F.col("value") - F.col("d_a") - F.col("r_b") <= limit).join(y, ["token", "b"])
              .where((F.col("value") - F.col("d_a") - F.col("d_b") <= limit) & could(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b")))
              .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
     more = _links(_possible(pairs, about, percent), docs, words, percent, "join-2")
