@@ -21,6 +21,7 @@ from tillroll.llm.common import read, save
 
 TOXIC_FROM = 0.5     # calibrated score from which a document is rejected
 LANGUAGE_FROM = 0.4  # calibrated probability that a document's language must reach
+COPY_WORDS, COPY_PERCENT = 5, 80  # near copies: Jaccard of five-word shingles of 0.8 or more
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies."""
-    found = ngram_join.jaccard_join(docs.select("doc_id", "text"))
+    found = ngram_join.jaccard_join(docs.select("doc_id", "text"), COPY_WORDS, COPY_PERCENT)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
     with_id = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return with_id.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
