@@ -4,10 +4,12 @@ Character 1- to 3-grams of the lower-cased text (anything but letters counts
 as one space) are hashed into ``BUCKETS`` places; weights are 1 + log tf times
 idf, scaled to length 1.  The document frequencies come from all learning
 documents (partial sums per task, summed by Spark).  The regression is fitted
-on a bounded sample, the ``SAMPLE`` learning documents with the smallest hash
-of their id, by follow-the-regularised-leader with elastic-net penalties; a
-temperature fitted on a held-back fifth of the sample calibrates the scores.
-Predicting is a narrow map over all documents.
+on a bounded sample by follow-the-regularised-leader with elastic-net
+penalties: of every language the learning documents with the smallest hashes of
+id and text, as many of each as ``SAMPLE`` allows in all and ``LEAST`` at any
+rate, so rare languages are in it whole.  A temperature fitted on a held-back
+fifth of the sample calibrates the scores, and the languages' true shares are
+put into the bias.  Predicting is a narrow map over all documents.
 
 Defined cases: NULL text or one without a letter: ``und``, score 0; NULL lang
 teaches nothing; repeated rows count and are predicted each; without learning
@@ -24,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import map_batches, random_key, save, ship
@@ -32,6 +34,8 @@ from tillroll.llm.toxicity import fold
 
 BUCKETS = 1 << 14
 SAMPLE = 4000      # documents the regression is fitted on, at most
+LEAST = 50         # documents of each language in it, if there are as many, also beyond SAMPLE
+BINS = 1 << 12     # parts of the range of keys that are counted (three hexadecimal digits)
 GROUP_DOCS, GROUP_CHARS = 48, 1 << 18
 UNKNOWN = "und"
 
@@ -161,10 +165,47 @@ def fit_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((a + b) / 2))
 
 
+def sample_sizes(counts: dict[str, int]) -> dict[str, int]:
+    """Documents of each language in the sample: all of the rare ones, and as
+    many of each other as ``SAMPLE`` allows, ``LEAST`` at any rate."""
+    left, each = SAMPLE, 0
+    for i, c in enumerate(sorted(counts.values())):
+        each = left // (len(counts) - i)
+        if c > each:
+            break
+        left -= c
+        each = c
+    return {lang: min(c, max(each, LEAST)) for lang, c in counts.items()}
+
+
+def draw(learning: DataFrame) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
+    """The sample of ``learning`` (lang, text, key), and the numbers of its rows
+    and of all rows by language.  Keys are counted by bins; only the bin in
+    which a language's share ends is ordered."""
+    learning = learning.withColumn("bin", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
+    bins: dict[str, dict[int, int]] = {}
+    for r in learning.groupBy("lang", "bin").count().collect():  # at most BINS rows a language
+        bins.setdefault(r["lang"], {})[r["bin"]] = r["count"]
+    counts = {lang: sum(bins[lang].values()) for lang in sorted(bins)}
+    sizes = sample_sizes(counts)
+    ends = []
+    for lang, size in sizes.items():
+        for b in sorted(bins[lang]):
+            if size <= bins[lang][b]:
+                ends.append((lang, b, size))
+                break
+            size -= bins[lang][b]
+    last = learning.sparkSession.createDataFrame(ends, "lang string, last int, of_last long")
+    near = save(learning.join(F.broadcast(last), "lang").where("bin <= last"), "lang-near")
+    ordered = near.where("bin = last").withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
+    chosen = near.where("bin < last").select("key", "lang", "text").unionByName(ordered.where("place <= of_last").select("key", "lang", "text"))
+    return chosen, sizes, counts
+
+
 def fit(docs: DataFrame, folds: int = 3, held_out: int = 1) -> Model:
     """Learn from documents with a lang whose crc32(doc_id) mod ``folds`` is not ``held_out``."""
     learning = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
-                .select("doc_id", "lang", "text", random_key("doc_id", seed="lang").alias("key")))
+                .select("doc_id", "lang", "text", random_key("doc_id", "text", seed="lang").alias("key")))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, total = np.zeros(BUCKETS, np.int64), 0
@@ -183,10 +224,9 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1) -> Model:
     idf = np.full(BUCKETS, np.log(1 + total) + 1)
     idf[list(df)] = np.log((1 + total) / (1 + np.array(list(df.values())))) + 1
 
-    # the sample: everything up to the SAMPLE-th smallest key
-    keys = learning.select("key").orderBy("key").limit(SAMPLE).agg(F.max("key")).first()[0]
-    sample = save(learning.where(F.col("key") <= keys).repartition(8, "key").select("key", "lang", "text"), "lang-sample")
-    langs = [r["lang"] for r in sample.select("lang").distinct().orderBy("lang").collect()]
+    chosen, sizes, counts = draw(learning)
+    sample = save(chosen.repartition(8, "key"), "lang-sample")
+    langs = sorted(counts)
     model = Model(langs, idf)
     place = {name: i for i, name in enumerate(langs)}
 
@@ -204,12 +244,14 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1) -> Model:
                      pa.array([x.astype(np.int32) for x in np.split(bucket, cuts)], pa.list_(pa.int32())),
                      pa.array([x.astype(np.float32) for x in np.split(value, cuts)], pa.list_(pa.float32()))], ["key", "label", "bucket", "value"])
 
-    rows = map_batches(sample, sparse, "key string, label int, bucket array<int>, value array<float>").toPandas().sort_values("key", kind="stable")
+    rows = map_batches(sample, sparse, "key string, label int, bucket array<int>, value array<float>").toPandas().sort_values(["key", "label"], kind="stable")
     examples = [(np.append(b, BUCKETS), np.append(v, 1.0).astype(float), y) for b, v, y in zip(rows["bucket"], rows["value"], rows["label"])]
     kept_back, taught = examples[::5], [e for i, e in enumerate(examples) if i % 5]
     model.weights = ftrl(taught or examples, len(langs))
     logits = np.array([v @ model.weights[b] for b, v, _ in kept_back]).reshape(len(kept_back), len(langs))
     model.temperature = fit_temperature(logits, np.array([y for *_, y in kept_back], int))
+    # the sample's shares of the languages are replaced by the true ones
+    model.weights[-1] += model.temperature * np.log([counts[x] / sizes[x] for x in langs])
     return model
 
 
