@@ -24,6 +24,11 @@ in different components are compared in a second round, first as components:
 size ranges and histograms of the components' members bound the overlap that
 any two of them can have, and what a bound excludes is never opened.
 
+Links are counted apart (``jaccard_links``): they lie within components, so a
+component's classes are dealt to salted blocks, each pair of blocks meets in a
+task, and a query counts in how many inverted lists of its tokens each class of
+the other block occurs.  Only the counts leave the task.
+
 Defined cases: NULL and blank texts have no shingles and link with nothing;
 texts shorter than a shingle are one shingle, their word sequence; repeated
 rows are equal sets; rows that share a doc_id count as one document; a row
@@ -51,6 +56,8 @@ SKETCH_BITS = 20            # counters of the sketch of list lengths (4 MB)
 CHUNK = 1 << 12             # counters a row of it carries
 BINS = 256                  # bins of a document's token histogram
 BLOCK = 512                 # documents a query meets at a time, on average
+BLOCK_TOKENS = 1 << 21      # tokens of a block of classes whose links are counted, on average
+LISTED = 1 << 20            # entries of inverted lists that are counted at a time
 MU = 0.0085                 # DivideSkip's weight of merging against probing
 
 _SPACE = np.zeros(256, bool)
@@ -153,6 +160,11 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def _set_hash(s: np.ndarray) -> tuple[int, int]:
+    """A 128-bit hash of a set."""
+    return int(mix(s).sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(mix(s + _ODD[0]), initial=np.uint64(0)).astype(np.int64))
+
+
 def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(doc_id, n, h1, h2: a 128-bit hash of the set, bins: its histogram,
     short: the tokens whose lists are merged, shortest list first)."""
@@ -165,7 +177,7 @@ def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
             for doc, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1).to_pylist(), words)):
                 first = s[np.lexsort((s, lengths.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:len(s) - least_overlap(len(s), percent) + 1]] if len(s) else s
                 bins = np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-                out.append((doc, len(s), int(mix(s).sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(mix(s + _ODD[0]), initial=np.uint64(0)).astype(np.int64)),
+                out.append((doc, len(s), *_set_hash(s),
                             bins.astype(np.uint8).tobytes() if bins.max() < 256 else None, first.astype(np.int64)))
             cols = list(zip(*out)) or [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))],
@@ -299,6 +311,108 @@ def _distances(pairs: DataFrame, docs: DataFrame, words: int, name: str) -> Data
 
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
+    sets, placed = _joined(docs, words, percent)
+    return (sets.select("doc_id", "h1", "h2", "n").join(placed, ["h1", "h2", "n"], "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+
+
+def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of each row of ``docs``:
+    n_links is the number of other documents with an id that it links with,
+    equal sets included.  A class without any id links with nothing."""
+    sets, placed = _joined(docs, words, percent)
+    key = ["h1", "h2", "n"]
+    size = sets.where("n > 0 AND doc_id IS NOT NULL").select(*key, "doc_id").distinct().groupBy(key).agg(F.count(F.lit(1)).alias("size"))
+    placed = save(placed.join(size, key, "left"), "join-placed")
+    near = _near_counts(placed, docs, words, percent)
+    own = F.coalesce("size", F.lit(0)) - F.when(F.col("doc_id").isNotNull() & F.col("size").isNotNull(), 1).otherwise(0)
+    return (sets.select("doc_id", *key).join(placed, key, "left").join(near, key, "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
+                    (own + F.coalesce("near", F.lit(0))).alias("n_links")))
+
+
+def near_links(queries: list[np.ndarray], others: list[np.ndarray], percent: int) -> Iterator[np.ndarray]:
+    """For each query which of ``others`` link with it, by counting in how many
+    inverted lists of the query's tokens each of them occurs."""
+    sizes = np.fromiter(map(len, others), np.int64, len(others))
+    tokens = np.concatenate(others)
+    order = np.argsort(tokens, kind="stable")
+    owner = np.repeat(np.arange(len(others), dtype=np.int32), sizes)[order]
+    known, starts = np.unique(tokens[order], return_index=True)
+    ends = np.append(starts[1:], len(tokens))
+    for q in queries:
+        at = np.searchsorted(known, q)
+        at = at[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == q)]
+        a, held = starts[at], ends[at] - starts[at]
+        shared = np.zeros(len(others), np.int64)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(held) // LISTED)) + 1, [len(at)]])
+        for i, j in zip(cuts[:-1], cuts[1:]):  # a bounded number of entries at a time
+            n = held[i:j]
+            if len(n):
+                spots = np.repeat(a[i:j] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                shared += np.bincount(owner[spots], minlength=len(others))
+        yield 100 * shared >= percent * (len(q) + sizes - shared)
+
+
+def _near_counts(placed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(h1, h2, n, near): how many documents of other classes each class links with.
+    ``placed``: (h1, h2, n, rep, component, size) of all classes."""
+    key = ["h1", "h2", "n"]
+    listed = placed.where("rep IS NOT NULL")
+    groups = listed.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("tokens")).where("m > 1")
+    # blocks of 8 sqrt(m) classes, and of a bounded number of tokens on average
+    groups = groups.select("component", F.greatest(F.ceil(F.sqrt("m") / 8), F.ceil(F.col("tokens") / BLOCK_TOKENS)).alias("blocks"))
+    members = save(listed.join(groups, "component"), "links-members")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches):
+            found = [(i, *_set_hash(s), len(s), s.tobytes()) for i, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1).to_pylist(), words))]
+            cols = list(zip(*found)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
+                                             ["rep", "h1", "h2", "n", "set"])
+
+    wanted = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep", "text"])
+    held = map_batches(wanted, sets, "rep long, h1 long, h2 long, n long, set binary")
+    held = save(members.join(held, ["rep", *key]).dropDuplicates(["component", *key]), "links-sets")
+    block = F.pmod(F.xxhash64(*key), F.col("blocks"))
+    dealt = (held.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", *key, "size", "set"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, left, right = None, [], []
+
+        def out() -> pa.RecordBatch:
+            found = []
+            if at[1] == at[2]:
+                sizes = np.array([r[3] for r in left], np.int64)
+                for i, hit in enumerate(near_links([r[4] for r in left], [r[4] for r in left], percent)):
+                    found.append((*left[i][:3], int(sizes[hit].sum() - sizes[i])))
+            elif left and right:
+                sizes, back = np.array([r[3] for r in right], np.int64), np.zeros(len(right), np.int64)
+                for r, hit in zip(left, near_links([r[4] for r in left], [r[4] for r in right], percent)):
+                    found.append((*r[:3], int(sizes[hit].sum())))
+                    back += hit * r[3]
+                found += [(*r[:3], int(n)) for r, n in zip(right, back)]
+            cols = list(zip(*found)) or [()] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], [*key, "near"])
+
+        for b in small(batches):
+            for c, x, y, own, h1, h2, n, size, s in zip(*[v.to_pylist() for v in b.columns]):
+                if at != (c, x, y):
+                    if at:
+                        yield out()
+                    at, left, right = (c, x, y), [], []
+                (left if own == x else right).append((h1, h2, n, size, np.frombuffer(s, np.uint64)))
+        if at:
+            yield out()
+
+    together = dealt.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
+    found = map_batches(together, count, "h1 long, h2 long, n long, near long")
+    return save(found.groupBy(key).agg(F.sum("near").alias("near")), "links-near")
+
+
+def _joined(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(the described sets of all rows, (h1, h2, n, rep, component) of their classes)."""
     ship(docs.sparkSession)
     sets = _described(docs, words, percent)
     classes = save(sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "join-classes")
@@ -326,9 +440,8 @@ def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     if not more.isEmpty():
         component = connected_components(near.unionByName(more), "join-components-2")
 
-    placed = classes.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "n", F.coalesce("component", "rep").alias("component"))
-    return (sets.select("doc_id", "h1", "h2", "n").join(placed, ["h1", "h2", "n"], "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
+    placed = classes.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "n", "rep", F.coalesce("component", "rep").alias("component"))
+    return sets, placed
 
 
 def _between(lists: DataFrame, about: DataFrame, component: DataFrame, docs: DataFrame, words: int, percent: int, could) -> DataFrame:
@@ -375,4 +488,4 @@ def _between(lists: DataFrame, about: DataFrame, component: DataFrame, docs: Dat
 def op8(spark, sf_dir: str) -> DataFrame:
     from tillroll.llm.common import read
 
-    return jaccard_join(read(spark, sf_dir, "documents"))
+    return jaccard_links(read(spark, sf_dir, "documents"))
