@@ -6,6 +6,8 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +37,15 @@ def small(batches: Iterable, rows: int = 256) -> Iterator:
             yield b.slice(at, rows)
 
 
+def strings(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Spans of an array of UTF-8 bytes as Arrow strings."""
+    from tillroll.llm.pretokens import ragged
+
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    spans = np.ascontiguousarray(ragged(data, starts, sizes))
+    return pa.Array.from_buffers(pa.large_string(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(spans)]).cast(pa.string())
+
+
 _SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -67,6 +78,11 @@ def random_key(*cols: Column | str, seed: str = "") -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), *text))
 
 
+def key_hash(*cols: Column | str, seed: str = "") -> Column:
+    """The first 8 bytes of :func:`random_key`."""
+    return F.unhex(F.substring(random_key(*cols, seed=seed), 1, 16))
+
+
 def key_range(key: Column, ranges: Column) -> Column:
     """Which of ``ranges`` equal slices of the key space ``key`` lies in; the
     slices are in key order, so slice then key is the order of the key."""
