@@ -7,15 +7,18 @@ documents (partial sums per task, summed by Spark).  The regression is fitted
 on a bounded sample by follow-the-regularised-leader with elastic-net
 penalties: of every language the learning documents with the smallest hashes of
 id and text, as many of each as ``SAMPLE`` allows in all and ``LEAST`` at any
-rate, so rare languages are in it whole.  A temperature fitted on a held-back
-fifth of the sample calibrates the scores, and the languages' true shares are
-put into the bias.  Predicting is a narrow map over all documents.
+rate, so rare languages are in it whole.  Only keys are counted and ordered to
+draw it, and the few texts are fetched by their keys.  A temperature fitted on a
+held-back fifth of the sample calibrates the scores, and the languages' true
+shares are put into the bias.  Predicting is a narrow map over all documents.
 
 Defined cases: NULL text or one without a letter: ``und``, score 0; NULL lang
-teaches nothing; repeated rows count and are predicted each; without learning
-documents everything is ``und``; very long texts are worked in slices; an
-empty table gives an empty result; lang, source and doc_id are no inputs of a
-prediction.
+teaches nothing; repeated rows count in the frequencies and shares, are fitted
+once and predicted each; of equally likely languages the first by name is
+predicted; without learning documents everything is ``und``; very long texts
+are counted in slices, with the counts of the whole; an empty table gives an
+empty result; lang, source and doc_id are no inputs of a prediction; other
+columns are not read.
 """
 from __future__ import annotations
 
@@ -26,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,10 +51,14 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and _LETTER.search(text) is not None
 
 
-def _counts(texts: list[str]) -> np.ndarray:
-    """(len(texts), BUCKETS) n-gram counts."""
-    out = np.zeros(len(texts) * BUCKETS, np.int64)
-    clean = [_NOT_LETTERS.sub(" ", f" {t.lower()} ") for t in texts]
+def _clean(text: str) -> str:
+    return _NOT_LETTERS.sub(" ", f" {text.lower()} ")
+
+
+def _counts(clean: list[str], starts: int | None = None) -> np.ndarray:
+    """(len(clean), BUCKETS) counts of the n-grams, of those that begin among
+    the first ``starts`` characters if that is given."""
+    out = np.zeros(len(clean) * BUCKETS, np.int64)
     owner = np.repeat(np.arange(len(clean)), [len(c) for c in clean])
     cp = np.frombuffer("".join(clean).encode("utf-32-le"), np.uint32).astype(np.uint64)
     h = np.zeros(len(cp), np.uint64)
@@ -59,13 +67,14 @@ def _counts(texts: list[str]) -> np.ndarray:
         slot = (((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - 14)).astype(np.int64)
         first, last = owner[:len(h)], owner[n - 1:]
         slot += first * BUCKETS
-        out += np.bincount(slot if n == 1 else slot[first == last], minlength=len(out))
+        out += np.bincount((slot if n == 1 else slot[first == last])[:starts], minlength=len(out))
     return out.reshape(-1, BUCKETS)
 
 
 def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
     """(row, bucket, count, rows) for groups of the texts in order; a very long
-    text is counted slice by slice (n-grams across a slice's edge are left out)."""
+    text is counted slice by slice, each with the two characters that its last
+    n-grams reach beyond it."""
     group: list[str] = []
     held = 0
 
@@ -78,12 +87,12 @@ def grams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
             yield out(_counts(group))
             group, held = [], 0
         if len(t) > GROUP_CHARS:
-            total = np.zeros((1, BUCKETS), np.int64)
-            for a in range(0, len(t), GROUP_CHARS):
-                total += _counts([t[a:a + GROUP_CHARS]])
+            total, clean = np.zeros((1, BUCKETS), np.int64), _clean(t)
+            for a in range(0, len(clean), GROUP_CHARS):
+                total += _counts([clean[a:a + GROUP_CHARS + 2]], GROUP_CHARS)
             yield out(total)
         else:
-            group.append(t)
+            group.append(_clean(t))
             held += len(t)
     if group:
         yield out(_counts(group))
@@ -124,7 +133,31 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
-def ftrl(examples: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = 3, alpha: float = 1.0, beta: float = 1.0,
+class Examples:
+    """Sparse rows end to end: buckets and values between offsets, and labels."""
+
+    def __init__(self, offsets: np.ndarray, buckets: np.ndarray, values: np.ndarray, labels: np.ndarray, rows: np.ndarray | None = None):
+        self.parts = offsets, buckets, values, labels
+        self.rows = np.arange(len(labels)) if rows is None else rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(buckets, values, label) of a row, with the bias as last bucket."""
+        offsets, buckets, values, labels = self.parts
+        at = slice(offsets[self.rows[i]], offsets[self.rows[i] + 1])
+        return np.append(buckets[at], BUCKETS), np.append(values[at], 1.0).astype(float), int(labels[self.rows[i]])
+
+    def part(self, which: np.ndarray) -> Examples:
+        return Examples(*self.parts, self.rows[which])
+
+    @property
+    def labels(self) -> np.ndarray:
+        return self.parts[3][self.rows]
+
+
+def ftrl(examples: Sequence[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs: int = 3, alpha: float = 1.0, beta: float = 1.0,
          l1: float = 0.02, l2: float = 0.02, seed: int = 7) -> np.ndarray:
     """Weights (BUCKETS + 1, classes), the last row the bias, by
     follow-the-regularised-leader: per coordinate the closed-form minimum of
@@ -180,26 +213,26 @@ def sample_sizes(counts: dict[str, int]) -> dict[str, int]:
 
 def draw(learning: DataFrame) -> tuple[DataFrame, dict[str, int], dict[str, int]]:
     """The sample of ``learning`` (lang, text, key), and the numbers of its rows
-    and of all rows by language.  Keys are counted by bins; only the bin in
-    which a language's share ends is ordered."""
-    learning = learning.withColumn("bin", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
-    bins: dict[str, dict[int, int]] = {}
-    for r in learning.groupBy("lang", "bin").count().collect():  # at most BINS rows a language
-        bins.setdefault(r["lang"], {})[r["bin"]] = r["count"]
-    counts = {lang: sum(bins[lang].values()) for lang in sorted(bins)}
-    sizes = sample_sizes(counts)
-    ends = []
-    for lang, size in sizes.items():
-        for b in sorted(bins[lang]):
-            if size <= bins[lang][b]:
-                ends.append((lang, b, size))
-                break
-            size -= bins[lang][b]
-    last = learning.sparkSession.createDataFrame(ends, "lang string, last int, of_last long")
-    near = save(learning.join(F.broadcast(last), "lang").where("bin <= last"), "lang-near")
-    ordered = near.where("bin = last").withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
-    chosen = near.where("bin < last").select("key", "lang", "text").unionByName(ordered.where("place <= of_last").select("key", "lang", "text"))
-    return chosen, sizes, counts
+    and of all rows by language.  Distinct keys are counted by bins of their
+    range; only the bin in which a language's share ends is ordered."""
+    spark = learning.sparkSession
+    keys = (learning.groupBy("lang", "key").agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("bin", F.conv(F.substring("key", 1, 3), 16, 10).cast("int")))
+    keys = save(keys, "lang-keys")
+    bins = save(keys.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("keys"), F.sum("rows").alias("rows")), "lang-bins")
+    counts, distinct = {}, {}
+    for r in bins.groupBy("lang").agg(F.sum("keys").alias("keys"), F.sum("rows").alias("rows")).orderBy("lang").collect():  # a row a language
+        counts[r["lang"]], distinct[r["lang"]] = r["rows"], r["keys"]
+    sizes = sample_sizes(distinct)
+    wanted = spark.createDataFrame(list(sizes.items()), "lang string, wanted long")
+    before = F.sum("keys").over(Window.partitionBy("lang").orderBy("bin")) - F.col("keys")  # at most BINS rows a language
+    taken = (bins.withColumn("before", before).join(wanted, "lang").where("before < wanted")
+             .select("lang", "bin", "keys", F.least("keys", F.col("wanted") - F.col("before")).alias("taken")))
+    near = keys.join(taken, ["lang", "bin"])
+    place = F.row_number().over(Window.partitionBy("lang", "bin").orderBy("key"))
+    last = near.where("taken < keys").withColumn("place", place).where("place <= taken")
+    chosen = save(near.where("taken = keys").select("lang", "key").unionByName(last.select("lang", "key")), "lang-chosen")
+    return learning.join(chosen, ["lang", "key"]).dropDuplicates(["lang", "key"]).select("key", "lang", "text"), sizes, counts
 
 
 def fit(docs: DataFrame, folds: int = 3, held_out: int = 1) -> Model:
@@ -244,12 +277,17 @@ def fit(docs: DataFrame, folds: int = 3, held_out: int = 1) -> Model:
                      pa.array([x.astype(np.int32) for x in np.split(bucket, cuts)], pa.list_(pa.int32())),
                      pa.array([x.astype(np.float32) for x in np.split(value, cuts)], pa.list_(pa.float32()))], ["key", "label", "bucket", "value"])
 
-    rows = map_batches(sample, sparse, "key string, label int, bucket array<int>, value array<float>").toPandas().sort_values(["key", "label"], kind="stable")
-    examples = [(np.append(b, BUCKETS), np.append(v, 1.0).astype(float), y) for b, v, y in zip(rows["bucket"], rows["value"], rows["label"])]
-    kept_back, taught = examples[::5], [e for i, e in enumerate(examples) if i % 5]
-    model.weights = ftrl(taught or examples, len(langs))
+    rows = map_batches(sample, sparse, "key string, label int, bucket array<int>, value array<float>").toArrow()
+    label = rows["label"].to_numpy()
+    examples = Examples(np.concatenate([[0], np.cumsum(pc.list_value_length(rows["bucket"]).to_numpy())]),
+                        pc.list_flatten(rows["bucket"]).to_numpy(), pc.list_flatten(rows["value"]).to_numpy(), label,
+                        np.lexsort((label, rows["key"].to_numpy().astype(str))))
+    del rows
+    back = np.arange(len(examples)) % 5 == 0
+    kept_back, taught = examples.part(back), examples.part(~back)
+    model.weights = ftrl(taught if len(taught) else examples, len(langs))
     logits = np.array([v @ model.weights[b] for b, v, _ in kept_back]).reshape(len(kept_back), len(langs))
-    model.temperature = fit_temperature(logits, np.array([y for *_, y in kept_back], int))
+    model.temperature = fit_temperature(logits, kept_back.labels)
     # the sample's shares of the languages are replaced by the true ones
     model.weights[-1] += model.temperature * np.log([counts[x] / sizes[x] for x in langs])
     return model
