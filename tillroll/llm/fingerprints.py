@@ -5,14 +5,15 @@ with the smallest hash lies at its first or last place.  That depends on the
 k-mer alone, so the same passage gives the same anchors whatever surrounds it.
 A repeated k-mer counts once per occurrence (its hash is mixed with the number
 of the occurrence), so a page of one repeated line is like its own three
-quarters.  Of a document's anchors the ``size`` with the smallest hashes are
-its fingerprint: the number of anchors, then hash and place of each (8 hex
-digits apiece) in hash order.  Short texts have shorter k-mers (``SCALES``).
+quarters.  Short texts have shorter k-mers (``SCALES``).  What is written out of
+a document's anchors is its digest: their number, then hash and place (8 hex
+digits apiece) of the ``size`` with the smallest hashes.
 
-The likeness of two fingerprints looks at the ``size`` smallest hashes of
-their union: the anchors that both hold and whose places increase in both
-(a longest increasing chain: passages in the same order) estimate the Jaccard
-coefficient J, reported as the share of common anchors 2 J / (1 + J).
+The likeness of two texts looks at all their anchors, at the shorter text's
+scale: those that both hold and whose places increase in both (a longest
+increasing chain: passages in the same order), over those that either holds,
+are the Jaccard coefficient J; reported is the share of common anchors
+2 J / (1 + J).
 
 ``edited`` pairs each document with the next one by id.  Documents are dealt
 to ranges of doc_id at fixed bounds; the first document of each range also
@@ -20,10 +21,12 @@ visits the range before it, so one shuffle of the texts is enough and no range
 needs another's rows.
 
 Defined cases: NULL text counts as empty; a text of one character is one
-anchor, an empty one has none (two empty fingerprints are alike: 1, one empty:
-0); where s-mers tie, both ends of a k-mer may hold the smallest; rows with a NULL doc_id come first; repeated
-doc_ids follow each other by text; the only row's next document is itself; an
-empty table gives an empty result; other columns are not read.
+anchor, an empty one has none (two empty texts are alike: 1, one empty: 0);
+where s-mers tie, both ends of a k-mer may hold the smallest; very long texts
+are anchored in steps and compared by all anchors, as any other; rows with a
+NULL doc_id come first; repeated doc_ids follow each other by text; the only
+row's next document is itself; an empty table gives an empty result; other
+columns are not read.
 """
 from __future__ import annotations
 
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import map_batches, ship
 from tillroll.llm.hashing import MIX1, mix, powers
 
-SIZE = 64
+SIZE = 64  # anchors of a digest
 # (texts shorter than this, k, s)
 SCALES = ((16, 2, 1), (64, 4, 2), (1 << 62, 12, 6))
 STEP_CHARS = 1 << 20  # characters worked at a time, whatever the text's length
@@ -73,10 +76,17 @@ def syncmers(codes: np.ndarray, k: int, s: int) -> tuple[np.ndarray, np.ndarray]
     return mix((total[at + k] - total[at]) * down[at] + np.uint64(k)), at
 
 
-def anchors(text: str, size: int = SIZE) -> tuple[list[int], list[int], int]:
-    """The fingerprint as (hashes ascending, places, number of anchors)."""
+Anchors = tuple[np.ndarray, np.ndarray]  # hashes ascending, places
+
+
+def scale_of(text: str) -> tuple[int, int]:
+    return next((k, s) for limit, k, s in SCALES if len(text) < limit)
+
+
+def anchors(text: str, scale: tuple[int, int] | None = None) -> Anchors:
+    """All anchors of a text, at its own scale unless told."""
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    k, s = next((k, s) for limit, k, s in SCALES if len(codes) < limit)
+    k, s = scale or scale_of(text)
     if len(codes) <= STEP_CHARS:
         h, at = syncmers(codes, k, s)
     else:  # windows overlap by k - 1, so every k-mer is seen once
@@ -93,29 +103,44 @@ def anchors(text: str, size: int = SIZE) -> tuple[list[int], list[int], int]:
         h = np.where(new, h, mix(h + nth * MIX1))
         order = np.argsort(h, kind="stable")
         h, at = h[order], at[order]
-    return (h[:size] >> np.uint64(32)).tolist(), at[:size].tolist(), len(h)
-
-
-def encode(a: tuple[list[int], list[int], int]) -> str:
-    return f"{a[2]:08x}" + "".join(f"{h:08x}{p & 0xFFFFFFFF:08x}" for h, p in zip(a[0], a[1]))
-
-
-def likeness(a: tuple[list[int], list[int], int], b: tuple[list[int], list[int], int], size: int = SIZE) -> float:
-    """0 to 1: estimated share of common anchors in common order."""
-    if not a[0] or not b[0]:
-        return float(not a[0] and not b[0])
-    place = dict(zip(b[0], b[1]))
-    union = sorted(set(a[0]) | place.keys())[:size]
-    edge = union[-1]
-    shared = sorted((p, place[h]) for h, p in zip(a[0], a[1]) if h <= edge and h in place)
-    chain: list[int] = []  # longest chain of non-decreasing places
-    for _, q in shared:
-        i = bisect.bisect_right(chain, q)
-        chain[i:i + 1] = [q]
-    j = len(chain) / len(union)
+    return h, at
+
+
+def digest(a: Anchors, size: int = SIZE) -> str:
+    h, at = (a[0][:size] >> np.uint64(32)).tolist(), a[1][:size].tolist()
+    return f"{len(a[0]):08x}" + "".join(f"{x:08x}{p & 0xFFFFFFFF:08x}" for x, p in zip(h, at))
+
+
+def chain_length(q: np.ndarray) -> int:
+    """Length of the longest non-decreasing subsequence."""
+    drops = np.flatnonzero(q[1:] < q[:-1])
+    if not len(drops):
+        return len(q)
+    chain = q[:drops[0] + 1].tolist()  # ascending so far: its own best chain
+    for v in q[drops[0] + 1:].tolist():
+        i = bisect.bisect_right(chain, v)
+        chain[i:i + 1] = [v]
+    return len(chain)
+
+
+def likeness(a: Anchors, b: Anchors) -> float:
+    """0 to 1: the share of common anchors in common order, of two sets at one scale."""
+    if not len(a[0]) or not len(b[0]):
+        return float(len(a[0]) == len(b[0]))
+    at = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    shared = b[0][at] == a[0]
+    place, other = a[1][shared], b[1][at[shared]]
+    j = chain_length(other[np.argsort(place)]) / (len(a[0]) + len(b[0]) - len(place))
     return 2 * j / (1 + j)
 
 
+def alike(x: str, a: Anchors, y: str, b: Anchors) -> float:
+    """The likeness of two texts, given their anchors at their own scales."""
+    if x and y and (one := min(scale_of(x), scale_of(y))) != max(scale_of(x), scale_of(y)):
+        a, b = (own if scale_of(t) == one else anchors(t, one) for t, own in ((x, a), (y, b)))
+    return likeness(a, b)
+
+
 def edit(text: str, following: str) -> str:
     """The last quarter replaced by the front of the following document."""
     cut = len(text) // 4
@@ -160,9 +185,9 @@ def edited(docs: DataFrame, ranges: int, size: int = SIZE) -> DataFrame:
 
     def row(doc_id, text, a, following, b):
         changed = edit(text, following)
-        e = anchors(changed, size)
-        return (doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), encode(a), encode(e),
-                likeness(a, e, size), likeness(a, b, size))
+        e = anchors(changed)
+        return (doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), digest(a, size), digest(e, size),
+                alike(text, a, changed, e), alike(text, a, following, b))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, out = None, []
@@ -171,7 +196,7 @@ def edited(docs: DataFrame, ranges: int, size: int = SIZE) -> DataFrame:
                 text = text or ""
                 if held and held[0] == part and held[1] == 1:
                     continue  # a visitor with a repeated id: the first of them has come
-                a = anchors(text, size)
+                a = anchors(text)
                 if held and held[0] == part:
                     out.append(row(held[2], held[3], held[4], text, a))
                 held = (part, place, doc_id, text, a)
