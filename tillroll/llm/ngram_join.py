@@ -17,12 +17,16 @@ ones are merged, and the long ones are probed for what the merge found:
   that reach T less the number of long lists probe those by binary search, and
   those that reach T are links.
 
-No pairs within a group are listed.  Equal sets are one class.  Each short list
-gives pairs of its first member with the others only (as many as the list is
-long); verified, they join most copies.  Members of a list that are then still
-in different components are compared in a second round, first as components:
-size ranges and histograms of the components' members bound the overlap that
-any two of them can have, and what a bound excludes is never opened.
+Equal sets are one class, known by a number of its own, and no pairs within a
+group are listed.  Each short list gives pairs of its first member with the
+others only (as many as the list is long); verified, they join most copies.
+Members of a list that are then still in different components are compared in a
+second round, as components: those that share a list meet in salted blocks in a
+task, where size ranges and histograms bound the overlap that any two of their
+members can have; only those that no bound keeps apart leave it.  If the first
+members of two components do not link but others may, by the triangle
+inequality, the members within reach meet in blocks, one side the queries and
+the other the inverted lists, until the first link: it joins the components.
 
 Links are counted apart (``jaccard_links``): they lie within components, so a
 component's classes are dealt to salted blocks, each pair of blocks meets in a
@@ -31,9 +35,11 @@ the other block occurs.  Only the counts leave the task.
 
 Defined cases: NULL and blank texts have no shingles and link with nothing;
 texts shorter than a shingle are one shingle, their word sequence; repeated
-rows are equal sets; rows that share a doc_id count as one document; a row
-without doc_id is the class of its equals; very long texts are worked in
-slices; an empty table gives an empty result; other columns are not read.
+rows are equal sets; rows that share a doc_id and have different sets are
+documents of their own, each linked by its own text; a row without doc_id joins
+like any other, but a component of such rows only has no component_id; very
+long texts are worked in slices; an empty table gives an empty result; other
+columns are not read.
 """
 from __future__ import annotations
 
@@ -44,7 +50,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import connected_components, map_batches, save, ship, small
@@ -56,6 +62,7 @@ SKETCH_BITS = 20            # counters of the sketch of list lengths (4 MB)
 CHUNK = 1 << 12             # counters a row of it carries
 BINS = 256                  # bins of a document's token histogram
 BLOCK = 512                 # documents a query meets at a time, on average
+GROUPS = 512                # components of a list that meet others at a time, on average
 BLOCK_TOKENS = 1 << 21      # tokens of a block of classes whose links are counted, on average
 LISTED = 1 << 20            # entries of inverted lists that are counted at a time
 MU = 0.0085                 # DivideSkip's weight of merging against probing
@@ -166,7 +173,7 @@ def _set_hash(s: np.ndarray) -> tuple[int, int]:
 
 
 def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n, h1, h2: a 128-bit hash of the set, bins: its histogram,
+    """(doc_id, tag, n, h1, h2: a 128-bit hash of the set, bins: its histogram,
     short: the tokens whose lists are merged, shortest list first)."""
     spark = docs.sparkSession
     lengths = spark.sparkContext.broadcast(_sketch(docs, words).astype(np.uint32))  # 2**SKETCH_BITS counters
@@ -174,17 +181,18 @@ def _described(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             out = []
-            for doc, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1).to_pylist(), words)):
+            for s in shingle_sets(b.column(2).to_pylist(), words):
                 first = s[np.lexsort((s, lengths.value[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]))[:len(s) - least_overlap(len(s), percent) + 1]] if len(s) else s
                 bins = np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS)
-                out.append((doc, len(s), *_set_hash(s),
+                out.append((len(s), *_set_hash(s),
                             bins.astype(np.uint8).tobytes() if bins.max() < 256 else None, first.astype(np.int64)))
-            cols = list(zip(*out)) or [()] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))],
-                                             ["doc_id", "n", "h1", "h2", "bins", "short"])
+            cols = list(zip(*out)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(c, t) for c, t in zip(cols, kinds)]],
+                                             ["doc_id", "tag", "n", "h1", "h2", "bins", "short"])
 
-    found = save(map_batches(docs.select("doc_id", "text"), run, "doc_id long, n long, h1 long, h2 long, bins binary, short array<long>"), "join-sets")
-    return found
+    return save(map_batches(docs.select("doc_id", "tag", "text"), run,
+                            "doc_id long, tag binary, n long, h1 long, h2 long, bins binary, short array<long>"), "join-sets")
 
 
 def divide_skip(query: np.ndarray, others: list[np.ndarray], percent: int) -> list[int]:
@@ -247,19 +255,25 @@ def _possible(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     return map_batches(wide, run, "a long, b long")
 
 
-def _meet(pairs: DataFrame, docs: DataFrame, words: int, name: str, answer) -> DataFrame:
-    """(a, b, value) of the pairs (a, b) of class representatives for which
-    ``answer``(set of a, sets of a block of its b) names one: (index, value)."""
-    pairs = save(pairs, f"{name}-candidates")
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+def _sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame, words: int, name: str) -> DataFrame:
+    """(id, set) of the classes ``ids`` (id): the set of their first row."""
+    wanted = classes.join(ids, "id", "left_semi").select("id", F.col("rep.doc_id").alias("_doc"), F.col("rep.tag").alias("_tag"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small(batches):
             found = [s.tobytes() for s in shingle_sets(b.column(1).to_pylist(), words)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["id", "set"])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    held = save(map_batches(wanted, sets, "id long, set binary"), f"{name}-sets")
+    # rows that are equal in doc_id and text have one set; the first stands for them
+    rows = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_doc"]) & (docs["tag"] == wanted["_tag"])).select("id", "text").dropDuplicates(["id"])
+    return save(map_batches(rows, sets, "id long, set binary"), f"{name}-sets")
+
+
+def _meet(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, name: str, answer) -> DataFrame:
+    """(a, b, value) of the pairs (a, b) of classes for which ``answer``(set of
+    a, sets of a block of its b) names one: (index, value)."""
+    pairs = save(pairs, f"{name}-candidates")
+    held = _sets_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), classes, docs, words, name)
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     dealt = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"))
     others = dealt.join(held, dealt["b"] == held["id"]).select("a", "block", "b", "set")
@@ -279,8 +293,8 @@ def _meet(pairs: DataFrame, docs: DataFrame, words: int, name: str, answer) -> D
                     if key:
                         yield out()
                     key, query, ids, others = (a, block), None, [], []
-                if other is None:  # a repeated id has several texts; the first stands for it
-                    query = np.frombuffer(s, np.uint64) if query is None else query
+                if other is None:
+                    query = np.frombuffer(s, np.uint64)
                 else:
                     ids.append(other)
                     others.append(np.frombuffer(s, np.uint64))
@@ -288,16 +302,15 @@ def _meet(pairs: DataFrame, docs: DataFrame, words: int, name: str, answer) -> D
             yield out()
 
     together = others.unionByName(queries).repartition("a", "block").sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
-    found = map_batches(together, search, "a long, b long, value double")
-    return save(found.groupBy("a", "b").agg(F.min("value").alias("value")), f"{name}-found")
+    return save(map_batches(together, search, "a long, b long, value double"), f"{name}-found")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
     """The pairs that link, by T-occurrence search with a as the query."""
-    return _meet(pairs, docs, words, name, lambda query, others: [(i, 0.0) for i in divide_skip(query, others, percent)]).select("a", "b")
+    return _meet(pairs, classes, docs, words, name, lambda query, others: [(i, 0.0) for i in divide_skip(query, others, percent)]).select("a", "b")
 
 
-def _distances(pairs: DataFrame, docs: DataFrame, words: int, name: str) -> DataFrame:
+def _distances(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, name: str) -> DataFrame:
     """(a, b, value): the Jaccard distances of the pairs."""
     def answer(query: np.ndarray, others: list[np.ndarray]) -> list[tuple[int, float]]:
         out = []
@@ -306,20 +319,44 @@ def _distances(pairs: DataFrame, docs: DataFrame, words: int, name: str) -> Data
             out.append((i, 1 - shared / (len(query) + len(o) - shared)))
         return out
 
-    return _meet(pairs, docs, words, name, answer)
+    return _meet(pairs, classes, docs, words, name, answer)
+
+
+def _tag() -> Column:
+    """A 128-bit hash of the text, which tells texts of one doc_id apart."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
+def _tagged(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _tag().alias("tag"), "text")
 
 
 def jaccard_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
-    sets, placed = _joined(docs, words, percent)
+    sets, placed = _joined(_tagged(docs), words, percent)
     return (sets.select("doc_id", "h1", "h2", "n").join(placed, ["h1", "h2", "n"], "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")))
 
 
+def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` (doc_id, text and any other columns) with one row of each
+    component, that of the smallest doc_id (a NULL one last, then the text's
+    hash); rows without shingles stay, repeated ones (equal doc_id and text) once."""
+    tagged = docs.withColumns({"_join_id": F.col("doc_id").cast("long"), "_join_tag": _tag()})
+    sets, placed = _joined(_tagged(docs), words, percent)
+    rows = sets.select("doc_id", "tag", "h1", "h2", "n").join(placed, ["h1", "h2", "n"], "left")
+    first = rows.where("n > 0").groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag")).alias("_f"))
+    kept = (first.select(F.col("_f.doc_id").alias("_kept"), F.col("_f.tag").alias("_of"))
+            .unionByName(rows.where("n = 0").select(F.col("doc_id").alias("_kept"), F.col("tag").alias("_of")).distinct()))
+    found = tagged.join(kept, F.col("_join_id").eqNullSafe(F.col("_kept")) & (F.col("_join_tag") == F.col("_of")), "left_semi")
+    return found.dropDuplicates(["_join_id", "_join_tag"]).select(docs.columns)
+
+
 def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of each row of ``docs``:
     n_links is the number of other documents with an id that it links with,
     equal sets included.  A class without any id links with nothing."""
+    docs = _tagged(docs)
     sets, placed = _joined(docs, words, percent)
     key = ["h1", "h2", "n"]
     size = sets.where("n > 0 AND doc_id IS NOT NULL").select(*key, "doc_id").distinct().groupBy(key).agg(F.count(F.lit(1)).alias("size"))
@@ -356,24 +393,14 @@ def near_links(queries: list[np.ndarray], others: list[np.ndarray], percent: int
 
 def _near_counts(placed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(h1, h2, n, near): how many documents of other classes each class links with.
-    ``placed``: (h1, h2, n, rep, component, size) of all classes."""
+    ``placed``: (id, h1, h2, n, rep, group, component, size) of all classes."""
     key = ["h1", "h2", "n"]
-    listed = placed.where("rep IS NOT NULL")
-    groups = listed.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("tokens")).where("m > 1")
+    listed = placed.where("size IS NOT NULL")
+    groups = listed.groupBy("group").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("tokens")).where("m > 1")
     # blocks of 8 sqrt(m) classes, and of a bounded number of tokens on average
-    groups = groups.select("component", F.greatest(F.ceil(F.sqrt("m") / 8), F.ceil(F.col("tokens") / BLOCK_TOKENS)).alias("blocks"))
-    members = save(listed.join(groups, "component"), "links-members")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small(batches):
-            found = [(i, *_set_hash(s), len(s), s.tobytes()) for i, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1).to_pylist(), words))]
-            cols = list(zip(*found)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))],
-                                             ["rep", "h1", "h2", "n", "set"])
-
-    wanted = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep", "text"])
-    held = map_batches(wanted, sets, "rep long, h1 long, h2 long, n long, set binary")
-    held = save(members.join(held, ["rep", *key]).dropDuplicates(["component", *key]), "links-sets")
+    groups = groups.select("group", F.greatest(F.ceil(F.sqrt("m") / 8), F.ceil(F.col("tokens") / BLOCK_TOKENS)).alias("blocks"))
+    members = save(listed.join(groups, "group").select("id", *key, F.col("group").alias("component"), "size", "blocks"), "links-members")
+    held = members.join(_sets_of(members.select("id"), placed, docs, words, "links"), "id")
     block = F.pmod(F.xxhash64(*key), F.col("blocks"))
     dealt = (held.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("component", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", *key, "size", "set"))
@@ -411,77 +438,158 @@ def _near_counts(placed: DataFrame, docs: DataFrame, words: int, percent: int) -
     return save(found.groupBy(key).agg(F.sum("near").alias("near")), "links-near")
 
 
+def _could(n1, p1, n2, p2, percent: int):
+    """Sizes within reach of each other, and enough tokens left from the shared one on."""
+    least, most = F.least(n1, n2), F.greatest(n1, n2)
+    return (100 * least >= percent * most) & ((100 + percent) * F.least(n1 - p1, n2 - p2) >= percent * (n1 + n2))
+
+
 def _joined(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(the described sets of all rows, (h1, h2, n, rep, component) of their classes)."""
+    """(the described sets of all rows, (id, h1, h2, n, rep, group, component) of
+    their classes: ``rep`` a row of the class, ``group`` the classes that reach
+    each other, ``component`` the smallest doc_id among them)."""
     ship(docs.sparkSession)
+    key = ["h1", "h2", "n"]
     sets = _described(docs, words, percent)
-    classes = save(sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep")), "join-classes")
-    reps = classes.where("rep IS NOT NULL").select(F.col("rep").alias("id"), "h1", "h2", "n")
-    firsts = save(sets.join(reps.withColumnRenamed("id", "doc_id"), ["doc_id", "h1", "h2", "n"], "left_semi")
-                  .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n", "bins", "short"), "join-firsts")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tag"))
+    classes = sets.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("low"), first.alias("rep"))
+    classes = save(classes.withColumn("id", F.monotonically_increasing_id()), "join-classes")  # saved, so the numbers stay
+    reps = classes.select("id", F.col("rep.doc_id").alias("_doc"), F.col("rep.tag").alias("_tag"))
+    firsts = save(sets.join(reps, sets["doc_id"].eqNullSafe(reps["_doc"]) & (sets["tag"] == reps["_tag"])).dropDuplicates(["id"])
+                  .select("id", "n", "bins", "short"), "join-firsts")
 
     # the short lists with more than one member; each member is told the list's first
     listed = firsts.select("id", "n", F.posexplode("short").alias("pos", "token"))
-    whole = Window.partitionBy("token")
-    listed = listed.withColumn("size", F.count(F.lit(1)).over(whole)).withColumn("head", F.min(F.struct("id", "n", "pos")).over(whole))
-    lists = save(listed.where("size > 1"), "join-lists")
+    about_list = listed.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n", "pos")).alias("head")).where("size > 1")
+    lists = save(listed.join(about_list, "token"), "join-lists")
 
-    def could(n1, p1, n2, p2):
-        """Sizes within reach of each other, and enough tokens left from the shared one on."""
-        least, most = F.least(n1, n2), F.greatest(n1, n2)
-        return (100 * least >= percent * most) & ((100 + percent) * F.least(n1 - p1, n2 - p2) >= percent * (n1 + n2))
-
-    star = (lists.where((F.col("id") != F.col("head.id")) & could(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos")))
+    star = (lists.where((F.col("id") != F.col("head.id")) & _could(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"), percent))
             .select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct())
     about = firsts.select("id", "n", "bins", F.lit(0.0).alias("radius"))
-    near = _links(_possible(star, about, percent), docs, words, percent, "join-1")
+    near = _links(_possible(star, about, percent), classes, docs, words, percent, "join-1")
     component = connected_components(near, "join-components-1")
-    more = _between(lists, about, component, docs, words, percent, could)
+    more = _between(lists, about, component, classes, docs, words, percent)
     if not more.isEmpty():
         component = connected_components(near.unionByName(more), "join-components-2")
 
-    placed = classes.join(component.withColumnRenamed("node", "rep"), "rep", "left").select("h1", "h2", "n", "rep", F.coalesce("component", "rep").alias("component"))
-    return sets, placed
+    placed = classes.join(component.withColumnRenamed("node", "id"), "id", "left").withColumn("group", F.coalesce("component", "id")).drop("component")
+    low = placed.groupBy("group").agg(F.min("low").alias("component"))
+    return sets, placed.join(low, "group").select("id", *key, "rep", "group", "component")
+
+
+def _near_groups(groups: DataFrame, percent: int) -> DataFrame:
+    """The pairs a < b of components that share a list and that no bound keeps
+    apart.  ``groups``: (token, group, least, most: the sizes of its members in
+    the list, n, bins, radius: of the component's first document).  A list's
+    components meet in blocks; only pairs within reach leave a task."""
+    blocks = groups.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / GROUPS).alias("blocks"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
+    dealt = (groups.join(blocks, "token").withColumn("block", F.pmod(F.xxhash64("group"), F.col("blocks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "group", "least", "most", "n", "radius", "bins"))
+    limit = 1 - percent / 100 + 1e-9
+
+    def within(rows: list[tuple], x: int, y: int) -> Iterator[tuple[int, int]]:
+        own, group, least, most, n, radius = (np.array(c) for c in list(zip(*rows))[:6])
+        known = np.array([r[6] is not None for r in rows])
+        bins = np.frombuffer(b"".join(r[6] or bytes(BINS) for r in rows), np.uint8).reshape(-1, BINS)
+        right = np.flatnonzero(own == y)
+        for i in np.flatnonzero(own == x).tolist():
+            others = right[right > i] if x == y else right
+            others = others[(100 * most[others] >= percent * least[i]) & (100 * most[i] >= percent * least[others]) & (group[others] != group[i])]
+            shared = np.minimum(bins[others], bins[i]).sum(1, dtype=np.int64)
+            far = 1 - shared / np.maximum(1, n[others] + n[i] - shared) - radius[others] - radius[i] > limit
+            for j in others[~(far & known[others] & known[i])].tolist():
+                yield min(group[i], group[j]), max(group[i], group[j])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows, found = None, [], set()
+        for b in itertools.chain(small(batches), [None]):
+            for t, x, y, *row in zip(*[c.to_pylist() for c in b.columns]) if b is not None else [(None, None, None)]:
+                if at != (t, x, y):
+                    if len(rows) > 1:
+                        found.update(within(rows, at[1], at[2]))
+                    at, rows = (t, x, y), []
+                rows.append(tuple(row))
+            if found and (b is None or len(found) > 1 << 16):
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+                found = set()
+
+    together = dealt.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
+    return map_batches(together, meet, "a long, b long").distinct()
+
+
+def _first_links(sides: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """One link (a, b) at least of each two components (x, y) that have one
+    among the members listed in ``sides`` (x, y, left: is it of x, id): blocks
+    of x's members as queries meet blocks of y's, up to the first link."""
+    sides = save(sides, f"{name}-members")
+    held = _sets_of(sides.select("id").distinct(), classes, docs, words, name)
+    blocks = sides.groupBy("x", "y").agg(*[F.ceil(F.greatest(F.lit(1), F.count_if(c)) / BLOCK).alias(k) for k, c in (("lefts", F.col("left")), ("rights", ~F.col("left")))])
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("left"), F.col("lefts")).otherwise(F.col("rights")))
+    across = F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("left"), F.col("rights")).otherwise(F.col("lefts")) - 1))
+    dealt = (sides.join(blocks, ["x", "y"]).withColumn("own", own).withColumn("across", across)
+             .select("x", "y", F.when(F.col("left"), F.col("own")).otherwise(F.col("across")).alias("i"),
+                     F.when(F.col("left"), F.col("across")).otherwise(F.col("own")).alias("j"), "left", "id").join(held, "id"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, left, right = None, [], []
+
+        def out() -> list[tuple[int, int]]:
+            others = [s for _, s in right]
+            for a, query in left if others else []:
+                if hit := divide_skip(query, others, percent):
+                    return [(a, right[hit[0]][0])]
+            return []
+
+        for b in itertools.chain(small(batches), [None]):
+            found = []
+            for x, y, i, j, is_left, of, s in zip(*[c.to_pylist() for c in b.columns]) if b is not None else [(None,) * 7]:
+                if at != (x, y, i, j):
+                    found += out() if at else []
+                    at, left, right = (x, y, i, j), [], []
+                if s is not None:
+                    (left if is_left else right).append((of, np.frombuffer(s, np.uint64)))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+
+    together = dealt.select("x", "y", "i", "j", "left", "id", "set").repartition("x", "y", "i", "j").sortWithinPartitions("x", "y", "i", "j")
+    return save(map_batches(together, search, "a long, b long"), f"{name}-found")
 
 
-def _between(lists: DataFrame, about: DataFrame, component: DataFrame, docs: DataFrame, words: int, percent: int, could) -> DataFrame:
-    """Links between documents that share a list, besides its first, and are in
+def _between(lists: DataFrame, about: DataFrame, component: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between classes that share a list, besides its first, and are in
     different components: enough of them to join what belongs together."""
     limit = 1 - percent / 100 + 1e-9
     of = component.select(F.col("node").alias("id"), F.col("component").alias("group"))
     rest = (lists.where((F.col("size") > 2) & (F.col("id") != F.col("head.id"))).join(of, "id", "left")
-            .select("token", "id", "n", "pos", F.coalesce("group", "id").alias("group")))
+            .select("token", "id", "n", F.coalesce("group", "id").alias("group")))
     rest = save(rest, "join-rest")
 
-    # components that share a list, with sizes within reach
-    groups = rest.groupBy("token", "group").agg(F.min("n").alias("n"), F.max("n").alias("most"))
-    mixed = groups.join(groups.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "token")
-    left, right = (mixed.select("token", F.col("group").alias(c), F.col("n").alias(f"n_{c}"), F.col("most").alias(f"most_{c}")) for c in "ab")
-    sharing = (left.join(right, "token").where((F.col("a") < F.col("b")) & (100 * F.col("most_a") >= percent * F.col("n_b")) & (100 * F.col("most_b") >= percent * F.col("n_a")))
-               .select("token", "a", "b"))
-
     # how far members lie from their component's first document
-    far = _distances(of.where("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), docs, words, "join-radius")
+    far = _distances(of.where("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), classes, docs, words, "join-radius")
     radius = far.groupBy("a").agg(F.max("value").alias("r"))
-    firsts = about.join(radius.withColumnRenamed("a", "id"), "id", "left").select("id", "n", "bins", F.coalesce("r", F.lit(0.0)).alias("radius"))
-    apart = _distances(_possible(sharing.select("a", "b").distinct(), firsts, percent), docs, words, "join-apart")
+    firsts = about.join(radius.withColumnRenamed("a", "id"), "id", "left").select(F.col("id").alias("group"), "n", "bins", F.coalesce("r", F.lit(0.0)).alias("radius"))
+
+    # components that share a list
+    groups = rest.groupBy("token", "group").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    mixed = save(groups.join(groups.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token"), "token", "left_semi"), "join-mixed")
+    apart = _distances(_near_groups(mixed.join(firsts, "group"), percent), classes, docs, words, "join-apart")
     direct = apart.where(F.col("value") <= limit).select("a", "b")
 
     # components whose first documents are too far apart to link, but not too far for their members
     r = lambda c: radius.select(F.col("a").alias(c), F.col("r").alias(f"r_{c}"))
+    reach = lambda c: F.coalesce(f"r_{c}", F.lit(0.0))
     wide = (apart.where(F.col("value") > limit).join(r("a"), "a", "left").join(r("b"), "b", "left")
-            .where(F.col("value") - F.coalesce("r_a", F.lit(0.0)) - F.coalesce("r_b", F.lit(0.0)) <= limit)
-            .where("r_a IS NOT NULL OR r_b IS NOT NULL").select("a", "b", "value", F.coalesce("r_b", F.lit(0.0)).alias("r_b")))
+            .where((F.col("value") - reach("a") - reach("b") <= limit) & (F.col("r_a").isNotNull() | F.col("r_b").isNotNull()))
+            .select(F.col("a").alias("x"), F.col("b").alias("y"), "value", reach("a").alias("r_x"), reach("b").alias("r_y")))
     wide = save(wide, "join-wide")
     away = far.select(F.col("b").alias("id"), F.col("value").alias("d"))
-    member = rest.join(away, "id", "left").select("token", "id", "n", "pos", "group", F.coalesce("d", F.lit(0.0)).alias("d"))
-    x, y = (member.select("token", F.col("group").alias(c), F.col("id").alias(f"id_{c}"), F.col("n").alias(f"n_{c}"), F.col("pos").alias(f"pos_{c}"), F.col("d").alias(f"d_{c}")) for c in "ab")
-    opened = sharing.join(wide, ["a", "b"]).select("token", "a", "b", "value", "r_b").distinct()
-    # a member of a that no member of b can reach is left out before b's are joined
-    pairs = (opened.join(x, ["token", "a"]).where(F.col("value") - F.col("d_a") - F.col("r_b") <= limit).join(y, ["token", "b"])
-             .where((F.col("value") - F.col("d_a") - F.col("d_b") <= limit) & could(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b")))
-             .select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
-    more = _links(_possible(pairs, about, percent), docs, words, percent, "join-2")
+    member = rest.join(mixed.select("token", "group"), ["token", "group"], "left_semi").select("id", "group").distinct()
+    member = save(member.join(away, "id", "left").select("id", "group", F.coalesce("d", F.lit(0.0)).alias("d")), "join-members")
+    # of either component the members that some member of the other can be within reach of
+    side = lambda c, o, left: (wide.join(member, F.col(c) == F.col("group")).where(F.col("value") - F.col("d") - F.col(f"r_{o}") <= limit)
+                               .select("x", "y", F.lit(left).alias("left"), "id"))
+    more = _first_links(side("x", "y", True).unionByName(side("y", "x", False)), classes, docs, words, percent, "join-2")
     return direct.unionByName(more)
 
 
