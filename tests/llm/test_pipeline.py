@@ -37,7 +37,7 @@ def test_stages_against_brute_force(spark, fixture):
     kept = [r for r, s in zip(kept, model.scores([r[1] or "" for r in kept])) if s < 0.5]
     known = language.fit(table(spark, kept))
     kept = [r for r, lang, s in zip(kept, *known.predict([r[1] for r in kept])) if lang != "und" and s >= corpus_pipeline.LANGUAGE_FROM]
-    low = {i: c for i, _, c in _brute(kept)}
+    low = {i: c for i, _, c in _brute(kept, corpus_pipeline.COPY_WORDS, corpus_pipeline.COPY_PERCENT)}
     seen = set()
     kept = [r for r in kept if r[0] is None or low[r[0]] == r[0] and not (r[0] in seen or seen.add(r[0]))]
     copies = Counter()
