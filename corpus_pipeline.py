@@ -6,10 +6,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
 as Parquet to the shared folder and read again as the next stage's docs.  All
 but the last return the columns of documents.
 
-Defined cases, besides those of the operators: rows without doc_id are never
-copies by id, so the join stage keeps them; rows that share a doc_id are one
-document there, and one of them stays; other columns, whatever their names,
-pass through all stages but the last; empty tables pass through.
+Defined cases, besides those of the operators: rows without doc_id are copies
+by their text as any other; rows that share a doc_id and have different texts
+are different documents; rows that are equal in doc_id and text are one for the
+join stage, with or without shingles; other columns, whatever their names, pass
+through all stages but the last; empty tables pass through.
 """
 from __future__ import annotations
 
@@ -37,11 +38,8 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    found = ngram_join.jaccard_join(docs.select("doc_id", "text"), COPY_WORDS, COPY_PERCENT)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    with_id = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return with_id.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group of near copies, that with the smallest id."""
+    return ngram_join.one_of_each(docs, COPY_WORDS, COPY_PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
