@@ -95,8 +95,52 @@ def test_compaction_of_a_stream_table_and_complete_progress(spark):
     assert before.count() == copy.count() == 12
     assert file_report(spark, f"{out}/clean_compacted", ["event_date"]).first()["n_files"] == 1
     read = {}
-    for p in SP.progress(run):
-        read[p["query_name"]] = read.get(p["query_name"], 0) + p["num_input_rows"]
-    assert read == {"dlq": 12, "clean": 12, "agg": 12}
-    # beyond Spark's own list, the listener's records count
-    assert sum(run.log.records.values()) == 36
+    for r in SP.progress(spark, out, SP.file_rows(spark, "text", inbox)).collect():
+        read.setdefault(r.query_name, []).append((r.batch_id, r.num_input_rows))
+    assert {q: sorted(b) for q, b in read.items()} == {"dlq": [(i, 3) for i in range(4)], "clean": [(i, 3) for i in range(4)], "agg": [(0, 12)]}
+
+
+def test_one_deduplication_state(spark):
+    """Only the clean table's query keeps ids as state; the totals keep windows."""
+    inbox, out = scratch_path(spark, "t-state-in"), scratch_path(spark, "t-state-out")
+    local = inbox.replace("file:", "")
+    os.makedirs(local)
+    with open(f"{local}/b.json", "w") as fh:
+        fh.write("\n".join([_ev("T1", "north", "1.0", OLD), _ev("T1", "north", "1.0", OLD), _ev("T2", "north", "2.0", OLD), _ev("T3", "east", "4.0", NOW)]) + "\n")
+    run = SP.start(spark, SP.read_source(spark, "files", inbox), out)
+    SP.await_all(run)
+    root = f"{out}/_checkpoints/transactions_stream".replace("file:", "")
+    operators = {name: sorted(os.listdir(f"{root}/{name}/state")) if os.path.isdir(f"{root}/{name}/state") else [] for name in ("dlq", "clean", "agg")}
+    assert operators == {"dlq": [], "clean": ["0"], "agg": ["0"]}
+    plan = {q.name: q._jsq.explainInternal(False) if hasattr(q._jsq, "explainInternal") else "" for q in run.queries}
+    assert "Dedup" not in plan["agg"] and "Dedup" not in plan["dlq"]
+    sums = [tuple(r) for r in spark.read.parquet(run.agg_path).select("region", "txn_count", "total_sales").collect()]
+    assert [(r, n, float(t)) for r, n, t in sums] == [("NORTH", 2, 3.0)]
+
+
+def test_progress_of_more_than_a_hundred_batches_and_a_restart(spark):
+    """The checkpoints tell every batch, also beyond what Spark lists; the
+    progress table is appended to and never counts a batch twice."""
+    inbox, out = scratch_path(spark, "t-many-in"), scratch_path(spark, "t-many-out")
+    local = inbox.replace("file:", "")
+    os.makedirs(local)
+
+    def arrive(first, last):
+        for i in range(first, last):
+            with open(f"{local}/b{i:03d}.json", "w") as fh:
+                fh.write("\n".join("not json" for _ in range(1 + i % 3)) + "\n")
+            os.utime(f"{local}/b{i:03d}.json", (1_600_000_000 + i,) * 2)
+
+    def dlq_only():
+        parsed = SP.parse(SP.read_source(spark, "files", inbox, SP.file_options(1)))
+        SP._ended(SP._start_sink(SP.dlq(parsed), out, SP.DLQ, once=True))
+        return SP.record_progress(spark, out, SP.file_rows(spark, "text", inbox))
+
+    arrive(0, 105)
+    first = dlq_only()
+    assert [tuple(r) for r in first.orderBy("batch_id").collect()] == [("dlq", i, 1 + i % 3) for i in range(105)]
+    arrive(105, 107)
+    assert [tuple(r) for r in dlq_only().orderBy("batch_id").collect()] == [("dlq", i, 1 + i % 3) for i in range(107)]
+    for i in range(107):  # the sources may go, the table stays
+        os.remove(f"{local}/b{i:03d}.json")
+    assert spark.read.parquet(f"{out}/progress/transactions_stream").count() == 107

@@ -8,7 +8,6 @@ from __future__ import annotations
 import argparse
 import logging
 import sys
-from collections import Counter
 
 from pyspark.sql import SparkSession
 
@@ -49,17 +48,12 @@ def stream(a: argparse.Namespace) -> None:
 
     options = {"files": lambda: job.file_options(), "kafka": lambda: job.kafka_options(a.bootstrap, a.topic, a.max_records),
                "kinesis": lambda: job.kinesis_options(a.stream, a.region, a.max_records)}[a.source]()
-    run = job.run_stream(_session(a.local, "tillroll-stream"), a.source, a.output.rstrip("/"),
-                         a.input if a.source == "files" else None, options, once=a.once)
-    for name, rows in _rows_per_query(job.progress(run)):
-        logging.info("%s read %d rows", name, rows)
-
-
-def _rows_per_query(records: list[dict]) -> list[tuple[str, int]]:
-    total: Counter = Counter()
-    for r in records:
-        total[r["query_name"]] += r["num_input_rows"]
-    return sorted(total.items())
+    spark, out = _session(a.local, "tillroll-stream"), a.output.rstrip("/")
+    job.run_stream(spark, a.source, out, a.input if a.source == "files" else None, options, once=a.once)
+    if a.source == "files":
+        table = spark.read.schema(job.PROGRESS).parquet(f"{out}/{C.STREAM_PROGRESS_DIR}")
+        for r in table.groupBy("query_name").agg({"num_input_rows": "sum"}).orderBy("query_name").collect():  # a row a query
+            logging.info("%s read %d rows", *r)
 
 
 def main(argv: list[str] | None = None) -> int:

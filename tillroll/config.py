@@ -57,6 +57,7 @@ STREAM_CLEAN_DIR = "processed/transactions_stream"
 STREAM_AGG_DIR = "curated/region_sales_5min"
 STREAM_DLQ_DIR = "dlq/transactions_stream"
 STREAM_CHECKPOINT_DIR = "_checkpoints/transactions_stream"
+STREAM_PROGRESS_DIR = "progress/transactions_stream"
 # Kafka with IAM authentication, and the Kinesis endpoint pattern.
 KAFKA_IAM_OPTIONS = {
     "kafka.security.protocol": "SASL_SSL",

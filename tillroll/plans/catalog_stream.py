@@ -19,19 +19,22 @@ CLEAN_COLUMNS = ["transaction_id", "customer_id", "region", "store_id", "amount"
 _RUNS: dict[tuple[str, str], dict] = {}
 
 
+def _source(spark: SparkSession, inbox: str) -> DataFrame:
+    """The staged payloads as a stream, one folder of files a trigger."""
+    return SP.read_source(spark, "files", f"{inbox}/batch=*", SP.file_options(P.FILES_PER_BATCH))
+
+
 def _staged(spark: SparkSession, sf: str) -> dict:
     pin_session(spark)
     key = (spark.sparkContext.applicationId, sf)
     if key not in _RUNS:
         lines_path = scratch_path(spark, "stream-lines-all")
         P.event_lines(spark, sf).write.mode("overwrite").parquet(lines_path)
-        lines = spark.read.parquet(lines_path)
         inbox = scratch_path(spark, "stream-in")
-        P.stage_files(spark, lines, inbox)
-        run = SP.start(spark, SP.read_source(spark, "files", f"{inbox}/batch_*", SP.file_options(1)),
-                       scratch_path(spark, "stream-out"), cfg=_cfg(spark))
+        P.stage_batches(spark.read.parquet(lines_path), inbox)
+        run = SP.start(spark, _source(spark, inbox), scratch_path(spark, "stream-out"), cfg=_cfg(spark))
         SP.await_all(run)
-        _RUNS[key] = {"lines": lines_path, "run": run, "progress": SP.progress(run)}
+        _RUNS[key] = {"lines": lines_path, "run": run, "inbox": inbox}
     return _RUNS[key]
 
 
@@ -88,26 +91,23 @@ def stream_late_drop(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs on one checkpoint: the first half of the files, then the rest
+    """Two runs on one checkpoint: the first half of the batches, then the rest
     added and the query restarted.  Output must equal a single run."""
     pin_session(spark)
     lines = _lines(spark, sf)
-    numbers = [r[0] for r in lines.select("file_no").distinct().orderBy("file_no").collect()]
-    half = len(numbers) // 2
-    inbox = scratch_path(spark, "stream-restart-in")
-    out = scratch_path(spark, "stream-restart-out")
-    P.stage_files(spark, lines, inbox, numbers[:half])
-    first = SP.start(spark, SP.read_source(spark, "files", f"{inbox}/batch_*", SP.file_options(1)), out, cfg=_cfg(spark))
-    SP.await_all(first)
-    P.stage_files(spark, lines, inbox, numbers[half:])
-    second = SP.start(spark, SP.read_source(spark, "files", f"{inbox}/batch_*", SP.file_options(1)), out, cfg=_cfg(spark))
-    SP.await_all(second)
-    return spark.read.parquet(second.clean_path).select(*CLEAN_COLUMNS)
+    half = lines.agg(F.max("file_no")).first()[0] // 2  # one number
+    inbox, out = scratch_path(spark, "stream-restart-in"), scratch_path(spark, "stream-restart-out")
+    for part in (F.col("file_no") <= half, F.col("file_no") > half):
+        P.stage_batches(lines.where(part), inbox)
+        run = SP.start(spark, _source(spark, inbox), out, cfg=_cfg(spark))
+        SP.await_all(run)
+    return spark.read.parquet(run.clean_path).select(*CLEAN_COLUMNS)
 
 
 def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _staged(spark, sf)["progress"]
-    return spark.createDataFrame(rows, "query_name string, batch_id long, num_input_rows long")
+    """Input rows of every batch of the three queries, from the progress table."""
+    staged = _staged(spark, sf)
+    return SP.record_progress(spark, staged["run"].out, SP.file_rows(spark, "text", f"{staged['inbox']}/batch=*"))
 
 
 QUERIES = {

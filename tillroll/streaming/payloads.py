@@ -1,19 +1,20 @@
 """Transaction-event payloads derived from the ``events`` table, with the
 producer's fault mix injected by residues of event_id, staged as ordered
-files (one micro-batch per file)."""
+folders (one micro-batch per folder of several files)."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.columns import padded
-from tillroll.session import scratch_path
+from tillroll.sources.files import order_files
 from tillroll.sources.tables import read_table
 
 # The three poison payloads of the reference's producer.
 POISON_PAYLOADS = ('{"transaction_id": "BROKEN", amount: }', "not json at all",
                    '{"customer_id": "C00001", "amount": 10}')
 DAYS_PER_FILE = 3
+FILES_PER_BATCH = 4
 LATE_MINUTES = 30
 VERY_LATE_HOURS = 5
 VERY_LATE_FILE_OFFSET = 2
@@ -72,14 +73,17 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(dup).unionByName(late).unionByName(vlate).unionByName(poison)
 
 
-def stage_files(spark: SparkSession, lines: DataFrame, path: str, files: list[int] | None = None) -> list[int]:
-    """Write one text file per file_no, in file order, so modification times
-    order the micro-batches.  The lines are materialised once first."""
-    frozen_path = scratch_path(spark, "stream-lines")
-    lines.write.mode("overwrite").parquet(frozen_path)
-    frozen = spark.read.parquet(frozen_path)
-    numbers = files if files is not None else [r[0] for r in frozen.select("file_no").distinct().orderBy("file_no").collect()]
-    for n in numbers:  # one small write per micro-batch file (bounded by the batch count)
-        (frozen.filter(F.col("file_no") == n).orderBy("event_id", "kind").select(F.col("line").alias("value"))
-         .coalesce(1).write.mode("overwrite").text(f"{path}/batch_{n:05d}"))
-    return numbers
+def stage_batches(lines: DataFrame, path: str, files_per_batch: int = FILES_PER_BATCH) -> None:
+    """Write the lines in one distributed job: a folder for each file_no, its
+    lines spread over ``files_per_batch`` files.  Modification times follow
+    file_no, so a file source that takes that many files a trigger reads one
+    folder after the other."""
+    spark = lines.sparkSession
+    last = lines.agg(F.max("file_no")).first()[0]  # one number
+    if last is None:
+        return
+    place = F.col("file_no") * files_per_batch + F.pmod(F.xxhash64("event_id", "kind"), F.lit(files_per_batch))
+    placed = lines.select(place.cast("int").alias("place"), F.format_string("%05d", "file_no").alias("batch"), F.col("line").alias("value"))
+    (placed.repartitionById((last + 1) * files_per_batch, "place").drop("place")
+     .write.mode("append").partitionBy("batch").text(path))
+    order_files(spark, path, files_per_batch)
