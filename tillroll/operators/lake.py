@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tillroll import config as C
 from tillroll import schemas
+from tillroll.operators import key_index
 from tillroll.operators.clean import add_date_parts
 from tillroll.operators.dedup import latest_per_key
 from tillroll.session import scratch_path
@@ -23,8 +24,9 @@ DATE_PARTS = ["year", "month", "day"]
 
 def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str],
                       max_records_per_file: int = C.LakeConfig.max_records_per_file,
-                      mode: str = "overwrite", files_per_partition: int = 1) -> None:
+                      mode: str = "overwrite", files_per_partition: int = 1, keys_stay: bool = False) -> None:
     """Dynamic partition overwrite: only folders present in ``df`` are replaced.
+    The table's key index goes with it unless ``keys_stay`` in their folders.
 
     Default: ``rebalance`` on the folder columns groups each folder's rows into
     as few tasks as possible (about one file per small folder) while AQE
@@ -34,6 +36,8 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str],
     columns alone would still send a folder to a single task).  The explicit
     partition count keeps AQE from coalescing the salted partitions again.
     """
+    if not keys_stay:
+        key_index.drop(df.sparkSession, path)
     if files_per_partition > 1:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_partition))
         n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), files_per_partition)
@@ -85,9 +89,9 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
     """Upsert ``new_rows`` (standardised, DQ-clean) into the processed layer.
 
     * touched days = days of the new rows, plus (``relocate_moved_ids``) the
-      current days of the same ids, so a correction that moves a transaction
-      to another day removes the old copy.  Finding those days scans the id
-      column of the whole table;
+      days that may hold the same ids, so a correction that moves a transaction
+      to another day removes the old copy.  The table's index tells those days
+      (``key_index``): no other day's files are read;
     * the touched days are read back whole (only their folders: a static
       partition filter, see ``prune_to_partitions``), unioned with the new
       rows and deduplicated with the new side preferred on equal ingest stamps;
@@ -102,20 +106,17 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
     new = read_processed(spark, new_path).withColumn("_new", F.lit(1))
     touched = new.select(*DATE_PARTS)
     merged = new
-    if exists := path_exists(spark, processed_path):
-        existing = read_processed(spark, processed_path)
-        if relocate_moved_ids:
-            moved = (existing.select("transaction_id", *DATE_PARTS)
-                     .join(new.select("transaction_id").distinct(), "transaction_id", "left_semi")
-                     .select(*DATE_PARTS))
-            touched = touched.unionByName(moved)
+    exists = path_exists(spark, processed_path)
+    if relocate_moved_ids:
+        touched = touched.unionByName(key_index.folders_of(spark, processed_path, new, schemas.PROCESSED, "transaction_id", DATE_PARTS))
     days = partition_keys(touched, DATE_PARTS)
     if exists:
+        existing = read_processed(spark, processed_path)
         merged = prune_to_partitions(existing, days, DATE_PARTS).withColumn("_new", F.lit(0)).unionByName(new)
     merged = latest_per_key(merged, prefer=[F.col("_new")]).drop("_new")
     to_processed_layout(merged).write.mode("overwrite").parquet(staging)
     staged = read_processed(spark, staging)
-    write_partitioned(staged, processed_path, DATE_PARTS)
+    write_partitioned(staged, processed_path, DATE_PARTS, keys_stay=relocate_moved_ids)
     left = set(partition_keys(staged, DATE_PARTS))
     delete_partitions(spark, processed_path, DATE_PARTS, [d for d in days if d not in left])
     count = new.count()
@@ -142,7 +143,7 @@ def compact(spark: SparkSession, path: str, partitions: Sequence[str], where: di
         df = df.filter(F.col(c) == F.lit(v))
     staging = scratch_path(spark, "compact-staging")
     df.write.mode("overwrite").partitionBy(*partitions).parquet(staging)
-    write_partitioned(spark.read.schema(schema).parquet(staging), path, partitions, files_per_partition=files_per_partition)
+    write_partitioned(spark.read.schema(schema).parquet(staging), path, partitions, files_per_partition=files_per_partition, keys_stay=True)
     delete_path(spark, staging)
     return spark.read.schema(schema).parquet(path)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillroll import config as C
 from tillroll.functions.columns import date_key, null_safe_differs
+from tillroll.operators import key_index
 from tillroll.operators.lake import delete_partitions, partition_keys, prune_to_partitions
 from tillroll.operators.positions import with_position
 from tillroll.session import scratch_path
@@ -211,8 +212,9 @@ def merge_by_key(spark: SparkSession, path: str, increment: DataFrame, key: str,
                  partition_cols: Sequence[str]) -> DataFrame:
     """Idempotent upsert of ``increment`` into a Parquet table partitioned by
     ``partition_cols``: rows of the increment replace rows with the same key,
-    wherever those lie; only touched partitions (new ones and those holding
-    the same keys) are rewritten, and those left empty are removed.  Of several
+    wherever those lie; only touched partitions (new ones and those that by the
+    table's index may hold the same keys) are read and rewritten, and those left
+    empty are removed.  Of several
     rows of the increment with one key the greatest by all columns stays."""
     parts, columns = list(partition_cols), increment.columns
     rest = [c for c in columns if c != key]
@@ -220,11 +222,11 @@ def merge_by_key(spark: SparkSession, path: str, increment: DataFrame, key: str,
     new_path, staging = scratch_path(spark, "fact-merge-new"), scratch_path(spark, "fact-merge-staging")
     increment.withColumn("_n", newest).filter("_n = 1").drop("_n").write.mode("overwrite").parquet(new_path)
     new = spark.read.schema(increment.schema).parquet(new_path).select(*columns)
-    touched, merged = partition_keys(new, parts), new
-    if path_exists(spark, path):
+    exists, merged = path_exists(spark, path), new
+    holding = key_index.folders_of(spark, path, new, increment.schema, key, parts)
+    touched = partition_keys(new.select(*parts).unionByName(holding), parts)
+    if exists:
         existing = spark.read.schema(increment.schema).parquet(path)
-        holding = partition_keys(existing.select(key, *parts).join(new.select(key), key, "left_semi"), parts)
-        touched = sorted({*touched, *holding})
         merged = prune_to_partitions(existing, touched, parts).join(new.select(key), key, "left_anti").select(*columns).unionByName(new)
     merged.write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(increment.schema).parquet(staging).select(*columns)

@@ -32,10 +32,12 @@ def rename_path(spark: SparkSession, path: str, to: str) -> None:
 
 
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """The folders of a table, without those that Spark's readers skip."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return [n for n in names if not n.startswith(("_", "."))]
 
 
 def order_files(spark: SparkSession, path: str, per_folder: int) -> None:
