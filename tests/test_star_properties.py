@@ -1,6 +1,8 @@
 """SCD2 invariants, dense keys and as-of lookups."""
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -124,6 +126,56 @@ def test_scd2_takes_days_in_any_order(spark):
     assert scd2_lookup(feed.select("customer_id", "transaction_date"), dim).count() == 4
 
 
+def _feed(spark, rows):
+    """rows: (customer, name, e-mail, region, day of 2024 from 0)"""
+    start = dt.date(2024, 1, 1)
+    data = [(c, n, e, r, start + dt.timedelta(days=i), dt.datetime(2024, 1, 1, 9) + dt.timedelta(days=i, minutes=at)) for at, (c, n, e, r, i) in enumerate(rows)]
+    df = spark.createDataFrame(data, "customer_id string, customer_name string, customer_email string, home_region_code string, transaction_date date, transaction_ts timestamp")
+    return df.withColumn("transaction_id", F.concat("customer_id", F.col("transaction_ts").cast("string")))
+
+
+def _versions(df):
+    return sorted((tuple(r) for r in df.drop("customer_key").collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spliced_days_equal_the_history(spark, seed):
+    """All days in one splice, shuffled, and in consecutive pieces."""
+    rnd = random.Random(seed)
+    rows = [(f"C{rnd.randrange(6)}", rnd.choice("xyz"), rnd.choice(["a", "b", None]), rnd.choice(["N", "S"]), rnd.randrange(20)) for _ in range(90)]
+    feed = _feed(spark, rows)
+    whole = S.scd2_history(feed)
+    empty = whole.limit(0)
+    assert _versions(S.scd2_splice(empty, feed.orderBy(F.rand(seed)))) == _versions(whole)
+    dim = empty
+    for lo, hi in ((0, 3), (3, 11), (11, 20)):
+        part = feed.filter(F.col("transaction_date").between(F.lit(dt.date(2024, 1, 1) + dt.timedelta(days=lo)), F.lit(dt.date(2024, 1, 1) + dt.timedelta(days=hi - 1))))
+        before = dim
+        dim = S.scd2_splice(dim, part).checkpoint()
+        assert dim.select("customer_key").distinct().count() == dim.count()
+        # a version that existed keeps its key and start
+        assert before.join(dim, ["customer_key", "customer_id", "effective_from"], "left_anti").count() == 0
+    assert _versions(dim) == _versions(whole)
+    again = S.scd2_splice(dim, feed)
+    assert again.exceptAll(dim).count() == 0 and dim.exceptAll(again).count() == 0
+
+
+def test_late_days_move_split_and_leave_alone(spark):
+    day = lambda i: dt.date(2024, 1, 1) + dt.timedelta(days=i)
+    dim = S.scd2_history(_feed(spark, [("K", "n", "a", "N", 5), ("K", "n", "b", "N", 10), ("Q", "n", "q", "S", 7)])).checkpoint()
+    keys = {(r.customer_id, r.customer_email): r.customer_key for r in dim.collect()}
+    late = _feed(spark, [("K", "n", "a", "N", 2),   # the state of the first version: it begins earlier
+                         ("K", "n", "a", "N", 7),   # no change
+                         ("K", "n", "c", "N", 8),   # splits it
+                         ("K", "m", "d", "N", 10)])  # the second version changes on its own first day
+    got = S.scd2_splice(dim, late).orderBy("customer_id", "effective_from").collect()
+    assert [(r.customer_id, r.customer_email, r.effective_from, r.is_current) for r in got] == [
+        ("K", "a", day(2), False), ("K", "c", day(8), False), ("K", "d", day(10), True), ("Q", "q", day(7), True)]
+    assert [got[0].customer_key, got[2].customer_key, got[3].customer_key] == [keys["K", "a"], keys["K", "b"], keys["Q", "q"]]
+    assert got[1].customer_key == max(keys.values()) + 1
+    assert [r.effective_to for r in got[:2]] == [day(7), day(9)]
+
+
 def test_calendar_over_a_given_range(spark):
     rows = S.dim_date_between(spark, dt.date(2023, 12, 30), dt.date(2024, 3, 1)).orderBy("date_key").collect()
     assert [r["full_date"] for r in rows] == [dt.date(2023, 12, 30) + dt.timedelta(days=i) for i in range(63)]

@@ -133,52 +133,57 @@ def scd2_history(feed: DataFrame) -> DataFrame:
     return keyed.select("customer_key", "customer_id", *CUSTOMER_ATTRS, "effective_from", "effective_to", "is_current")
 
 
-def scd2_apply(dim: DataFrame, feed_day: DataFrame, day: dt.date) -> DataFrame:
-    """Apply one day's feed to an SCD2 dimension; days may come in any order.
-
-    The version that covers ``day`` is compared.  If a trigger attribute
-    differs, it ends at ``day - 1`` and a version with the new attributes runs
-    from ``day`` to where it ended (for the current version: open end); if it
-    began on ``day`` it is updated in place (no inverted interval).  A day
-    before a customer's first version adds one that ends where that begins.
-    New customers get a version.  New keys continue after the largest existing
-    key, in customer_id order.  Re-applying the same feed changes nothing.
+def scd2_splice(dim: DataFrame, feed: DataFrame) -> DataFrame:
+    """Apply a feed of any days, in any order, to an SCD2 dimension in one pass.
+
+    A customer's boundaries are the starts of the versions it has and the days
+    of the feed; at each stands a state, the feed's where its trigger attributes
+    differ.  Equal neighbours are one run: a feed day that changes nothing
+    disappears, and one before a version of the same state moves that version's
+    start back, with its key.  Versions that exist stay versions of their own
+    (facts hold their keys); one that began on a changed day is updated in
+    place.  New ones get keys after the largest, by start and customer.
+    Customers without feed rows pass through untouched; what a window orders is
+    bounded by a customer's versions and days.  The same feed again changes
+    nothing.
     """
-    on = F.lit(day)
-    latest = _day_states(feed_day.filter(F.col("transaction_date") == on)).drop("day")
-    covering = dim.filter(F.lit(day).between(F.col("effective_from"), F.col("effective_to"))).select(
-        "customer_id", F.col("customer_key").alias("_key"), F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to"),
-        F.col("is_current").alias("_open"), *[F.col(c).alias(f"_cur_{c}") for c in CUSTOMER_ATTRS])
-    first_later = dim.filter(F.col("effective_from") > on).groupBy("customer_id").agg(F.min("effective_from").alias("_next"))
-    cmp = latest.join(covering, "customer_id", "left").join(first_later, "customer_id", "left")
-    covered = F.col("_key").isNotNull()
-    changed = covered & null_safe_differs([F.col(c) for c in SCD2_TRIGGERS], [F.col(f"_cur_{c}") for c in SCD2_TRIGGERS])
-    in_place = changed & (F.col("_from") == on)
-    split = changed & (F.col("_from") < on)
-
-    # one row per touched version: update in place, or end
-    changes = cmp.filter(changed).select(
-        F.col("_key").alias("customer_key"), in_place.alias("_update"), split.alias("_close"),
-        *[F.col(c).alias(f"_upd_{c}") for c in CUSTOMER_ATTRS])
-    # a new version ends where the split one did, before the first later one, or not at all
-    until = F.coalesce(F.col("_to"), F.date_sub("_next", 1), F.lit(C.OPEN_END_DATE))
-    inserts = cmp.filter(~covered | split).select(
-        "customer_id", *CUSTOMER_ATTRS, on.alias("effective_from"), until.alias("effective_to"),
-        F.coalesce(F.col("_open"), F.col("_next").isNull()).alias("is_current"))
-
-    upd = F.coalesce(F.col("_update"), F.lit(False))
-    close = F.coalesce(F.col("_close"), F.lit(False))
-    kept = (dim.join(changes, "customer_key", "left")
-            .select("customer_key", "customer_id",
-                    *[F.when(upd, F.col(f"_upd_{c}")).otherwise(F.col(c)).alias(c) for c in CUSTOMER_ATTRS],
-                    "effective_from",
-                    F.when(close, F.date_sub(on, 1)).otherwise(F.col("effective_to")).alias("effective_to"),
-                    F.when(close, F.lit(False)).otherwise(F.col("is_current")).alias("is_current")))
-    max_key = dim.agg(F.coalesce(F.max("customer_key"), F.lit(0)).alias("m")).first()["m"]
-    new_rows = with_position(inserts, ["customer_id"], "_pos").select(
-        (F.col("_pos") + F.lit(max_key)).cast("long").alias("customer_key"), "customer_id", *CUSTOMER_ATTRS,
-        "effective_from", "effective_to", "is_current")
-    return kept.unionByName(new_rows)
+    days = _day_states(feed)
+    touched = days.select("customer_id").distinct()
+    held = dim.join(touched, "customer_id", "left_semi").select(
+        "customer_id", F.col("effective_from").alias("day"), "customer_key", *[F.col(c).alias(f"_held_{c}") for c in CUSTOMER_ATTRS])
+    both = days.withColumn("_fed", F.lit(True)).join(held, ["customer_id", "day"], "full_outer")
+    fed, exists = F.col("_fed").isNotNull(), F.col("customer_key").isNotNull()
+    differs = null_safe_differs([F.col(c) for c in SCD2_TRIGGERS], [F.col(f"_held_{c}") for c in SCD2_TRIGGERS])
+    from_feed = fed & (~exists | differs)
+    states = both.select("customer_id", "day", "customer_key", *[F.when(from_feed, F.col(c)).otherwise(F.col(f"_held_{c}")).alias(c) for c in CUSTOMER_ATTRS])
+
+    ordered = Window.partitionBy("customer_id").orderBy("day")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    changed = F.lag("day").over(ordered).isNull() | null_safe_differs(
+        [F.col(c) for c in SCD2_TRIGGERS], [F.lag(c).over(ordered) for c in SCD2_TRIGGERS])
+    runs = states.withColumn("_run", F.sum(changed.cast("int")).over(so_far))
+    in_run = Window.partitionBy("customer_id", "_run")
+    # a run's boundaries up to its second existing version are one version, and so on
+    which = F.greatest(F.lit(1), F.count("customer_key").over(in_run.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = runs.withColumn("_which", which)
+    in_version = Window.partitionBy("customer_id", "_run", "_which")
+    first = F.row_number().over(in_version.orderBy("day"))
+    starts = runs.withColumn("customer_key", F.max("customer_key").over(in_version)).withColumn("_first", first).where("_first = 1")
+    until = F.lead("day").over(ordered)
+    versions = starts.select("customer_key", "customer_id", *CUSTOMER_ATTRS, F.col("day").alias("effective_from"),
+                             F.coalesce(F.date_sub(until, 1), F.lit(C.OPEN_END_DATE)).alias("effective_to"), until.isNull().alias("is_current"))
+
+    largest = dim.agg(F.coalesce(F.max("customer_key"), F.lit(0)).alias("m")).first()["m"]  # one number
+    new = with_position(versions.where("customer_key IS NULL").drop("customer_key"), ["effective_from", "customer_id"], "_pos")
+    new = new.withColumn("customer_key", (F.col("_pos") + F.lit(largest)).cast("long"))
+    untouched = dim.join(touched, "customer_id", "left_anti")
+    out = untouched.unionByName(versions.where("customer_key IS NOT NULL")).unionByName(new.drop("_pos"))
+    return out.select("customer_key", "customer_id", *CUSTOMER_ATTRS, "effective_from", "effective_to", "is_current")
+
+
+def scd2_apply(dim: DataFrame, feed_day: DataFrame, day: dt.date) -> DataFrame:
+    """Apply one day of the feed to an SCD2 dimension (days may come in any order)."""
+    return scd2_splice(dim, feed_day.filter(F.col("transaction_date") == F.lit(day)))
 
 
 def scd2_lookup(facts: DataFrame, dim: DataFrame, date_col: str = "transaction_date") -> DataFrame:
