@@ -19,7 +19,8 @@ ones are merged, and the long ones are probed for what the merge found:
 
 Equal sets are one class, known by a number of its own, and no pairs within a
 group are listed.  Each short list gives pairs of its first member with the
-others only (as many as the list is long); verified, they join most copies.
+others only (as many as the list is long), and once more pairs of another member
+with those that are not joined to it; verified, they join most copies.
 Members of a list that are then still in different components are compared in a
 second round, as components: those that share a list meet in salted blocks in a
 task, where size ranges and histograms bound the overlap that any two of their
@@ -444,6 +445,24 @@ def _could(n1, p1, n2, p2, percent: int):
     return (100 * least >= percent * most) & ((100 + percent) * F.least(n1 - p1, n2 - p2) >= percent * (n1 + n2))
 
 
+def _mixed(lists: DataFrame, component: DataFrame) -> DataFrame:
+    """``lists`` (token, id ...) with the members' ``group``, without the lists
+    of one group only."""
+    of = component.select(F.col("node").alias("id"), F.col("component").alias("group"))
+    known = lists.join(of, "id", "left").withColumn("group", F.coalesce("group", "id"))
+    several = known.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo <> hi").select("token")
+    return known.join(several, "token", "left_semi")
+
+
+def _star(lists: DataFrame, first: Column, about: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """The links (a, b) of each list's least member by ``first`` with its members
+    of other groups.  ``lists``: (token, id, n, pos, group)."""
+    head = lists.groupBy("token").agg(F.min(F.struct(first.alias("order"), "id", "n", "pos", "group")).alias("head"))
+    pairs = (lists.join(head, "token").where((F.col("group") != F.col("head.group")) & _could(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"), percent))
+             .select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct())
+    return _links(_possible(pairs, about, percent), classes, docs, words, percent, name)
+
+
 def _joined(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(the described sets of all rows, (id, h1, h2, n, rep, group, component) of
     their classes: ``rep`` a row of the class, ``group`` the classes that reach
@@ -456,21 +475,27 @@ def _joined(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataF
     classes = save(classes.withColumn("id", F.monotonically_increasing_id()), "join-classes")  # saved, so the numbers stay
     reps = classes.select("id", F.col("rep.doc_id").alias("_doc"), F.col("rep.tag").alias("_tag"))
     firsts = save(sets.join(reps, sets["doc_id"].eqNullSafe(reps["_doc"]) & (sets["tag"] == reps["_tag"])).dropDuplicates(["id"])
-                  .select("id", "n", "bins", "short"), "join-firsts")
-
-    # the short lists with more than one member; each member is told the list's first
-    listed = firsts.select("id", "n", F.posexplode("short").alias("pos", "token"))
-    about_list = listed.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("id", "n", "pos")).alias("head")).where("size > 1")
-    lists = save(listed.join(about_list, "token"), "join-lists")
+                  .select("id", "doc_id", "n", "bins", "short"), "join-firsts")
 
-    star = (lists.where((F.col("id") != F.col("head.id")) & _could(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"), percent))
-            .select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct())
+    # the short lists with more than one member
+    listed = firsts.select("id", "doc_id", "n", F.posexplode("short").alias("pos", "token"))
+    long_enough = listed.groupBy("token").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    lists = save(listed.join(long_enough, "token"), "join-lists")
     about = firsts.select("id", "n", "bins", F.lit(0.0).alias("radius"))
-    near = _links(_possible(star, about, percent), classes, docs, words, percent, "join-1")
+
+    # stars: each list's members against one of them, first the one that comes first by doc_id, ...
+    near = _star(lists.withColumn("group", F.col("id")), F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "id"),
+                 about, classes, docs, words, percent, "join-1")
     component = connected_components(near, "join-components-1")
+    # ... then one that is first by chance, against members that are not joined to it yet
+    lists = save(_mixed(lists.where("size > 2"), component), "join-mixed")
+    also = _star(lists, F.struct(F.xxhash64("id").alias("h"), "id"), about, classes, docs, words, percent, "join-2")
+    near = save(near.unionByName(also), "join-near")
+    component = connected_components(near, "join-components-2")
+    lists = save(_mixed(lists.drop("group"), component), "join-rest")
     more = _between(lists, about, component, classes, docs, words, percent)
     if not more.isEmpty():
-        component = connected_components(near.unionByName(more), "join-components-2")
+        component = connected_components(near.unionByName(more), "join-components-3")
 
     placed = classes.join(component.withColumnRenamed("node", "id"), "id", "left").withColumn("group", F.coalesce("component", "id")).drop("component")
     low = placed.groupBy("group").agg(F.min("low").alias("component"))
@@ -557,13 +582,11 @@ def _first_links(sides: DataFrame, classes: DataFrame, docs: DataFrame, words: i
 
 
 def _between(lists: DataFrame, about: DataFrame, component: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between classes that share a list, besides its first, and are in
-    different components: enough of them to join what belongs together."""
+    """Links between classes that share a list and are in different components:
+    enough of them to join what belongs together.  ``lists``: the members
+    (token, id, n, group) of lists of several components."""
     limit = 1 - percent / 100 + 1e-9
     of = component.select(F.col("node").alias("id"), F.col("component").alias("group"))
-    rest = (lists.where((F.col("size") > 2) & (F.col("id") != F.col("head.id"))).join(of, "id", "left")
-            .select("token", "id", "n", F.coalesce("group", "id").alias("group")))
-    rest = save(rest, "join-rest")
 
     # how far members lie from their component's first document
     far = _distances(of.where("id <> group").select(F.col("group").alias("a"), F.col("id").alias("b")), classes, docs, words, "join-radius")
@@ -571,9 +594,8 @@ def _between(lists: DataFrame, about: DataFrame, component: DataFrame, classes:
     firsts = about.join(radius.withColumnRenamed("a", "id"), "id", "left").select(F.col("id").alias("group"), "n", "bins", F.coalesce("r", F.lit(0.0)).alias("radius"))
 
     # components that share a list
-    groups = rest.groupBy("token", "group").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    mixed = save(groups.join(groups.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token"), "token", "left_semi"), "join-mixed")
-    apart = _distances(_near_groups(mixed.join(firsts, "group"), percent), classes, docs, words, "join-apart")
+    groups = lists.groupBy("token", "group").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    apart = _distances(_near_groups(groups.join(firsts, "group"), percent), classes, docs, words, "join-apart")
     direct = apart.where(F.col("value") <= limit).select("a", "b")
 
     # components whose first documents are too far apart to link, but not too far for their members
@@ -584,12 +606,12 @@ def _between(lists: DataFrame, about: DataFrame, component: DataFrame, classes:
             .select(F.col("a").alias("x"), F.col("b").alias("y"), "value", reach("a").alias("r_x"), reach("b").alias("r_y")))
     wide = save(wide, "join-wide")
     away = far.select(F.col("b").alias("id"), F.col("value").alias("d"))
-    member = rest.join(mixed.select("token", "group"), ["token", "group"], "left_semi").select("id", "group").distinct()
+    member = lists.select("id", "group").distinct()
     member = save(member.join(away, "id", "left").select("id", "group", F.coalesce("d", F.lit(0.0)).alias("d")), "join-members")
     # of either component the members that some member of the other can be within reach of
     side = lambda c, o, left: (wide.join(member, F.col(c) == F.col("group")).where(F.col("value") - F.col("d") - F.col(f"r_{o}") <= limit)
                                .select("x", "y", F.lit(left).alias("left"), "id"))
-    more = _first_links(side("x", "y", True).unionByName(side("y", "x", False)), classes, docs, words, percent, "join-2")
+    more = _first_links(side("x", "y", True).unionByName(side("y", "x", False)), classes, docs, words, percent, "join-3")
     return direct.unionByName(more)
 
 
