@@ -91,3 +91,25 @@ def test_id_files_of_an_empty_table(spark):
     folder = scratch_path(spark, "test-no-ids")
     id_files.write(table(spark, []), folder, BYTE)
     assert id_files.read(spark, folder).count() == 0
+
+
+def test_range_coder_needs_fewer_bits_than_zlib_on_the_same_blocks():
+    """On the documents' ids, block for block, each alone."""
+    import pyarrow.parquet as pq
+
+    from tillroll.llm.pretokens import Encoder
+
+    texts = pq.read_table("/root/testdata/sf0.001/documents.parquet").column("text").to_pylist()
+    ids = np.asarray(Encoder(BYTE).encode([t or "" for t in texts])[0]).astype(np.int64)
+    payload, block, words, _ = range_coder.encode(ids)
+    plain = [zlib.compress(ids[i:i + block].astype("<u2").tobytes(), 9) for i in range(0, len(ids), block)]
+    assert len(plain) == len(words)
+    assert len(payload) < 0.9 * sum(map(len, plain))
+
+
+def test_a_low_byte_that_fills_its_count():
+    """Counts of one byte are halved when they are full, in coder and decoder alike."""
+    rng = np.random.default_rng(4)
+    ids = np.where(rng.random(30_000) < 0.5, 0x1234, 0x1200 + rng.integers(0, 256, 30_000))
+    payload, block, words, crcs = range_coder.encode(ids)
+    assert (range_coder.decode(payload, block, words, crcs, len(ids)) == ids).all()

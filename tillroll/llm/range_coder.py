@@ -2,12 +2,14 @@
 
 Ids are coded in blocks that start from a fresh model, so each can be decoded
 alone.  A block's model has three parts: the id that last followed the two
-preceding ids (order 2), the id that last followed the preceding one
-(order 1), and the frequencies of the ids so far by their high byte, evenly
-within it (order 0).  Each prediction carries a confidence count, and each of
-the two orders a running rate of its predictions that came true; rate and
-confidence give the weights by which the three are mixed into one interval per
-id: order 2's id, order 1's id, else any id by order 0.
+preceding ids (order 2), the id that last followed the preceding one (order 1;
+both in hashed slots that know their context by a tag, so another context's id
+is no prediction), and the frequencies of the ids that these did not tell (order
+0): of their high bytes, and within each high byte of the low ones.  Each
+prediction carries a confidence count, and each of the two orders a running rate
+of its predictions that came true; rate and confidence give the weights by which
+the three are mixed into one interval: order 2's id, order 1's id, else a high
+byte by order 0, whose low byte follows in an interval of its own.
 
 The arithmetic coder keeps 64-bit low and range and puts out 16 bits at a
 time.  All blocks of a chunk are worked in step, one id of each per step, so
@@ -19,65 +21,105 @@ import zlib
 
 import numpy as np
 
-BLOCK = 2048          # ids a block of a full chunk
+BLOCK = 1 << 13       # ids a block of a full chunk
+SHORTEST = 1 << 12    # ids a block of a small chunk: fewer teach a model too little
 LANES = 1024          # blocks a chunk aims at
-SLOTS = 10            # bits of a context's slot
+SLOTS = 12            # bits of a context's slot
 SCALE = 15            # bits of the mixing weights
 MOST = (1 << SCALE) - (1 << 10)  # most that a prediction may weigh
 # times the order's rate, in sixteenths, that a prediction of confidence 0 .. 15 weighs
 WORTH = np.array([0, 10, 16, 22, 26, 29, 32, 34, 36, 38, 40, 42, 44, 46, 48, 50], np.int32)
-REFRESH = 16          # steps between updates of the order-0 table
+REFRESH = 16          # steps between updates of the order-0 table of high bytes
 GAIN = 32             # what an id adds to its high byte's count
+LOW_GAIN = 24         # what a low byte seen counts against one not seen
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
 U16, U48 = np.uint64(16), np.uint64(48)
+_ONES, _SIXTEENS = np.arange(1, 17, dtype=np.int32), np.arange(16, 257, 16, dtype=np.int32)
+_ODD1, _ODD2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
 
 def block_size(n: int) -> int:
-    """Ids a block for a chunk of n ids: small chunks have short blocks, so there are many to work in step."""
-    return min(BLOCK, max(64, -(-n // LANES)))
+    """Ids a block for a chunk of n ids."""
+    return min(BLOCK, max(SHORTEST, -(-n // LANES)))
 
 
 class _Model:
     def __init__(self, lanes: int):
-        self.base = np.arange(lanes, dtype=np.int32) << SLOTS
-        self.row = np.arange(lanes, dtype=np.int32) << 8
-        # predictions by context: id and, in the low four bits, confidence
-        self.next2, self.next1 = np.zeros(lanes << SLOTS, np.int32), np.zeros(lanes << SLOTS, np.int32)
+        self.base = np.arange(lanes, dtype=np.int64) << SLOTS
+        self.row = np.arange(lanes, dtype=np.int64) << 8
+        # predictions by context: tag (11 bits), id and, in the low four bits, confidence
+        self.next2, self.next1 = np.zeros(lanes << SLOTS, np.uint32), np.zeros(lanes << SLOTS, np.uint32)
         self.rate2, self.rate1 = (np.full(lanes, 1 << SCALE - 2, np.int32) for _ in range(2))
         self.count = np.ones(lanes << 8, np.int32)
         self.cum = np.zeros((257, lanes), np.int32)
-        self.a, self.b = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
-        self.lanes, self.steps = lanes, 0
+        self.flat = self.cum.reshape(-1)
+        # times each low byte followed its high byte, and sums of sixteen low bytes each
+        self.low, self.sixteen = np.zeros((lanes << 12, 16), np.uint8), np.zeros((lanes << 8, 16), np.int32)
+        self.a, self.b = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.steps = 0
+
+    def _look(self, table: np.ndarray, hashed: np.ndarray, n: int):
+        at = self.base[:n] + (hashed >> np.uint32(32 - SLOTS))
+        tag = (hashed & np.uint32(0x7FF)) << np.uint32(20)
+        v = table[at]
+        v *= (v & np.uint32(0xFFF00000)) == tag
+        return at, tag, (v >> np.uint32(4) & np.uint32(0xFFFF)).astype(np.int32), (v & np.uint32(15)).astype(np.int32)
 
     def predict(self, n: int) -> None:
         """Weights and candidates of the first n lanes."""
         if self.steps % REFRESH == 0:
             np.cumsum(self.count.reshape(-1, 256).T, axis=0, out=self.cum[1:])
-            self.total = self.cum[256].astype(np.int64) << 8
-            self.flat = self.cum.reshape(-1)
+            self.total = self.cum[256].astype(np.int64)
         self.steps += 1
-        base, b = self.base[:n], self.b[:n]
-        mask = (1 << SLOTS) - 1
-        self.at1 = base + (b ^ (b >> 7)) % mask
-        self.at2 = base + (b * 3 + self.a[:n] * 5) % mask
-        self.v2, self.v1 = self.next2[self.at2], self.next1[self.at1]
-        self.c2, self.c1 = self.v2 >> 4, self.v1 >> 4
-        self.s2, self.s1 = self.v2 & 15, self.v1 & 15
+        one = (self.b[:n] + np.uint32(1)) * _ODD1
+        one ^= one >> np.uint32(15)
+        self.at1, self.tag1, self.c1, self.s1 = self._look(self.next1, one * _ODD2, n)
+        self.at2, self.tag2, self.c2, self.s2 = self._look(self.next2, (one + self.a[:n]) * _ODD1, n)
         self.w2 = np.minimum(self.rate2[:n] * WORTH[self.s2] >> 4, MOST)
         w1 = np.minimum(self.rate1[:n] * WORTH[self.s1] >> 4, MOST) * ((1 << SCALE) - self.w2) >> SCALE
         self.w1 = w1 * (self.c1 != self.c2)
         self.w0 = ((1 << SCALE) - self.w2 - self.w1).astype(np.int64)
         self.total0 = self.total[:n]
+        self.edge2, self.edge1 = self.w2 * self.total0, (self.w2 + self.w1) * self.total0
+
+    def sixteens(self, lanes: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Cumulated counts of the low bytes that followed ``high``, by sixteens."""
+        self.at0, self.own = self.row[lanes] + high, np.arange(len(lanes))
+        self.upto16 = np.cumsum(self.sixteen[self.at0], 1, dtype=np.int32)
+        return self.upto16
+
+    def within(self, group: np.ndarray) -> np.ndarray:
+        """Cumulated counts of the low bytes within the sixteens ``group``."""
+        self.before = np.where(group > 0, self.upto16[self.own, group - 1], 0)
+        self.rows = (self.at0 << 4) + group
+        self.counts = self.low[self.rows]
+        return np.cumsum(self.counts, 1, dtype=np.int32)
+
+    def place(self, group: np.ndarray, upto: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, width) of a low byte's share of LOW_GAIN * counts + 256."""
+        n = self.counts[self.own, digit].astype(np.int32)
+        start = LOW_GAIN * (self.before + upto[self.own, digit] - n) + (group << 4 | digit)
+        return start.astype(np.uint64), (LOW_GAIN * n + 1).astype(np.uint64)
+
+    def update_low(self, group: np.ndarray, digit: np.ndarray) -> None:
+        self.count[self.at0] += GAIN
+        full = self.counts[self.own, digit] == 255
+        if full.any():
+            rows = self.rows[full]
+            self.low[rows] >>= np.uint8(1)
+            self.sixteen[self.at0[full], group[full]] = self.low[rows].sum(1)
+        self.low[self.rows, digit] += np.uint8(1)
+        self.sixteen[self.at0, group] += 1
 
     def update(self, n: int, ids: np.ndarray) -> None:
-        for table, at, v, s, c, rate in ((self.next2, self.at2, self.v2, self.s2, self.c2, self.rate2[:n]),
-                                         (self.next1, self.at1, self.v1, self.s1, self.c1, self.rate1[:n])):
+        for table, at, tag, s, c, rate in ((self.next2, self.at2, self.tag2, self.s2, self.c2, self.rate2[:n]),
+                                           (self.next1, self.at1, self.tag1, self.s1, self.c1, self.rate1[:n])):
             hit = (c == ids) & (s > 0)
             rate += (((hit.astype(np.int32) << SCALE) - rate) >> 6) * (s > 0)
             # an established prediction loses confidence before it goes
-            table[at] = np.where(hit, v + (s < 15), np.where(s > 2, v - s + (s >> 1), ids << 4 | 1))
-        at = self.row[:n] + (ids >> 8)
-        self.count[at] += GAIN
+            stays = hit | (s > 2)
+            sure = np.where(hit, s + (s < 15), np.where(s > 2, s >> 1, 1))
+            table[at] = tag | (np.where(stays, c, ids) << 4 | sure).astype(np.uint32)
         self.a[:n] = self.b[:n]
         self.b[:n] = ids
 
@@ -116,6 +158,13 @@ def encode(ids: np.ndarray) -> tuple[bytes, int, list[int], list[int]]:
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
     width_of_row = 4 * block + 8
     out, used = np.zeros(lanes * width_of_row, np.uint16), lane * width_of_row
+    def settle(go: np.ndarray) -> None:
+        while len(go := _ripe(low, size, go)):
+            out[used[go]] = low[go] >> U48
+            used[go] += 1
+            low[go] <<= U16
+            size[go] <<= U16
+
     for t in range(block):
         n = lanes if t < last else lanes - 1
         if not n:
@@ -125,20 +174,24 @@ def encode(ids: np.ndarray) -> tuple[bytes, int, list[int], list[int]]:
         at = (x >> 8) * lanes + lane[:n]
         c = m.flat[at].astype(np.int64)
         f = m.flat[at + lanes] - c
-        edge2, edge1 = m.w2 * m.total0, (m.w2 + m.w1) * m.total0
         is2, is1 = (x == m.c2) & (m.w2 > 0), (x == m.c1) & (m.w1 > 0)
-        start = np.where(is2, 0, np.where(is1, edge2, edge1 + m.w0 * ((c << 8) + (x & 255) * f)))
-        width = np.where(is2, edge2, np.where(is1, edge1 - edge2, m.w0 * f))
+        start = np.where(is2, 0, np.where(is1, m.edge2, m.edge1 + m.w0 * c))
+        width = np.where(is2, m.edge2, np.where(is1, m.edge1 - m.edge2, m.w0 * f))
         r = size[:n] // (m.total0 << SCALE).view(np.uint64)
         low[:n] += r * start.view(np.uint64)
         size[:n] = r * width.view(np.uint64)
+        settle(lane[:n])
+        miss = np.flatnonzero(~(is2 | is1))
+        if len(miss):
+            high, group, digit = x[miss] >> 8, x[miss] >> 4 & 15, x[miss] & 15
+            whole = LOW_GAIN * m.sixteens(miss, high)[:, 15] + 256
+            start, width = m.place(group, m.within(group), digit)
+            r = size[miss] // whole.astype(np.uint64)
+            low[miss] += r * start
+            size[miss] = r * width
+            m.update_low(group, digit)
+            settle(miss)
         m.update(n, x)
-        go = lane[:n]
-        while len(go := _ripe(low, size, go)):
-            out[used[go]] = low[go] >> U48
-            used[go] += 1
-            low[go] <<= U16
-            size[go] <<= U16
     for _ in range(4):
         out[used] = low >> U48
         used += 1
@@ -165,6 +218,14 @@ def decode(payload: bytes, block: int, words: list[int], crcs: list[int], total:
     m, lane = _Model(lanes), np.arange(lanes)
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
     grid = np.zeros((block, lanes), np.int32)
+
+    def settle(go: np.ndarray) -> None:
+        while len(go := _ripe(low, size, go)):
+            code[go] = code[go] << U16 | data[np.minimum(begin[go], end)]
+            begin[go] += 1
+            low[go] <<= U16
+            size[go] <<= U16
+
     for t in range(block):
         n = lanes if t < last else lanes - 1
         if not n:
@@ -173,30 +234,38 @@ def decode(payload: bytes, block: int, words: list[int], crcs: list[int], total:
         full = m.total0 << SCALE
         r = size[:n] // full.view(np.uint64)
         v = np.minimum(((code[:n] - low[:n]) // r).view(np.int64), full - 1)
-        edge2, edge1 = m.w2 * m.total0, (m.w2 + m.w1) * m.total0
-        is2, not0 = v < edge2, v < edge1
-        u = np.maximum(v - edge1, 0) // m.w0
-        x8 = (u >> 8).astype(np.int32)
+        is2, told = v < m.edge2, v < m.edge1
+        u = (np.maximum(v - m.edge1, 0) // m.w0).astype(np.int32)
         # the high byte: sixteen at a time, then by halves
-        at = ((m.cum[16:256:16, :n] <= x8).sum(0, dtype=np.int32) << 4) * lanes + lane[:n]
+        at = ((m.cum[16:256:16, :n] <= u).sum(0, dtype=np.int32) << 4) * lanes + lane[:n]
         for half in (8 * lanes, 4 * lanes, 2 * lanes, lanes):
-            at += (m.flat[at + half] <= x8) * half
+            at += (m.flat[at + half] <= u) * half
         c = m.flat[at].astype(np.int64)
         f = m.flat[at + lanes] - c
-        lo = (u - (c << 8)) // f
-        x = np.where(is2, m.c2, np.where(not0, m.c1, (at // lanes << 8) + lo)).astype(np.int32)
-        start = np.where(is2, 0, np.where(not0, edge2, edge1 + m.w0 * ((c << 8) + lo * f)))
-        width = np.where(is2, edge2, np.where(not0, edge1 - edge2, m.w0 * f))
+        start = np.where(is2, 0, np.where(told, m.edge2, m.edge1 + m.w0 * c))
+        width = np.where(is2, m.edge2, np.where(told, m.edge1 - m.edge2, m.w0 * f))
         low[:n] += r * start.view(np.uint64)
         size[:n] = r * width.view(np.uint64)
+        settle(lane[:n])
+        x = np.where(is2, m.c2, m.c1)
+        miss = np.flatnonzero(~told)
+        if len(miss):
+            high = (at[miss] // lanes).astype(np.int32)
+            upto = m.sixteens(miss, high)
+            whole = LOW_GAIN * upto[:, 15] + 256
+            r = size[miss] // whole.astype(np.uint64)
+            v = np.minimum(((code[miss] - low[miss]) // r).view(np.int64), whole - 1).astype(np.int32)[:, None]
+            group = (LOW_GAIN * upto + _SIXTEENS <= v).sum(1, dtype=np.int32)
+            within = m.within(group)
+            digit = (LOW_GAIN * (m.before[:, None] + within) + (group[:, None] << 4) + _ONES <= v).sum(1, dtype=np.int32)
+            start, width = m.place(group, within, digit)
+            low[miss] += r * start
+            size[miss] = r * width
+            m.update_low(group, digit)
+            settle(miss)
+            x[miss] = high << 8 | group << 4 | digit
         grid[t, :n] = x
         m.update(n, x)
-        go = lane[:n]
-        while len(go := _ripe(low, size, go)):
-            code[go] = code[go] << U16 | data[np.minimum(begin[go], end)]
-            begin[go] += 1
-            low[go] <<= U16
-            size[go] <<= U16
     ids = grid.T.reshape(-1)[:total]
     plain = ids.astype("<u4")
     found = [zlib.crc32(plain[i:i + block].tobytes()) for i in range(0, total, block)]
