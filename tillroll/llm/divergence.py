@@ -41,7 +41,7 @@ from tillroll.llm.pretokens import ragged
 LEAST_DOCS, TOP = 30, 50
 SMOOTHING, SCALE = 5, 1_000_000_000
 PIECE_BYTES = 1 << 22   # text that is counted at a time
-CELLS = 1 << 18         # cells of a block's matrix, on average
+CELLS = 1 << 15         # cells of a block's matrix, on average (more where there are more than its square root of sources)
 
 # Bytes of a term: letters, and every byte of a character beyond ASCII.  A-Z are lower-cased.
 _TERM = np.zeros(256, bool)
@@ -224,7 +224,9 @@ def pair_sums(groups: DataFrame, shares: DataFrame) -> DataFrame:
     """(lang, a, b, f) of each two sources a < b of a language with kept terms:
     the differences of their shares, summed over all its kept terms."""
     size = groups.where("n_terms > 0").groupBy("lang").agg(F.count(F.lit(1)).alias("_groups"), F.max("n_terms").alias("_terms"))
-    size = size.select("lang", F.ceil(F.col("_groups") * F.col("_terms") / CELLS).cast("long").alias("blocks"))
+    # a block has at least as many terms as there are sources, so its sums are fewer than its cells
+    terms = F.greatest(F.col("_groups"), F.lit(CELLS) / F.col("_groups"))
+    size = size.select("lang", F.ceil(F.col("_terms") / terms).cast("long").alias("blocks"))
     cells = shares.join(size, "lang").select("lang", F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block"), "source", "term", "p")
     sides = groups.join(size, "lang").select("lang", "source", "none", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
 
