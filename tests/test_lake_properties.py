@@ -4,6 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tillroll import config as C
 from tillroll import schemas
 from tillroll.operators import aggregates as agg
 from tillroll.operators.lake import merge_into_processed, read_processed
@@ -109,7 +110,7 @@ def test_batch_run_incremental_and_rerun(spark, sf_small):
 def test_curated_month_keeps_all_days_and_backfill_keeps_watermark(spark, sf_small):
     """D2: a run touching half a month rewrites the month from all its days.
     D5: a backfill of an old day does not move the watermark back."""
-    from tillroll.operators.monitoring import metrics_per_ingest_day
+    from tillroll.plans.lake_inputs import metrics_per_ingest_day
 
     raw = L.raw(spark, sf_small).drop("source_file")
     year = raw.filter(F.year("ingest_date") == 1997)
@@ -317,3 +318,50 @@ def test_drift_tells_contradicting_files_of_a_folder(spark):
     assert got == {("x", "k"): ("ok", 1), ("x", "v"): ("ok", 1), ("y", "k"): ("ok", 1), ("y", "v"): ("type_changed", 1), ("y", "extra"): ("unexpected", 1)}
     spark.createDataFrame([("a", "text", "y")], "k string, v string, d string").write.mode("append").partitionBy("d").parquet(path)
     assert ("y", None, "conflicting_files") in {(r.folder, r.column_name, r.status) for r in schema_drift(spark, path, expected, ["d"]).collect()}
+
+
+def test_compaction_by_bytes(spark):
+    """Folders get as many files as their bytes ask for; those that have them stay as they are."""
+    import glob
+    import os
+
+    from pyspark.sql import types as T
+
+    from tillroll.operators.lake import compact_to_bytes, file_sizes, write_partitioned
+
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType()), T.StructField("p", T.IntegerType())])
+    rows = spark.range(9000).selectExpr("id AS k", "sha2(cast(id AS string), 256) AS v", "CASE WHEN id < 8000 THEN 1 WHEN id < 8999 THEN 2 ELSE 3 END AS p")
+    path = scratch_path(spark, "t-bytes")
+    write_partitioned(rows, path, ["p"], files_per_partition=8)
+    single = glob.glob(f"{path.replace('file:', '')}/p=3/*.parquet")
+    stamp = os.stat(single[0]).st_mtime_ns
+    target = 300_000
+    done = {r.p: r for r in compact_to_bytes(spark, path, ["p"], schema, target, 600_000).collect()}
+    assert set(done) == {1, 2} and done[1].files > 1
+    after = {r.p: r for r in file_sizes(spark, path, ["p"], schema).collect()}
+    assert {p: after[p].n_files for p in after} == {1: done[1].files, 2: done[2].files, 3: 1}
+    assert all(r.largest <= 2 * target for r in after.values())
+    assert os.stat(single[0]).st_mtime_ns == stamp
+    got = spark.read.schema(schema).parquet(path)
+    assert got.exceptAll(rows.select(*schema.names)).count() == 0 and got.count() == 9000
+    assert compact_to_bytes(spark, path, ["p"], schema, target, 600_000).count() == 0  # nothing left to do
+
+
+def test_runs_are_logged(spark, sf_small):
+    """A failing run leaves a line in the log and the state as it was."""
+    from tillroll.operators.quality import RejectRatioExceeded
+    from tillroll.plans.batch import read_log
+    from tillroll.sources.files import path_exists
+    from tillroll.sources.landing import landing_for
+
+    L.raw(spark, sf_small)
+    root = scratch_path(spark, "t-log")
+    paths = BatchPaths(landing_for(spark, sf_small), f"{root}/processed", f"{root}/curated", f"{root}/quarantine", f"{root}/state", f"{root}/metrics", f"{root}/log")
+    at = dt.datetime(2024, 5, 1, 3, 4, tzinfo=dt.timezone.utc)
+    with pytest.raises(RejectRatioExceeded):
+        run_batch(spark, paths, cfg=C.LakeConfig(max_reject_ratio=0.001), now=at)
+    assert [C.FAILED_RUN_MARKER in r.message for r in read_log(spark, paths.log).collect()] == [True]
+    assert not path_exists(spark, paths.processed) and not path_exists(spark, paths.metrics)
+    run_batch(spark, paths, run_date=str(L.BACKFILL_DATE), cfg=C.LakeConfig(max_reject_ratio=1.0), now=at)
+    assert read_log(spark, paths.log).selectExpr("min(unix_seconds(log_ts))", "max(unix_seconds(log_ts))", "count(*)").first() == (int(at.timestamp()),) * 2 + (2,)
+    assert spark.read.parquet(paths.metrics).selectExpr("unix_seconds(run_ts)").first()[0] == int(at.timestamp())

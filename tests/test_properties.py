@@ -221,3 +221,18 @@ def test_consecutive_breaches_match_sliding_window(spark, flags, n):
     got = sorted(r[0] for r in consecutive_breaches(df, "hour_start", "breach", n, 3600).collect())
     expect = [t0 + dt.timedelta(hours=i) for i in range(n - 1, len(flags)) if all(flags[i - n + 1:i + 1])]
     assert got == expect
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seen=st.dictionaries(st.integers(0, 25), st.booleans(), min_size=1, max_size=20), n=st.integers(1, 5))
+def test_breaches_over_periods_without_rows(spark, seen, n):
+    """Periods without a row between the first and the last breach as well."""
+    from tillroll.operators.monitoring import consecutive_breaches
+
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    df = spark.createDataFrame([(start + dt.timedelta(hours=h), b) for h, b in seen.items()], "t timestamp, bad boolean")
+    lo, hi = min(seen), max(seen)
+    bad = {h: seen.get(h, True) for h in range(lo, hi + 1)}
+    expected = [h for h in bad if h - n + 1 >= lo and all(bad[x] for x in range(h - n + 1, h + 1))]
+    got = sorted(r[0] for r in consecutive_breaches(df, "t", "bad", n, 3600).selectExpr(f"(unix_seconds(t) - {int(start.timestamp())}) div 3600").collect())
+    assert got == expected

@@ -53,6 +53,9 @@ LATEST_METRICS_LIMIT = 20
 STATE_FILE = "watermark.json"
 CURATED_DAILY_REGION = "daily_region_sales"
 CURATED_DAILY = "daily_sales"
+# File sizes that a table's folders are compacted to (128 MB to 1 GB).
+TARGET_FILE_BYTES = 512 << 20
+MOST_FILE_BYTES = 1 << 30
 STREAM_CLEAN_DIR = "processed/transactions_stream"
 STREAM_AGG_DIR = "curated/region_sales_5min"
 STREAM_DLQ_DIR = "dlq/transactions_stream"

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,6 +128,43 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
 STREAM_LOG = "_spark_metadata"
 
 
+def file_sizes(spark: SparkSession, path: str, partitions: Sequence[str], schema: T.StructType) -> DataFrame:
+    """(partition columns, n_files, bytes, largest) of each partition folder, by
+    the files' own lengths."""
+    files = (spark.read.schema(schema).parquet(path)
+             .select(*partitions, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_size").alias("_bytes")).distinct())
+    return files.groupBy(*partitions).agg(F.count(F.lit(1)).alias("n_files"), F.sum("_bytes").alias("bytes"), F.max("_bytes").alias("largest"))
+
+
+def compact_to_bytes(spark: SparkSession, path: str, partitions: Sequence[str], schema: T.StructType,
+                     target: int = C.TARGET_FILE_BYTES, most: int = C.MOST_FILE_BYTES) -> DataFrame:
+    """Rewrite the folders whose files are too many for their bytes, or one of
+    which exceeds ``most`` bytes, into files of about ``target`` bytes: as many
+    as the folder's bytes ask for, its rows dealt to them evenly by hash, and
+    each file written by a task of its own.  Other folders are not read.
+    Returns what was rewritten: (partition columns, n_files, bytes, files)."""
+    if path_exists(spark, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} is written by a stream; compact it into a table of its own with compact_stream")
+    parts = list(partitions)
+    sizes = file_sizes(spark, path, parts, schema).withColumn("files", F.greatest(F.lit(1), F.ceil(F.col("bytes") / target)).cast("long"))
+    due = sizes.where((F.col("n_files") > F.col("files")) | (F.col("largest") > most))
+    before = F.sum("files").over(Window.orderBy(*parts)) - F.col("files")  # a row a folder
+    plan_path, staging = scratch_path(spark, "compact-plan"), scratch_path(spark, "compact-staging")
+    due.withColumn("_first", before).write.parquet(plan_path)
+    plan = spark.read.parquet(plan_path).select(*[F.col(c).cast(schema[c].dataType).alias(c) for c in parts], "n_files", "bytes", "files", "_first")
+    total = plan.agg(F.sum("files")).first()[0]  # one number
+    if total:
+        rows = prune_to_partitions(spark.read.schema(schema).parquet(path), partition_keys(plan, parts), parts)
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.col("files"))
+        placed = rows.join(plan.select(*parts, "files", "_first"), parts).withColumn("_file", (F.col("_first") + salt).cast("int"))
+        placed.drop("files", "_first").write.parquet(staging)
+        staged = spark.read.schema(T.StructType([*schema.fields, T.StructField("_file", T.IntegerType())])).parquet(staging)
+        (staged.repartitionById(int(total), "_file").select(*schema.names).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+        delete_path(spark, staging)
+    return plan.drop("_first")
+
+
 def compact(spark: SparkSession, path: str, partitions: Sequence[str], where: dict[str, str],
             files_per_partition: int = 1, schema: T.StructType = schemas.PROCESSED) -> DataFrame:
     """Rewrite the folders selected by ``where`` into ``files_per_partition``

@@ -2,36 +2,10 @@
 latest records, hourly series and the four alarms, as DataFrame queries."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll import config as C
-from tillroll.functions.columns import any_rule_broken
-
-
-def metrics_per_ingest_day(std: DataFrame, job: str = C.LakeConfig.job_name) -> DataFrame:
-    """One DQ_METRICS record per daily run (one run per ingest_date), computed
-    in one aggregation.  Runs start at an hour that varies with the day."""
-    ok = ~any_rule_broken(C.REFERENCE_REGIONS)
-    per_day = std.groupBy("ingest_date").agg(
-        F.count(F.lit(1)).alias("rows_read"), F.count_if(ok).alias("rows_valid"),
-        F.count_distinct(F.when(ok, F.col("transaction_id"))).alias("_ids"))
-    hour = (F.dayofyear("ingest_date") * 7) % 24
-    return per_day.select(
-        (F.col("ingest_date").cast("timestamp") + F.make_interval(hours=hour)).alias("run_ts"),
-        F.lit("DQ_METRICS").alias("event"), F.lit(job).alias("job"),
-        "rows_read", "rows_valid",
-        (F.col("rows_read") - F.col("rows_valid")).alias("rows_quarantined"),
-        (F.col("rows_valid") - F.col("_ids")).alias("duplicates_removed"),
-        (F.col("rows_read").cast("double") / 2).alias("duration_sec"))
-
-
-def run_log(metrics: DataFrame) -> DataFrame:
-    """The job log: a failure line when the reject breaker trips, else a finish line."""
-    failed = F.col("rows_quarantined") * 10 > F.col("rows_read")
-    return metrics.select(F.col("run_ts").alias("log_ts"),
-                          F.when(failed, F.lit(f"{C.FAILED_RUN_MARKER} - watermark not advanced, rerun is safe"))
-                          .otherwise(F.lit("ETL run finished")).alias("message"))
 
 
 def latest_metrics(metrics: DataFrame, n: int = C.LATEST_METRICS_LIMIT) -> DataFrame:
@@ -54,42 +28,31 @@ def quarantine_alarm(metrics: DataFrame, threshold: int = C.QUARANTINE_ALARM_ROW
                     (F.col("max_quarantined") > threshold).alias("breaching")))
 
 
-def _spine(observed: DataFrame, ts_col: str, step_seconds: int) -> DataFrame:
-    """Every period between the first and last observed one, generated as a
-    distributed range (one row per period; no single-task explode)."""
-    spark = observed.sparkSession
-    b = observed.agg(F.unix_seconds(F.min(ts_col)).alias("lo"),
-                     F.unix_seconds(F.max(ts_col)).alias("hi")).first()  # two scalars (epoch seconds)
-    if b["lo"] is None:
-        return observed.select(ts_col).limit(0)
-    n = (b["hi"] - b["lo"]) // step_seconds + 1
-    return spark.range(n).select(F.timestamp_seconds(F.lit(b["lo"]) + F.col("id") * step_seconds).alias(ts_col))
+def consecutive_breaches(observed: DataFrame, ts_col: str, breach: str, n: int, step_seconds: int) -> DataFrame:
+    """Periods that end a run of ``n`` consecutive breaching periods; a period
+    without a row between the first and the last one counts as breaching.
 
-
-def consecutive_breaches(periods: DataFrame, ts_col: str, breach: str, n: int, step_seconds: int) -> DataFrame:
-    """Periods that end a run of ``n`` consecutive breaching periods.
-
-    Each period is sent to itself and its ``n - 1`` successors, then counted
-    per receiving period (partial aggregation, no global ordering window):
-    a period alarms when it received ``n`` periods, all breaching.
+    ``observed`` has a row for each period seen (at most the calendar's number
+    of periods).  Only periods that do not breach, and the first and last one,
+    bound a run; the periods of a run follow from its bounds by arithmetic, so
+    none is generated that does not alarm and ``observed`` is evaluated once.
     """
-    offsets = F.sequence(F.lit(0), F.lit(n - 1))
-    sent = periods.select(F.col(ts_col).alias("_from"), F.col(breach).cast("int").alias("_b"),
-                          F.explode(offsets).alias("_k"))
-    target = F.timestamp_seconds(F.unix_seconds("_from") + F.col("_k") * step_seconds).alias(ts_col)
-    got = sent.groupBy(target).agg(F.count(F.lit(1)).alias("_seen"), F.sum("_b").alias("_bad"))
-    return got.filter((F.col("_seen") == n) & (F.col("_bad") == n)).select(ts_col)
+    order = Window.orderBy("_at")
+    seen = observed.select(F.unix_seconds(ts_col).alias("_at"), F.col(breach).alias("_bad"))
+    seen = seen.withColumns({"_first": F.lag("_at").over(order).isNull(), "_last": F.lead("_at").over(order).isNull()})
+    bounds = seen.where("NOT _bad OR _first OR _last").withColumns({"_next": F.lead("_at").over(order), "_next_bad": F.lead("_bad").over(order)})
+    before = F.when(~F.col("_bad"), F.col("_at")).when(F.col("_first"), F.col("_at") - step_seconds)
+    after = (F.when(F.col("_next").isNull(), F.when(F.col("_bad"), F.col("_at") + step_seconds))
+             .when(F.col("_next_bad"), F.col("_next") + step_seconds).otherwise(F.col("_next")))
+    runs = bounds.select((before + n * step_seconds).alias("lo"), (after - step_seconds).alias("hi")).where("lo <= hi")
+    return runs.select(F.explode(F.sequence("lo", "hi", F.lit(step_seconds).cast("long"))).alias("_p")).select(F.timestamp_seconds("_p").alias(ts_col))
 
 
 def no_data_alarm(metrics: DataFrame, hours: int = C.NO_DATA_ALARM_HOURS) -> DataFrame:
     """Hours ending ``hours`` consecutive hourly buckets whose summed
     rows_valid is below 1; an hour without a record counts as breaching."""
-    per_hour = (metrics.groupBy(F.date_trunc("hour", "run_ts").alias("hour_start"))
-                .agg(F.sum("rows_valid").alias("rows_valid")))
-    spine = _spine(per_hour, "hour_start", 3600)
-    periods = spine.join(per_hour, "hour_start", "left").withColumn(
-        "breach", F.coalesce(F.col("rows_valid") < 1, F.lit(True)))
-    return consecutive_breaches(periods, "hour_start", "breach", hours, 3600)
+    per_hour = metrics.groupBy(F.date_trunc("hour", "run_ts").alias("hour_start")).agg((F.sum("rows_valid") < 1).alias("breach"))
+    return consecutive_breaches(per_hour, "hour_start", "breach", hours, 3600)
 
 
 def failed_runs_alarm(log: DataFrame, marker: str = C.FAILED_RUN_MARKER) -> DataFrame:
@@ -106,8 +69,5 @@ def stream_lag_alarm(lags: DataFrame, limit_ms: int = C.STREAM_LAG_ALARM_MS,
     """Five-minute periods ending ``periods`` consecutive periods whose maximum
     lag exceeds ``limit_ms``; a period without data counts as breaching."""
     per = (lags.groupBy(F.window("arrival_ts", "5 minutes").start.alias("period_start"))
-           .agg(F.max("lag_ms").alias("max_lag_ms")))
-    spine = _spine(per, "period_start", 300)
-    p = spine.join(per, "period_start", "left").withColumn(
-        "breach", F.coalesce(F.col("max_lag_ms") > limit_ms, F.lit(True)))
-    return consecutive_breaches(p, "period_start", "breach", periods, 300)
+           .agg((F.max("lag_ms") > limit_ms).alias("breach")))
+    return consecutive_breaches(per, "period_start", "breach", periods, 300)

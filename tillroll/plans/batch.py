@@ -39,16 +39,29 @@ class BatchPaths:
     quarantine: str
     state: str
     metrics: str | None = None
+    log: str | None = None  # a table of (log_ts, message), a row a run
+
+
+LOG = "log_ts timestamp, message string"
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The job log that runs have appended to."""
+    return spark.read.schema(LOG).parquet(path)
 
 
 def run_batch(spark: SparkSession, paths: BatchPaths, run_date: str | None = None,
-              cfg: C.LakeConfig = C.LakeConfig(), print_metrics: bool = True) -> dict | None:
+              cfg: C.LakeConfig = C.LakeConfig(), print_metrics: bool = True, now: dt.datetime | None = None) -> dict | None:
     """Returns the run metrics, or None when there was nothing new.
 
+    ``paths.log`` gets a line for every run that finishes or fails, ``paths.metrics``
+    a record for every run that read something; both are stamped ``now`` (a
+    scheduler's run time), the clock's time unless given.
+
     ``print_metrics`` writes the DQ_METRICS JSON line to stdout (what log
     metric filters pick up); otherwise it goes to the log only."""
     pin_session(spark)
-    began = time.monotonic()
+    began, now = time.monotonic(), now or dt.datetime.now(dt.timezone.utc)
     staged = scratch_path(spark, "batch-standardised")
     try:
         before = read_watermark(spark, paths.state)
@@ -62,14 +75,16 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_date: str | None = Non
             return None
         newest = metrics.pop("_newest")
         if paths.metrics:
-            record = metrics | {"event": "DQ_METRICS", "run_ts": dt.datetime.now(dt.timezone.utc)}
+            record = metrics | {"event": "DQ_METRICS", "run_ts": now}
             spark.createDataFrame([tuple(record[f.name] for f in schemas.METRICS)], schemas.METRICS).write.mode("append").parquet(paths.metrics)
         write_watermark(spark, paths.state, max(newest, before or newest), metrics)
     except Exception:
         log.exception("%s; the state is as before the run", C.FAILED_RUN_MARKER)
+        _log_line(spark, paths, now, f"{C.FAILED_RUN_MARKER}; the state is as before the run")
         raise
     finally:
         delete_path(spark, staged)
+    _log_line(spark, paths, now, "batch run finished")
     line = json.dumps(dict(metrics, event="DQ_METRICS"))
     if print_metrics:
         print(line, flush=True)
@@ -78,6 +93,11 @@ def run_batch(spark: SparkSession, paths: BatchPaths, run_date: str | None = Non
     return metrics
 
 
+def _log_line(spark: SparkSession, paths: BatchPaths, now: dt.datetime, message: str) -> None:
+    if paths.log:
+        spark.createDataFrame([(now, message)], LOG).write.mode("append").parquet(paths.log)
+
+
 def _process(spark: SparkSession, paths: BatchPaths, std: DataFrame, cfg: C.LakeConfig, began: float) -> dict | None:
     """Quarantine, breaker, merge, curated tables; the run's metrics."""
     ok = ~any_rule_broken(cfg.valid_regions)

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll import config as C
 from tillroll import schemas
@@ -10,7 +11,7 @@ from tillroll.functions.columns import parse_ts
 from tillroll.operators import aggregates as agg
 from tillroll.operators.clean import add_date_parts
 from tillroll.operators.dedup import latest_per_key
-from tillroll.operators.lake import (compact, file_report, merge_into_processed, read_processed,
+from tillroll.operators.lake import (compact, compact_to_bytes, file_report, file_sizes, merge_into_processed, read_processed,
                                      schema_drift, to_processed_layout, write_partitioned)
 from tillroll.operators.quality import reject_summary, with_dq_errors, write_quarantine
 from tillroll.plans import lake_inputs as L
@@ -183,6 +184,23 @@ def compact_partition(spark: SparkSession, sf: str) -> DataFrame:
     return df.select(*schemas.PROCESSED_COLUMNS)
 
 
+MONTHS = ["year", "month"]
+BY_MONTH = T.StructType([f for f in schemas.PROCESSED.fields if f.name != "day"])
+
+
+def compact_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Processed by month, four files a month, compacted to the target file
+    size.  Result: each month's files and rows, and whether its files are as
+    many as its bytes ask for."""
+    path = scratch_path(spark, "processed-bytes")
+    rows = to_processed_layout(_processed(spark, sf)).drop("day")
+    write_partitioned(rows.select(*BY_MONTH.names), path, MONTHS, files_per_partition=4)
+    compact_to_bytes(spark, path, MONTHS, BY_MONTH)
+    asked = F.greatest(F.lit(1), F.ceil(F.col("bytes") / C.TARGET_FILE_BYTES))
+    fits = file_sizes(spark, path, MONTHS, BY_MONTH).select(*MONTHS, (F.col("n_files") <= asked).alias("fits"))
+    return file_report(spark, path, MONTHS, BY_MONTH).join(fits, MONTHS).select(*MONTHS, "n_files", "n_rows", "fits")
+
+
 def file_report_q(spark: SparkSession, sf: str) -> DataFrame:
     path, _ = _compacted(spark, sf)
     return file_report(spark, path, ["year", "month", "day"], schemas.PROCESSED)
@@ -253,6 +271,7 @@ QUERIES = {
     "daily_region_sales": daily_region_sales,
     "daily_sales": daily_sales,
     "compact_partition": compact_partition,
+    "compact_bytes": compact_bytes,
     "file_report": file_report_q,
     "schema_drift": schema_drift_q,
     "batch_run": batch_run,

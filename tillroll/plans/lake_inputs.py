@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillroll import config as C
 from tillroll.operators.clean import add_date_parts, standardise
 from tillroll.operators.dedup import latest_per_key
+from tillroll.functions.columns import any_rule_broken
 from tillroll.operators.quality import split_good_bad
 from tillroll.session import pin_session
 from tillroll.sources.landing import landing_for, read_landing
@@ -21,6 +22,8 @@ OLD_BACKFILL_DATE = dt.date(1996, 2, 1)
 OVERWRITE_MONTH = ("1997", "06")
 DRIFT_YEAR = "1998"  # first year of the newer layout in the drift scenario
 COMPACT_MONTH = ("1997", "06")
+# Batch runs over the whole landing whose breaker trips where more rows than this share are rejected.
+FAILING_RUNS = tuple((dt.datetime(2024, 1, 1, h, m, tzinfo=dt.timezone.utc), most) for h, m, most in ((2, 0, 0.05), (2, 3, 0.02), (3, 0, 0.06)))
 MOVED_ID_RESIDUE = 101  # every 101st order is re-sent one day later (moves partition)
 
 _FRAMES: dict[tuple[str, str, bool], DataFrame] = {}
@@ -49,6 +52,23 @@ def deduped(good: DataFrame) -> DataFrame:
     return add_date_parts(latest_per_key(good, prefer=[F.col("source_file")]))
 
 
+def metrics_per_ingest_day(std: DataFrame, job: str = C.LakeConfig.job_name) -> DataFrame:
+    """One DQ_METRICS record per daily run (one run per ingest_date), computed
+    in one aggregation.  Runs start at an hour that varies with the day."""
+    ok = ~any_rule_broken(C.REFERENCE_REGIONS)
+    per_day = std.groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("rows_read"), F.count_if(ok).alias("rows_valid"),
+        F.count_distinct(F.when(ok, F.col("transaction_id"))).alias("_ids"))
+    hour = (F.dayofyear("ingest_date") * 7) % 24
+    return per_day.select(
+        (F.col("ingest_date").cast("timestamp") + F.make_interval(hours=hour)).alias("run_ts"),
+        F.lit("DQ_METRICS").alias("event"), F.lit(job).alias("job"),
+        "rows_read", "rows_valid",
+        (F.col("rows_read") - F.col("rows_valid")).alias("rows_quarantined"),
+        (F.col("rows_valid") - F.col("_ids")).alias("duplicates_removed"),
+        (F.col("rows_read").cast("double") / 2).alias("duration_sec"))
+
+
 def ingest_hour(h: int):
     return F.hour("ingest_ts") == h
 
