@@ -16,7 +16,7 @@ from tillroll import schemas
 from tillroll.operators import key_index
 from tillroll.operators.clean import add_date_parts
 from tillroll.operators.dedup import latest_per_key
-from tillroll.session import scratch_path
+from tillroll.session import scratch_path, small_tasks_apart
 from tillroll.sources.files import delete_path, list_dirs, path_exists
 
 DATE_PARTS = ["year", "month", "day"]
@@ -28,10 +28,10 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str],
     """Dynamic partition overwrite: only folders present in ``df`` are replaced.
     The table's key index goes with it unless ``keys_stay`` in their folders.
 
-    Default: ``rebalance`` on the folder columns groups each folder's rows into
-    as few tasks as possible (about one file per small folder) while AQE
-    splits a folder that is too big for one task; ``maxRecordsPerFile`` caps
-    files.  ``files_per_partition`` > 1 spreads each folder over up to that
+    Default: ``rebalance`` on the folder columns brings each folder's rows to
+    one task (one file per small folder) while AQE splits a folder that is too
+    big for one; ``maxRecordsPerFile`` caps files.  Small tasks are not put
+    together: the time goes into opening files, not into their bytes.  ``files_per_partition`` > 1 spreads each folder over up to that
     many tasks and files with a salt of the row hash (hashing on the folder
     columns alone would still send a folder to a single task).  The explicit
     partition count keeps AQE from coalescing the salted partitions again.
@@ -44,11 +44,12 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str],
         laid_out = df.repartition(n, *[F.col(c) for c in partitions], salt)
     else:
         laid_out = df.hint("rebalance", *partitions)
-    (laid_out
-     .write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy(*partitions).parquet(path))
+    with small_tasks_apart(df.sparkSession):
+        (laid_out
+         .write.mode(mode)
+         .option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", max_records_per_file)
+         .partitionBy(*partitions).parquet(path))
 
 
 def partition_keys(touched: DataFrame, partitions: Sequence[str]) -> list[tuple]:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillroll import config as C
 from tillroll.functions.columns import any_rule_broken, broken_rules
 from tillroll.operators.lake import delete_partitions, partition_keys
+from tillroll.session import small_tasks_apart
 
 
 class RejectRatioExceeded(RuntimeError):
@@ -65,8 +66,9 @@ def write_quarantine(bad: DataFrame, path: str, days: Sequence = ()) -> None:
     """Each ingest_date folder is replaced, so a retried run does not append
     the same rejects twice.  ``days``: the ingest dates that were read; those
     without a reject lose the rejects of an earlier run."""
-    (quarantine_rows(bad).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("ingest_date").parquet(path))
+    with small_tasks_apart(bad.sparkSession):
+        (quarantine_rows(bad).hint("rebalance", "ingest_date").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ingest_date").parquet(path))
     with_rejects = {k for k, in partition_keys(bad, ["ingest_date"])} if days else set()
     delete_partitions(bad.sparkSession, path, ["ingest_date"], [(d,) for d in days if d not in with_rejects])

@@ -13,7 +13,7 @@ from tillroll.functions.columns import date_key, null_safe_differs
 from tillroll.operators import key_index
 from tillroll.operators.lake import delete_partitions, partition_keys, prune_to_partitions
 from tillroll.operators.positions import with_position
-from tillroll.session import scratch_path
+from tillroll.session import scratch_path, small_tasks_apart
 from tillroll.sources.files import delete_path, path_exists
 
 CUSTOMER_ATTRS = ["customer_name", "customer_email", "home_region_code"]
@@ -235,8 +235,9 @@ def merge_by_key(spark: SparkSession, path: str, increment: DataFrame, key: str,
         merged = prune_to_partitions(existing, touched, parts).join(new.select(key), key, "left_anti").select(*columns).unionByName(new)
     merged.write.mode("overwrite").parquet(staging)
     staged = spark.read.schema(increment.schema).parquet(staging).select(*columns)
-    (staged.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
+    with small_tasks_apart(spark):
+        (staged.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(path))
     left = set(partition_keys(staged, parts))
     delete_partitions(spark, path, parts, [k for k in touched if k not in left])
     for p in (new_path, staging):

@@ -6,9 +6,11 @@ partition overwrite).  ``local_session`` is for tests and the bench.
 """
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,18 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
     return pin_session(spark)
 
 
+@contextlib.contextmanager
+def small_tasks_apart(spark: SparkSession) -> Iterator[None]:
+    """Within it AQE does not put small shuffle partitions into one task."""
+    option = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(option)
+    spark.conf.set(option, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(option, before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll import config as C
 from tillroll import schemas
-from tillroll.session import scratch_path
+from tillroll.session import scratch_path, small_tasks_apart
 from tillroll.sources.files import delete_path, path_exists, rename_path
 
 _CSV_OPTIONS = {
@@ -22,10 +22,11 @@ _CSV_OPTIONS = {
 
 def write_landing(raw: DataFrame, path: str) -> str:
     """Land raw text rows as header CSV, one folder per ingest_date."""
-    (raw.select(*schemas.RAW_COLUMNS, "ingest_date")
-     .hint("rebalance", "ingest_date")  # ~one file per day; AQE splits an oversized day
-     .write.mode("overwrite").options(**_CSV_OPTIONS)
-     .partitionBy("ingest_date").csv(path))
+    with small_tasks_apart(raw.sparkSession):
+        (raw.select(*schemas.RAW_COLUMNS, "ingest_date")
+         .hint("rebalance", "ingest_date")  # ~one file per day; AQE splits an oversized day
+         .write.mode("overwrite").options(**_CSV_OPTIONS)
+         .partitionBy("ingest_date").csv(path))
     return path
 
 
