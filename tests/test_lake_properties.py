@@ -365,3 +365,31 @@ def test_runs_are_logged(spark, sf_small):
     run_batch(spark, paths, run_date=str(L.BACKFILL_DATE), cfg=C.LakeConfig(max_reject_ratio=1.0), now=at)
     assert read_log(spark, paths.log).selectExpr("min(unix_seconds(log_ts))", "max(unix_seconds(log_ts))", "count(*)").first() == (int(at.timestamp()),) * 2 + (2,)
     assert spark.read.parquet(paths.metrics).selectExpr("unix_seconds(run_ts)").first()[0] == int(at.timestamp())
+
+
+def test_catalog_tables_follow_each_run_and_drift_is_told(spark, sf_small, caplog):
+    """Two incremental runs: the three tables hold the folders that exist, also
+    after a day was emptied; a file of another layout is told column by column."""
+    from tillroll.operators.lake import DATE_PARTS
+
+    raw = L.raw(spark, sf_small).drop("source_file").filter((F.year("ingest_date") == 1997) & (F.month("ingest_date") < 3)).checkpoint()
+    src, root, prefix = scratch_path(spark, "t-sync-src"), scratch_path(spark, "t-sync"), f"sync_{dt.datetime.now():%H%M%S%f}_"
+    write_landing(raw.filter(F.month("ingest_date") == 1), src)
+    paths = BatchPaths(src, f"{root}/processed", f"{root}/curated", f"{root}/quarantine", f"{root}/state", tables=prefix)
+    cfg = C.LakeConfig(max_reject_ratio=1.0)
+    assert run_batch(spark, paths, cfg=cfg, print_metrics=False)["drifted_columns"] == 0
+    write_landing(raw.filter(F.month("ingest_date") == 2), f"{src}-2")
+    folder = spark.table(f"{prefix}processed").select(*DATE_PARTS).first()
+    read_processed(spark, paths.processed).where((F.col("year") == folder.year)).limit(1).drop("currency").withColumn("channel", F.lit("web")).write.mode(
+        "append").partitionBy(*DATE_PARTS).parquet(paths.processed)
+    second = run_batch(spark, BatchPaths(f"{src}-2", *[getattr(paths, f) for f in ("processed", "curated", "quarantine", "state")], tables=prefix), cfg=cfg, print_metrics=False)
+    assert second["drifted_columns"] >= 1 and "channel" in caplog.text
+    for name, path, parts in (("processed", paths.processed, DATE_PARTS), ("daily_sales", f"{paths.curated}/daily_sales", ["year", "month"]),
+                              ("daily_region_sales", f"{paths.curated}/daily_region_sales", ["year", "month"])):
+        known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {prefix}{name}").collect()}
+        found = [""]
+        for _ in parts:
+            found = [f"{f}/{d}".strip("/") for f in found for d in list_dirs(spark, f"{path}/{f}")]
+        assert known == set(found)
+        assert spark.table(f"{prefix}{name}").count() == spark.read.schema(spark.table(f"{prefix}{name}").schema).parquet(path).count()
+        spark.sql(f"DROP TABLE {prefix}{name}")

@@ -26,6 +26,8 @@ PATHS = ("source_path", "processed_path", "curated_path", "quarantine_path", "st
 FLAGS = {
     "batch": [*[(f"--{p}", {"required": True}) for p in PATHS], ("--metrics_path", {}),
               ("--run_date", {"help": "ingest day to process again, YYYY-MM-DD"}),
+              ("--log_path", {"help": "table that gets a line for every run"}),
+              ("--tables", {"help": "register the three tables in the catalog under names that begin with this, and report drift"}),
               ("--valid_regions", {"default": ",".join(C.REFERENCE_REGIONS), "help": "comma-separated region codes that pass the checks"})],
     "stream": [("--source", {"choices": ("files", "kafka", "kinesis"), "default": "files"}), ("--input", {"help": "where payload files arrive"}),
                ("--bootstrap", {}), ("--topic", {}), ("--stream", {}), ("--region", {"default": "ap-south-1"}),
@@ -39,7 +41,7 @@ def batch(a: argparse.Namespace) -> None:
     from tillroll.plans.batch import BatchPaths, run_batch
 
     regions = tuple(filter(None, (r.strip().upper() for r in a.valid_regions.split(","))))
-    run_batch(_session(a.local, "tillroll-batch"), BatchPaths(*[getattr(a, p) for p in PATHS], a.metrics_path), a.run_date,
+    run_batch(_session(a.local, "tillroll-batch"), BatchPaths(*[getattr(a, p) for p in PATHS], a.metrics_path, a.log_path, a.tables), a.run_date,
               C.LakeConfig(valid_regions=regions))
 
 

@@ -82,6 +82,7 @@ def to_processed_layout(df: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Merged:
     touched: list[tuple]  # (year, month, day) folders that were rewritten or emptied
+    emptied: list[tuple]  # those of them that are gone
     new_rows: int         # rows of the increment after deduplication
 
 
@@ -119,11 +120,12 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
     staged = read_processed(spark, staging)
     write_partitioned(staged, processed_path, DATE_PARTS, keys_stay=relocate_moved_ids)
     left = set(partition_keys(staged, DATE_PARTS))
-    delete_partitions(spark, processed_path, DATE_PARTS, [d for d in days if d not in left])
+    emptied = [d for d in days if d not in left]
+    delete_partitions(spark, processed_path, DATE_PARTS, emptied)
     count = new.count()
     for path in (new_path, staging):
         delete_path(spark, path)
-    return Merged(days, count)
+    return Merged(days, emptied, count)
 
 
 STREAM_LOG = "_spark_metadata"
@@ -208,18 +210,22 @@ def file_report(spark: SparkSession, path: str, partitions: Sequence[str], schem
             .agg(F.count_distinct("_file").alias("n_files"), F.count(F.lit(1)).alias("n_rows")))
 
 
-def schema_drift(spark: SparkSession, path: str, expected: T.StructType, partitions: Sequence[str]) -> DataFrame:
+def schema_drift(spark: SparkSession, path: str, expected: T.StructType, partitions: Sequence[str],
+                 folders: Sequence[str] | None = None) -> DataFrame:
     """(folder, column_name, expected_type, actual_type, status, n_rows): what
     the files of each top-level partition folder hold against the expected
     data columns.  Spark reads and merges the footers of a folder's files in
     parallel; where they contradict each other, the folder's one row says so.
-    Drift is reported, never applied."""
+    Drift is reported, never applied.  ``folders``: only these values of the
+    first partition column."""
     want = {f.name: f.dataType.simpleString() for f in expected.fields if f.name not in partitions}
     top, rows = partitions[0], []
     for name in list_dirs(spark, path):  # as many as the top level has, say years
         if not name.startswith(f"{top}="):
             continue
         folder = name.split("=", 1)[1]
+        if folders is not None and folder not in folders:
+            continue
         try:
             found = spark.read.option("mergeSchema", "true").parquet(f"{path}/{name}").schema
         except (PySparkException, Py4JJavaError) as e:
@@ -249,3 +255,19 @@ def sync_partitions(spark: SparkSession, table: str, path: str, schema: T.Struct
               f"PARTITIONED BY ({', '.join(partitions)}) LOCATION '{path}'")
     spark.catalog.recoverPartitions(table)
     return spark.sql(f"SHOW PARTITIONS {table}")
+
+
+def sync_touched(spark: SparkSession, table: str, path: str, schema: T.StructType, partitions: Sequence[str],
+                 written: Sequence[tuple], gone: Sequence[tuple]) -> None:
+    """Bring the catalog's partitions of ``path`` up to date after a run: those
+    ``written`` are added, those ``gone`` dropped; nothing is listed.  A table
+    that the catalog does not have yet is registered with all its partitions."""
+    if not spark.catalog.tableExists(table):
+        sync_partitions(spark, table, path, schema, partitions)
+        return
+    spec = lambda key: "PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in zip(partitions, key)) + ")"
+    if written:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(map(spec, written)))
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(map(spec, gone)))
+    spark.catalog.refreshTable(table)

@@ -21,8 +21,8 @@ from tillroll.functions.columns import any_rule_broken
 from tillroll.operators import aggregates as agg
 from tillroll.operators.clean import standardise
 from tillroll.operators.dedup import latest_per_key
-from tillroll.operators.lake import (delete_partitions, merge_into_processed, partition_keys, prune_to_partitions,
-                                     read_processed, write_partitioned)
+from tillroll.operators.lake import (DATE_PARTS, Merged, delete_partitions, merge_into_processed, partition_keys, prune_to_partitions,
+                                     read_processed, schema_drift, sync_touched, write_partitioned)
 from tillroll.operators.quality import check_reject_ratio, split_good_bad, write_quarantine
 from tillroll.session import pin_session, scratch_path
 from tillroll.sources.files import delete_path
@@ -40,6 +40,7 @@ class BatchPaths:
     state: str
     metrics: str | None = None
     log: str | None = None  # a table of (log_ts, message), a row a run
+    tables: str | None = None  # what the names of the catalog's three tables begin with, e.g. "lake."
 
 
 LOG = "log_ts timestamp, message string"
@@ -111,22 +112,51 @@ def _process(spark: SparkSession, paths: BatchPaths, std: DataFrame, cfg: C.Lake
 
     deduped = latest_per_key(good, prefer=[F.col("source_file")]).drop("source_file")
     merged = merge_into_processed(spark, deduped, paths.processed)
-    _recompute_curated(spark, paths, cfg, sorted({day[:2] for day in merged.touched}))
+    months = sorted({day[:2] for day in merged.touched})
+    gone = _recompute_curated(spark, paths, cfg, months)
+    drift = _sync(spark, paths, cfg, merged, months, gone) if paths.tables else {}
     log.info("batch run: %d rows read, %d quarantined, %d replaced by later versions", n_read, n_read - n_valid, n_valid - merged.new_rows)
     return {"job": cfg.job_name, "rows_read": n_read, "rows_valid": n_valid, "rows_quarantined": n_read - n_valid,
-            "duplicates_removed": n_valid - merged.new_rows, "duration_sec": round(time.monotonic() - began, 1),
+            "duplicates_removed": n_valid - merged.new_rows, "duration_sec": round(time.monotonic() - began, 1), **drift,
             "_newest": str(max(r["ingest_date"] for r in per_day))}
 
 
-def _recompute_curated(spark: SparkSession, paths: BatchPaths, cfg: C.LakeConfig, months: list[tuple]) -> None:
+CURATED = {C.CURATED_DAILY_REGION: agg.daily_region_sales, C.CURATED_DAILY: agg.daily_sales}
+
+
+def _recompute_curated(spark: SparkSession, paths: BatchPaths, cfg: C.LakeConfig, months: list[tuple]) -> list[tuple]:
     """Every month with a rewritten or emptied day, from all its days; a month
-    without days any more leaves the curated tables too."""
+    without days any more leaves the curated tables too and is returned."""
     parts = list(cfg.curated_partitions)
     processed = prune_to_partitions(read_processed(spark, paths.processed), months, ["year", "month"])
     left = set(partition_keys(processed, ["year", "month"]))
-    for name, table in ((C.CURATED_DAILY_REGION, agg.daily_region_sales), (C.CURATED_DAILY, agg.daily_sales)):
+    gone = [m for m in months if m not in left]
+    for name, table in CURATED.items():
         write_partitioned(table(processed), f"{paths.curated}/{name}", parts)
-        delete_partitions(spark, f"{paths.curated}/{name}", ["year", "month"], [m for m in months if m not in left])
+        delete_partitions(spark, f"{paths.curated}/{name}", ["year", "month"], gone)
+    return gone
+
+
+def _sync(spark: SparkSession, paths: BatchPaths, cfg: C.LakeConfig, merged: Merged, months: list[tuple], gone: list[tuple]) -> dict:
+    """After the writes: the catalog's partitions of the three tables, and the
+    drift of their touched years, which is logged and counted."""
+    days = [d for d in merged.touched if d not in merged.emptied]
+    processed = read_processed(spark, paths.processed)
+    tables = {"processed": (paths.processed, schemas.PROCESSED, DATE_PARTS, days, merged.emptied)}
+    for name, table in CURATED.items():
+        path, schema, parts = f"{paths.curated}/{name}", table(processed).schema, list(cfg.curated_partitions)
+        written = [tuple(r) for r in prune_to_partitions(spark.read.schema(schema).parquet(path), months, ["year", "month"])
+                   .select(*parts).distinct().collect()]  # folders of the touched months
+        tables[name] = (path, schema, parts, written, gone)
+    found = 0
+    for name, (path, schema, parts, written, empty) in tables.items():
+        sync_touched(spark, f"{paths.tables}{name}", path, schema, parts, written, empty)
+        drift = schema_drift(spark, path, schema, parts, sorted({k[0] for k in written})) if written else None
+        for r in drift.where("status <> 'ok'").collect() if drift is not None else []:  # a row a column and touched year
+            log.warning("drift in %s, %s=%s: column %s is %s, expected %s (%s)", name, parts[0], r["folder"], r["column_name"], r["actual_type"],
+                        r["expected_type"], r["status"])
+            found += 1
+    return {"drifted_columns": found}
 
 
 def processed_table(spark: SparkSession, paths: BatchPaths) -> DataFrame:
