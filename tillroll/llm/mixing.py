@@ -14,7 +14,9 @@ solved exactly by sorting the sources by size over weight).
 Only DataFrame expressions.  A source is spread over as many slices of the key
 space as it needs, so a hot source is not one task.
 
-Defined cases: NULL text has size 0; NULL source is a source of its own, last;
+Defined cases: NULL and empty texts have size 0, and nothing of them is taken;
+very long texts are only counted, row by row; NULL source is a source of its own,
+last;
 repeated rows are separate documents (ties in the key are broken by doc_id and
 size; fully equal rows are interchangeable); an empty table gives an empty
 result; other columns pass through ``mix`` untouched.

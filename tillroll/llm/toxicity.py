@@ -17,8 +17,9 @@ uses trees learned without it.  Scoring is a narrow map over all documents.
 Defined cases: NULL and empty texts have all features 0 and are scored like
 any text; of repeated labels of an id the highest counts, repeated rows are
 scored each; without labelled rows of both classes every score is the share
-of toxic ones among what there is (0 if none); an empty table gives an empty
-result; lang, source and doc_id are no inputs of a score.
+of toxic ones among what there is (0 if none); very long texts are scored whole,
+one row at a time; an empty table gives an empty result; lang, source and doc_id
+are no inputs of a score; other columns are not read.
 """
 from __future__ import annotations
 
