@@ -11,8 +11,9 @@ Only DataFrame expressions.  Per-host counts are aggregated before anything is
 joined; the one join over pages is on the host, which Spark splits if hot.
 
 Defined cases: NULL url or one without ``://``: host and path are empty and
-the empty host has a reputation like any other.  An address, a user part or a
-port is part of the host as it stands: 1.2.3.4 counts under "3.4".  Repeated rows are judged and
+the empty host has a reputation like any other.  An address or a user
+part is part of the host as it stands (1.2.3.4 counts under 3.4), a port is left
+out of the registered domain.  Repeated rows are judged and
 counted one by one.  An empty table gives an empty result.  Other columns of
 the input are ignored by ``judge`` unless named in ``keep``.
 """
