@@ -26,8 +26,8 @@ second round, as components: those that share a list meet in salted blocks in a
 task, where size ranges and histograms bound the overlap that any two of their
 members can have; only those that no bound keeps apart leave it.  If the first
 members of two components do not link but others may, by the triangle
-inequality, the members within reach meet in blocks, one side the queries and
-the other the inverted lists, until the first link: it joins the components.
+inequality, the smaller one's members within reach are queries to the inverted
+lists of the larger one, block by block, until the first link: it joins them.
 
 Links are counted apart (``jaccard_links``): they lie within components, so a
 component's classes are dealt to salted blocks, each pair of blocks meets in a
@@ -47,7 +47,7 @@ from __future__ import annotations
 import heapq
 import itertools
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -369,7 +369,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
                     (own + F.coalesce("near", F.lit(0))).alias("n_links")))
 
 
-def near_links(queries: list[np.ndarray], others: list[np.ndarray], percent: int) -> Iterator[np.ndarray]:
+def near_links(queries: Iterable[np.ndarray], others: list[np.ndarray], percent: int) -> Iterator[np.ndarray]:
     """For each query which of ``others`` link with it, by counting in how many
     inverted lists of the query's tokens each of them occurs."""
     sizes = np.fromiter(map(len, others), np.int64, len(others))
@@ -543,41 +543,63 @@ def _near_groups(groups: DataFrame, percent: int) -> DataFrame:
     return map_batches(together, meet, "a long, b long").distinct()
 
 
-def _first_links(sides: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
-    """One link (a, b) at least of each two components (x, y) that have one
-    among the members listed in ``sides`` (x, y, left: is it of x, id): blocks
-    of x's members as queries meet blocks of y's, up to the first link."""
-    sides = save(sides, f"{name}-members")
-    held = _sets_of(sides.select("id").distinct(), classes, docs, words, name)
-    blocks = sides.groupBy("x", "y").agg(*[F.ceil(F.greatest(F.lit(1), F.count_if(c)) / BLOCK).alias(k) for k, c in (("lefts", F.col("left")), ("rights", ~F.col("left")))])
-    own = F.pmod(F.xxhash64("id"), F.when(F.col("left"), F.col("lefts")).otherwise(F.col("rights")))
-    across = F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("left"), F.col("rights")).otherwise(F.col("lefts")) - 1))
-    dealt = (sides.join(blocks, ["x", "y"]).withColumn("own", own).withColumn("across", across)
-             .select("x", "y", F.when(F.col("left"), F.col("own")).otherwise(F.col("across")).alias("i"),
-                     F.when(F.col("left"), F.col("across")).otherwise(F.col("own")).alias("j"), "left", "id").join(held, "id"))
+def _first_links(wide: DataFrame, member: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """One link (a, b) at least of each two components of ``wide`` (x, y, value,
+    r_x, r_y) that have one.  The larger component is at home: its members lie
+    in blocks, once each, as inverted lists; those members of the smaller that
+    are within reach visit every block as queries, up to their first link, found
+    by counting.  ``member``: (id, group, d: its distance to the first one)."""
+    limit = 1 - percent / 100 + 1e-9
+    sizes = member.groupBy("group").agg(F.count(F.lit(1)).alias("m"))
+    size = lambda c: sizes.select(F.col("group").alias(c), F.col("m").alias(f"m_{c}"))
+    larger = F.col("m_x") >= F.col("m_y")
+    pairs = wide.join(size("x"), "x").join(size("y"), "y").select(
+        F.when(larger, F.col("x")).otherwise(F.col("y")).alias("home"), F.when(larger, F.col("y")).otherwise(F.col("x")).alias("guest"), "value",
+        F.when(larger, F.col("r_x")).otherwise(F.col("r_y")).alias("r"), F.ceil(F.greatest("m_x", "m_y") / BLOCK).alias("blocks"))
+    pairs = save(pairs, f"{name}-pairs")
+    at_home = (pairs.select("home", "blocks").distinct().join(member, F.col("home") == F.col("group"))
+               .select("home", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"), F.lit(None).cast("long").alias("guest"), "id"))
+    guests = (pairs.join(member, F.col("guest") == F.col("group")).where(F.col("value") - F.col("d") - F.col("r") <= limit)
+              .select("home", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "guest", "id"))
+    rows = save(at_home.unionByName(guests), f"{name}-members")
+    held = _sets_of(rows.select("id").distinct(), classes, docs, words, name)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, left, right = None, [], []
+        at, ids, lists, guests, linked = None, [], [], [], set()
 
         def out() -> list[tuple[int, int]]:
-            others = [s for _, s in right]
-            for a, query in left if others else []:
-                if hit := divide_skip(query, others, percent):
-                    return [(a, right[hit[0]][0])]
-            return []
+            asked, found = [], []
+
+            def queries() -> Iterator[np.ndarray]:
+                for guest, i, s in guests:
+                    if guest not in linked:
+                        asked.append((guest, i))
+                        yield s
+
+            for hit in near_links(queries(), lists, percent) if lists else []:
+                if hit.any():
+                    linked.add(asked[-1][0])
+                    found.append((asked[-1][1], ids[int(hit.argmax())]))
+            guests.clear()
+            return found
 
         for b in itertools.chain(small(batches), [None]):
             found = []
-            for x, y, i, j, is_left, of, s in zip(*[c.to_pylist() for c in b.columns]) if b is not None else [(None,) * 7]:
-                if at != (x, y, i, j):
-                    found += out() if at else []
-                    at, left, right = (x, y, i, j), [], []
-                if s is not None:
-                    (left if is_left else right).append((of, np.frombuffer(s, np.uint64)))
+            for home, block, guest, i, s in zip(*[c.to_pylist() for c in b.columns]) if b is not None else []:
+                if at != (home, block):
+                    found += out()
+                    at, ids, lists, linked = (home, block), [], [], set()
+                if guest is None:  # the home's members come first
+                    ids.append(i)
+                    lists.append(np.frombuffer(s, np.uint64))
+                else:
+                    guests.append((guest, i, np.frombuffer(s, np.uint64)))
+            found += out()
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
 
-    together = dealt.select("x", "y", "i", "j", "left", "id", "set").repartition("x", "y", "i", "j").sortWithinPartitions("x", "y", "i", "j")
+    together = (rows.join(held, "id").select("home", "block", "guest", "id", "set").repartition("home", "block")
+                .sortWithinPartitions("home", "block", F.col("guest").asc_nulls_first()))
     return save(map_batches(together, search, "a long, b long"), f"{name}-found")
 
 
@@ -608,10 +630,7 @@ def _between(lists: DataFrame, about: DataFrame, component: DataFrame, classes:
     away = far.select(F.col("b").alias("id"), F.col("value").alias("d"))
     member = lists.select("id", "group").distinct()
     member = save(member.join(away, "id", "left").select("id", "group", F.coalesce("d", F.lit(0.0)).alias("d")), "join-members")
-    # of either component the members that some member of the other can be within reach of
-    side = lambda c, o, left: (wide.join(member, F.col(c) == F.col("group")).where(F.col("value") - F.col("d") - F.col(f"r_{o}") <= limit)
-                               .select("x", "y", F.lit(left).alias("left"), "id"))
-    more = _first_links(side("x", "y", True).unionByName(side("y", "x", False)), classes, docs, words, percent, "join-3")
+    more = _first_links(wide, member, classes, docs, words, percent, "join-3")
     return direct.unionByName(more)
 
 
