@@ -16,6 +16,7 @@ from tillroll.operators.lake import (compact, compact_to_bytes, file_report, fil
 from tillroll.operators.quality import reject_summary, with_dq_errors, write_quarantine
 from tillroll.plans import lake_inputs as L
 from tillroll.session import scratch_path
+from tillroll.sources.files import delete_path
 from tillroll.sources.landing import extract, landing_for, read_state, write_watermark
 
 RAW_OUT = [*schemas.RAW_COLUMNS, "ingest_date"]
@@ -240,12 +241,14 @@ def batch_run(spark: SparkSession, sf: str) -> DataFrame:
 def schema_drift_q(spark: SparkSession, sf: str) -> DataFrame:
     """Processed with two real layouts, years before L.DRIFT_YEAR without
     currency and with amount as double, later ones with an extra column."""
-    path = scratch_path(spark, "processed-drift")
-    rows = to_processed_layout(_processed(spark, sf))
+    path, staging = scratch_path(spark, "processed-drift"), scratch_path(spark, "drift-staging")
+    to_processed_layout(_processed(spark, sf)).write.parquet(staging)  # both layouts read this copy
+    rows = read_processed(spark, staging)
     early = rows.filter(F.col("year") < L.DRIFT_YEAR).drop("currency").withColumn("amount", F.col("amount").cast("double"))
     late = rows.filter(F.col("year") >= L.DRIFT_YEAR).withColumn("channel", F.lit("web"))
     for part in (early, late):
-        part.write.mode("append").partitionBy("year", "month", "day").parquet(path)
+        write_partitioned(part, path, ["year", "month", "day"], mode="append")
+    delete_path(spark, staging)
     return schema_drift(spark, path, schemas.PROCESSED, ["year", "month", "day"])
 
 
