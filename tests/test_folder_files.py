@@ -38,3 +38,37 @@ def test_drift_input_has_a_file_a_day(spark, orders, monkeypatch):
     assert got["1998", "channel"] == got["1999", "channel"] == "unexpected" and got["1999", "amount"] == "ok"
     files = _per_folder(paths[0])
     assert len(files) == 4 and set(files.values()) == {1}
+
+
+def test_a_first_merge_stages_its_rows_once(spark, monkeypatch):
+    """Without a processed layer the latest versions are staged, indexed and
+    written; later merges find them."""
+    from pyspark.sql import functions as F
+
+    from tillroll import schemas
+    from tillroll.operators import lake
+
+    names = []
+    monkeypatch.setattr(lake, "scratch_path", lambda s, name: names.append(name) or scratch_path(s, name))
+    option = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(option)
+    given = [("A", 3, 1), ("A", 4, 2), ("B", 3, 1), ("C", 5, 1)]  # id, day of June, version
+
+    def rows(values):
+        at = lambda day, hour: F.make_timestamp(F.lit(1997), F.lit(6), day, hour, F.lit(0), F.lit(0))
+        df = spark.createDataFrame(values, "transaction_id string, d int, v int")
+        df = df.withColumns({"transaction_ts": at(F.col("d"), F.lit(1)), "ingest_ts": at(F.col("d"), F.col("v"))})
+        have = [*df.columns, "transaction_date", "year", "month", "day"]
+        return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PROCESSED.fields if f.name not in have])
+
+    def table():
+        return sorted((r.transaction_id, r.day) for r in lake.read_processed(spark, path).collect())
+
+    path = scratch_path(spark, "t-first-merge")
+    first = lake.merge_into_processed(spark, rows(given), path)
+    assert names == ["merge-new"]
+    assert first == lake.Merged([("1997", "06", "03"), ("1997", "06", "04"), ("1997", "06", "05")], [], 3)
+    assert table() == [("A", "04"), ("B", "03"), ("C", "05")]
+    moved = lake.merge_into_processed(spark, rows([("C", 6, 2)]), path)
+    assert moved.emptied == [("1997", "06", "05")] and table() == [("A", "04"), ("B", "03"), ("C", "06")]
+    assert spark.conf.get(option) == before

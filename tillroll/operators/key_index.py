@@ -39,8 +39,9 @@ def _append(entries: DataFrame, path: str) -> None:
     entries.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
 
 
-def _entries(rows: DataFrame, key: str, parts: Sequence[str]) -> DataFrame:
-    return rows.select(key, *parts, _bucket(key)).distinct()
+def _entries(rows: DataFrame, key: str, parts: Sequence[str], unique: bool = False) -> DataFrame:
+    entries = rows.select(key, *parts, _bucket(key))
+    return entries if unique else entries.distinct()
 
 
 def _read(spark: SparkSession, table: str, schema: T.StructType, key: str, parts: Sequence[str]) -> DataFrame:
@@ -75,14 +76,16 @@ def lookup(spark: SparkSession, table: str, keys: DataFrame, schema: T.StructTyp
     return index.join(wanted, key, "left_semi")
 
 
-def folders_of(spark: SparkSession, table: str, rows: DataFrame, schema: T.StructType, key: str, parts: Sequence[str]) -> DataFrame:
+def folders_of(spark: SparkSession, table: str, rows: DataFrame, schema: T.StructType, key: str, parts: Sequence[str],
+               unique: bool = False) -> DataFrame:
     """The partition folders (with repeats) that may hold the keys of ``rows``
     (key, partition columns), after noting in the index where ``rows`` will lie.
-    A table without an index gets one first."""
+    A table without an index gets one first.  ``unique``: no key is in two rows,
+    so the entries need no shuffle to be distinct."""
     exists = path_exists(spark, table)
     if exists and not ready(spark, table):
         rebuild(spark, table, schema, key, parts)
-    own = _entries(rows, key, parts)
+    own = _entries(rows, key, parts, unique)
     if not exists:
         _append(own, _path(table))
         return own.select(*parts).limit(0)

@@ -16,7 +16,7 @@ from tillroll import schemas
 from tillroll.operators import key_index
 from tillroll.operators.clean import add_date_parts
 from tillroll.operators.dedup import latest_per_key
-from tillroll.session import scratch_path, small_tasks_apart
+from tillroll.session import folders_listed_together, scratch_path, small_tasks_apart
 from tillroll.sources.files import delete_path, list_dirs, path_exists
 
 DATE_PARTS = ["year", "month", "day"]
@@ -72,7 +72,8 @@ def delete_partitions(spark: SparkSession, path: str, partitions: Sequence[str],
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
     """Explicit schema: year/month/day stay zero-padded strings."""
-    return spark.read.schema(schemas.PROCESSED).parquet(path)
+    with folders_listed_together(spark):
+        return spark.read.schema(schemas.PROCESSED).parquet(path)
 
 
 def to_processed_layout(df: DataFrame) -> DataFrame:
@@ -99,22 +100,33 @@ def merge_into_processed(spark: SparkSession, new_rows: DataFrame, processed_pat
       rows and deduplicated with the new side preferred on equal ingest stamps;
     * date parts are recomputed from transaction_ts after the union;
     * the result is staged (lineage cut) and written with dynamic overwrite;
-      touched days that end up empty are removed, and so is the staging.
+      touched days that end up empty are removed, and so is the staging;
+    * without a processed layer yet, the increment's latest versions are all of
+      it: they are staged once and written, with nothing to union or to empty.
     """
     # Stage the increment once: every later step reads this copy instead of
     # recomputing the upstream pipeline (and the lineage is cut).
-    new_path, staging = scratch_path(spark, "merge-new"), scratch_path(spark, "merge-staging")
-    to_processed_layout(new_rows).write.mode("overwrite").parquet(new_path)
+    new_path = scratch_path(spark, "merge-new")
+    rows = to_processed_layout(new_rows)
+    if not path_exists(spark, processed_path):
+        # on rows that are distinct by id already this is a sort within their partitions
+        latest_per_key(rows.withColumn("_new", F.lit(1)), prefer=[F.col("_new")]).drop("_new").write.mode("overwrite").parquet(new_path)
+        new = read_processed(spark, new_path)
+        if relocate_moved_ids:
+            key_index.folders_of(spark, processed_path, new, schemas.PROCESSED, "transaction_id", DATE_PARTS, unique=True)
+        write_partitioned(new, processed_path, DATE_PARTS, keys_stay=relocate_moved_ids)
+        first = Merged(partition_keys(new, DATE_PARTS), [], new.count())
+        delete_path(spark, new_path)
+        return first
+    staging = scratch_path(spark, "merge-staging")
+    rows.write.mode("overwrite").parquet(new_path)
     new = read_processed(spark, new_path).withColumn("_new", F.lit(1))
     touched = new.select(*DATE_PARTS)
-    merged = new
-    exists = path_exists(spark, processed_path)
     if relocate_moved_ids:
         touched = touched.unionByName(key_index.folders_of(spark, processed_path, new, schemas.PROCESSED, "transaction_id", DATE_PARTS))
     days = partition_keys(touched, DATE_PARTS)
-    if exists:
-        existing = read_processed(spark, processed_path)
-        merged = prune_to_partitions(existing, days, DATE_PARTS).withColumn("_new", F.lit(0)).unionByName(new)
+    existing = read_processed(spark, processed_path)
+    merged = prune_to_partitions(existing, days, DATE_PARTS).withColumn("_new", F.lit(0)).unionByName(new)
     merged = latest_per_key(merged, prefer=[F.col("_new")]).drop("_new")
     to_processed_layout(merged).write.mode("overwrite").parquet(staging)
     staged = read_processed(spark, staging)

@@ -107,13 +107,13 @@ def _process(spark: SparkSession, paths: BatchPaths, std: DataFrame, cfg: C.Lake
         return None
     n_read, n_valid = sum(r["n"] for r in per_day), sum(r["ok"] for r in per_day)
     good, bad = split_good_bad(std, cfg.valid_regions)
-    write_quarantine(bad, paths.quarantine, [r["ingest_date"] for r in per_day])
+    write_quarantine(bad, paths.quarantine, [r["ingest_date"] for r in per_day if r["ok"] == r["n"]])
     check_reject_ratio(n_read, n_read - n_valid, cfg.max_reject_ratio)
 
     deduped = latest_per_key(good, prefer=[F.col("source_file")]).drop("source_file")
     merged = merge_into_processed(spark, deduped, paths.processed)
     months = sorted({day[:2] for day in merged.touched})
-    gone = _recompute_curated(spark, paths, cfg, months)
+    gone = _recompute_curated(spark, paths, cfg, merged, months)
     drift = _sync(spark, paths, cfg, merged, months, gone) if paths.tables else {}
     log.info("batch run: %d rows read, %d quarantined, %d replaced by later versions", n_read, n_read - n_valid, n_valid - merged.new_rows)
     return {"job": cfg.job_name, "rows_read": n_read, "rows_valid": n_valid, "rows_quarantined": n_read - n_valid,
@@ -124,13 +124,15 @@ def _process(spark: SparkSession, paths: BatchPaths, std: DataFrame, cfg: C.Lake
 CURATED = {C.CURATED_DAILY_REGION: agg.daily_region_sales, C.CURATED_DAILY: agg.daily_sales}
 
 
-def _recompute_curated(spark: SparkSession, paths: BatchPaths, cfg: C.LakeConfig, months: list[tuple]) -> list[tuple]:
+def _recompute_curated(spark: SparkSession, paths: BatchPaths, cfg: C.LakeConfig, merged: Merged, months: list[tuple]) -> list[tuple]:
     """Every month with a rewritten or emptied day, from all its days; a month
     without days any more leaves the curated tables too and is returned."""
     parts = list(cfg.curated_partitions)
     processed = prune_to_partitions(read_processed(spark, paths.processed), months, ["year", "month"])
-    left = set(partition_keys(processed, ["year", "month"]))
-    gone = [m for m in months if m not in left]
+    gone = sorted(set(months) - {day[:2] for day in set(merged.touched) - set(merged.emptied)})  # unless other days are left
+    if gone:
+        left = set(partition_keys(prune_to_partitions(processed, gone, ["year", "month"]), ["year", "month"]))
+        gone = [m for m in gone if m not in left]
     for name, table in CURATED.items():
         write_partitioned(table(processed), f"{paths.curated}/{name}", parts)
         delete_partitions(spark, f"{paths.curated}/{name}", ["year", "month"], gone)

@@ -15,7 +15,7 @@ from tillroll.operators.lake import (compact, compact_to_bytes, file_report, fil
                                      schema_drift, to_processed_layout, write_partitioned)
 from tillroll.operators.quality import reject_summary, with_dq_errors, write_quarantine
 from tillroll.plans import lake_inputs as L
-from tillroll.session import scratch_path
+from tillroll.session import pin_session, scratch_path
 from tillroll.sources.files import delete_path
 from tillroll.sources.landing import extract, landing_for, read_state, write_watermark
 
@@ -228,7 +228,7 @@ def batch_run(spark: SparkSession, sf: str) -> DataFrame:
     that finds nothing new); result: the processed table."""
     from tillroll.plans.batch import BatchPaths, run_batch
 
-    L.raw(spark, sf, with_source=False)
+    pin_session(spark)
     root = scratch_path(spark, "batch-run")
     paths = BatchPaths(landing_for(spark, sf), f"{root}/processed", f"{root}/curated",
                        f"{root}/quarantine", f"{root}/state")

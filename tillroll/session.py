@@ -67,6 +67,19 @@ def small_tasks_apart(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(option, before)
 
 
+@contextlib.contextmanager
+def folders_listed_together(spark: SparkSession) -> Iterator[None]:
+    """Within it a listing of many folders takes four tasks a core at most, not
+    one a folder: a task costs more than listing a folder."""
+    option = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(option)
+    spark.conf.set(option, str(min(int(before), 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, before)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 

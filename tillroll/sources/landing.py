@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillroll import config as C
 from tillroll import schemas
-from tillroll.session import scratch_path, small_tasks_apart
+from tillroll.session import folders_listed_together, scratch_path, small_tasks_apart
 from tillroll.sources.files import delete_path, path_exists, rename_path
 
 _CSV_OPTIONS = {
@@ -33,9 +33,10 @@ def write_landing(raw: DataFrame, path: str) -> str:
 def read_landing(spark: SparkSession, path: str, with_source: bool = True) -> DataFrame:
     """All-text scan with an explicit schema (a bad value never fails the read);
     ``ingest_date`` comes from the folder names, ``source_file`` from metadata."""
-    df = (spark.read.schema(schemas.RAW_WITH_PARTITION)
-          .options(**_CSV_OPTIONS).option("mode", "PERMISSIVE")
-          .csv(path))
+    with folders_listed_together(spark):
+        df = (spark.read.schema(schemas.RAW_WITH_PARTITION)
+              .options(**_CSV_OPTIONS).option("mode", "PERMISSIVE")
+              .csv(path))
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
     return df
