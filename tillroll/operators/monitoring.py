@@ -2,10 +2,11 @@
 latest records, hourly series and the four alarms, as DataFrame queries."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll import config as C
+from tillroll.operators.positions import with_position
 
 
 def latest_metrics(metrics: DataFrame, n: int = C.LATEST_METRICS_LIMIT) -> DataFrame:
@@ -36,11 +37,15 @@ def consecutive_breaches(observed: DataFrame, ts_col: str, breach: str, n: int,
     of periods).  Only periods that do not breach, and the first and last one,
     bound a run; the periods of a run follow from its bounds by arithmetic, so
     none is generated that does not alarm and ``observed`` is evaluated once.
+    What follows a bound is found by its position: no task holds all periods.
     """
-    order = Window.orderBy("_at")
-    seen = observed.select(F.unix_seconds(ts_col).alias("_at"), F.col(breach).alias("_bad"))
-    seen = seen.withColumns({"_first": F.lag("_at").over(order).isNull(), "_last": F.lead("_at").over(order).isNull()})
-    bounds = seen.where("NOT _bad OR _first OR _last").withColumns({"_next": F.lead("_at").over(order), "_next_bad": F.lead("_bad").over(order)})
+    seen = observed.select(F.unix_seconds(ts_col).alias("_at"), F.col(breach).alias("_bad")).where("_at IS NOT NULL")
+    placed = with_position(seen, ["_at"], "_pos")
+    ends = placed.agg(F.max("_pos").alias("_n"))
+    held = placed.crossJoin(ends).withColumns({"_first": F.col("_pos") == 1, "_last": F.col("_pos") == F.col("_n")}).where("NOT _bad OR _first OR _last")
+    bounds = with_position(held.select("_at", "_bad", "_first"), ["_at"], "_b")
+    following = bounds.select((F.col("_b") - 1).alias("_b"), F.col("_at").alias("_next"), F.col("_bad").alias("_next_bad"))
+    bounds = bounds.join(following, "_b", "left")
     before = F.when(~F.col("_bad"), F.col("_at")).when(F.col("_first"), F.col("_at") - step_seconds)
     after = (F.when(F.col("_next").isNull(), F.when(F.col("_bad"), F.col("_at") + step_seconds))
              .when(F.col("_next_bad"), F.col("_next") + step_seconds).otherwise(F.col("_next")))
