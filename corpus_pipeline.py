@@ -4,7 +4,9 @@ is packed into training sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
 as Parquet to the shared folder and read again as the next stage's docs.  All
-but the last return the columns of documents.
+but the last return the columns of documents.  Stages that call Python bound the
+Arrow batches of their session, so what a task holds does not depend on how long
+10,000 texts are.
 
 Defined cases, besides those of the operators: rows without doc_id are copies
 by their text as any other; rows that share a doc_id and have different texts
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm import language, mixing, ngram_join, packing, toxicity
-from tillroll.llm.common import read, save
+from tillroll.llm.common import bound_batches, read, save
 
 TOXIC_FROM = 0.5     # calibrated score from which a document is rejected
 LANGUAGE_FROM = 0.4  # calibrated probability that a document's language must reach
@@ -27,18 +29,21 @@ COPY_WORDS, COPY_PERCENT = 5, 80  # near copies: Jaccard of five-word shingles o
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below TOXIC_FROM by a model of this input's labelled ones."""
+    bound_batches(spark)
     model = toxicity.fit(docs.select("doc_id", "text"), read(spark, sf_dir, "labels"))
     return docs.where(toxicity.scorer(spark, model)("text") < TOXIC_FROM)
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a letter and a language that the model is not at odds about."""
+    bound_batches(spark)
     found = language.identifier(spark, language.fit(docs.select("doc_id", "lang", "text")))("text")
     return docs.where((found["lang_pred"] != language.UNKNOWN) & (found["score"] >= LANGUAGE_FROM))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id."""
+    bound_batches(spark)
     return ngram_join.one_of_each(docs, COPY_WORDS, COPY_PERCENT)
 
 
@@ -62,6 +67,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return packing.pack_documents(docs)
 
 

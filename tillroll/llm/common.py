@@ -15,6 +15,7 @@ from tillroll.session import scratch_path
 
 # Words of the contracts: runs of anything but space, tab, newline, VT, FF, CR.
 WORD = r"[^\x20\x09-\x0D]+"
+ARROW_BYTES = 2 << 20  # of a batch that goes to a Python worker, where ``bound_batches`` holds
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,16 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on batches that go to Python workers end at ``ARROW_BYTES``
+    (one row, if that is longer), unless the session has a limit set: a task
+    holds its batch in the JVM and once more in each worker it feeds, and by
+    default that is 10,000 rows or 64 MB."""
+    option = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(option, None) is None:
+        spark.conf.set(option, str(ARROW_BYTES))
+
+
 def small(batches: Iterable, rows: int = 256) -> Iterator:
     """The batches in pieces of few rows, so what a task holds as Python
     objects at a time stays small."""

@@ -27,6 +27,7 @@ from tillroll.llm.hashing import span_keys
 LETTER, NUMBER, SPACE, OTHER = range(4)
 SLICE_CHARS = 1 << 19
 MEMO_ENTRIES = 1 << 20  # distinct pre-tokens a worker remembers before it starts anew
+MEMO_RECENT = 1 << 16   # of them, the latest that lie in a dictionary and not in sorted arrays yet
 # Below this code point, NFC and lower case have long been the same in all Unicode versions.
 STABLE = 0x1C80
 
@@ -138,14 +139,17 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 
 
 class Memo:
-    """Values of distinct pre-tokens as ragged int32 arrays, by key."""
+    """Values of distinct pre-tokens as ragged int32 arrays, by key.  The keys lie
+    in ascending order in an array, the latest few in a dictionary: a worker
+    keeps its memo after its tasks, and Python's integers take eight times the room."""
 
     def __init__(self, scheme: Scheme, solve: Callable[[list[str]], list[np.ndarray]]):
         self.scheme, self.solve = scheme, solve
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.recent: dict[int, int] = {}
+        self.known, self.place = np.empty(0, np.uint64), np.empty(0, np.int32)
         self.flat, self.used = np.empty(1 << 16, np.int32), 0
         self.at, self.size = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int32)
 
@@ -157,27 +161,53 @@ class Memo:
             setattr(self, name, b)
         return getattr(self, name)
 
+    def __len__(self) -> int:
+        return len(self.known) + len(self.recent)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, -1 of an unknown one."""
+        out = np.full(len(keys), -1, np.int64)
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
+            np.copyto(out, self.place[at], where=self.known[at] == keys)
+        if self.recent:
+            rest = np.flatnonzero(out < 0)
+            out[rest] = [self.recent.get(k, -1) for k in keys[rest].tolist()]
+        return out
+
+    def _settle(self) -> None:
+        """The latest keys go to the sorted ones."""
+        keys = np.fromiter(self.recent, np.uint64, len(self.recent))
+        order = np.argsort(keys)
+        at = np.searchsorted(self.known, keys[order])
+        place = np.fromiter(self.recent.values(), np.int32, len(keys))
+        self.known, self.place = np.insert(self.known, at, keys[order]), np.insert(self.place, at, place[order])
+        self.recent = {}
+
     def slots(self, text: str, starts: np.ndarray, ends: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """The slot of each pre-token; new ones are solved first."""
         codes, distinct = pd.factorize(keys)
         first = np.empty(len(distinct), np.int64)
         first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
-        if len(self.slot) + len(distinct) > MEMO_ENTRIES:
+        if len(self) + len(distinct) > MEMO_ENTRIES:
             self._clear()
-        named = distinct.tolist()
-        new = [i for i, k in enumerate(named) if k not in self.slot]
-        if new:
+        found = self._find(distinct)
+        new = np.flatnonzero(found < 0)
+        if len(new):
             a, e = starts[first[new]].tolist(), ends[first[new]].tolist()
             solved = self.solve([text[i:j] for i, j in zip(a, e)])
-            base = len(self.slot)
+            base = len(self)
             sizes = np.fromiter(map(len, solved), np.int32, len(solved))
-            joined = np.concatenate(solved) if solved else np.empty(0, np.int32)
+            joined = np.concatenate(solved)
             self._grow("flat", self.used + len(joined))[self.used:self.used + len(joined)] = joined
             self._grow("size", base + len(new))[base:base + len(new)] = sizes
             self._grow("at", base + len(new))[base:base + len(new)] = self.used + np.cumsum(sizes) - sizes
             self.used += len(joined)
-            self.slot.update((named[i], base + k) for k, i in enumerate(new))
-        return np.fromiter(map(self.slot.__getitem__, named), np.int64, len(named))[codes]
+            found[new] = np.arange(base, base + len(new))
+            self.recent.update(zip(distinct[new].tolist(), found[new].tolist()))
+            if len(self.recent) > MEMO_RECENT:
+                self._settle()
+        return found[codes]
 
     def values(self, slots: np.ndarray) -> np.ndarray:
         return ragged(self.flat, self.at[slots], self.size[slots])
