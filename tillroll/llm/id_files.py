@@ -32,7 +32,7 @@ from tillroll.llm.common import map_batches
 from tillroll.session import scratch_path
 
 END_ID = 2
-CHUNK_IDS = range_coder.BLOCK * range_coder.LANES
+CHUNK_IDS = range_coder.CHUNK
 
 _CHUNK = pa.schema([("part", pa.int32()), ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
                     ("block", pa.int32()), ("words", pa.list_(pa.int32())), ("crcs", pa.list_(pa.int64())), ("payload", pa.binary())])

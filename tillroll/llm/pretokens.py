@@ -43,23 +43,39 @@ def load(path: str) -> Tokenizer:
 def classes(path: str) -> np.ndarray:
     """Class of each code point.  Where this Python's and the regex module's
     Unicode versions disagree, the tokenizer's own splitting decides."""
-    chars = [chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000]
+    code = np.delete(np.arange(0x110000, dtype="<u4"), slice(0xD800, 0xE000))
+    text = code.tobytes().decode("utf-32-le")
+    kind = np.frombuffer("".join(map(unicodedata.category, text)).encode(), "S2").astype("S1")
+    unsure = np.zeros(0x110000, bool)
     out = np.full(0x110000, OTHER, np.uint8)
-    text = "".join(chars)
-    newer = {LETTER: set(regex.findall(r"\p{L}", text)), NUMBER: set(regex.findall(r"\p{N}", text))}
     out[[ord(c) for c in regex.findall(r"\s", text)]] = SPACE
+    for which, letter, pattern in ((LETTER, b"L", r"\p{L}"), (NUMBER, b"N", r"\p{N}")):
+        differ = np.zeros(0x110000, bool)
+        differ[code[kind == letter]] = True
+        differ[[ord(c) for c in regex.findall(pattern, text)]] ^= True
+        out[code[kind == letter]] = which
+        unsure |= differ
     split = load(path).pre_tokenizer.pre_tokenize_str
-    for c in chars:
-        kind = unicodedata.category(c)[0]
-        is_letter, is_number = kind == "L", kind == "N"
-        if is_letter != (c in newer[LETTER]) or is_number != (c in newer[NUMBER]):
-            is_letter = len(split("a" + c)) == 1
-            is_number = not is_letter and len(split("!" + c)) == 2
-        if is_letter or is_number:
-            out[ord(c)] = LETTER if is_letter else NUMBER
+    for i in np.flatnonzero(unsure).tolist():
+        c = chr(i)
+        is_letter = len(split("a" + c)) == 1
+        is_number = not is_letter and len(split("!" + c)) == 2
+        out[i] = LETTER if is_letter else NUMBER if is_number else OTHER
     return out
 
 
+@functools.cache
+def byte_units() -> np.ndarray:
+    """The UTF-16 unit that stands for each byte in a byte-level vocabulary: printable
+    bytes for themselves, the others from 256 on."""
+    units = np.arange(256, dtype="<u2")
+    rest = np.ones(256, bool)
+    for a, b in ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)):
+        rest[a:b + 1] = False
+    units[rest] = 256 + np.arange(rest.sum())
+    return units
+
+
 class Scheme:
     """How one tokenizer file splits: ``word`` drops white space, lower-cases
     and takes digits singly (word_bpe); else spaces join the next pre-token."""
@@ -143,7 +159,8 @@ class Memo:
     in ascending order in an array, the latest few in a dictionary: a worker
     keeps its memo after its tasks, and Python's integers take eight times the room."""
 
-    def __init__(self, scheme: Scheme, solve: Callable[[list[str]], list[np.ndarray]]):
+    def __init__(self, scheme: Scheme, solve: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
+        """``solve``: the values of the given pre-tokens end to end, and how many each has."""
         self.scheme, self.solve = scheme, solve
         self._clear()
 
@@ -168,8 +185,10 @@ class Memo:
         """The slot of each key, -1 of an unknown one."""
         out = np.full(len(keys), -1, np.int64)
         if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, keys), len(self.known) - 1)
-            np.copyto(out, self.place[at], where=self.known[at] == keys)
+            order = np.argsort(keys)  # a search in ascending order stays in the cache
+            keys_up = keys[order]
+            at = np.minimum(np.searchsorted(self.known, keys_up), len(self.known) - 1)
+            out[order] = np.where(self.known[at] == keys_up, self.place[at], -1)
         if self.recent:
             rest = np.flatnonzero(out < 0)
             out[rest] = [self.recent.get(k, -1) for k in keys[rest].tolist()]
@@ -195,10 +214,8 @@ class Memo:
         new = np.flatnonzero(found < 0)
         if len(new):
             a, e = starts[first[new]].tolist(), ends[first[new]].tolist()
-            solved = self.solve([text[i:j] for i, j in zip(a, e)])
+            joined, sizes = self.solve([text[i:j] for i, j in zip(a, e)])
             base = len(self)
-            sizes = np.fromiter(map(len, solved), np.int32, len(solved))
-            joined = np.concatenate(solved)
             self._grow("flat", self.used + len(joined))[self.used:self.used + len(joined)] = joined
             self._grow("size", base + len(new))[base:base + len(new)] = sizes
             self._grow("at", base + len(new))[base:base + len(new)] = self.used + np.cumsum(sizes) - sizes
@@ -249,9 +266,28 @@ class Encoder:
         self.scheme = Scheme(path)
         tok = load(path)
 
-        def solve(pretokens: list[str]) -> list[np.ndarray]:
-            return [np.array(e.ids, np.int32) for e in tok.encode_batch_fast(pretokens, add_special_tokens=False)]
-
+        model, specials = tok.model, self.scheme.specials
+
+        def solve_word(pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            # one Encoding for all: an object for each pre-token costs as much as encoding it
+            e = tok.encode(pretokens, is_pretokenized=True, add_special_tokens=False)
+            return np.array(e.ids, np.int32), np.bincount(np.array(e.word_ids, np.int64), minlength=len(pretokens))
+
+        def solve_byte(pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            # already cut, so the model's part alone is left
+            raw = [p.encode() for p in pretokens]
+            units = byte_units()[np.frombuffer(b"".join(raw), np.uint8)].tobytes().decode("utf-16-le")
+            ids: list[int] = []
+            ends: list[int] = []
+            at = 0
+            for p, r in zip(pretokens, raw):
+                end = at + len(r)
+                ids += [tok.token_to_id(p)] if p in specials else [t.id for t in model.tokenize(units[at:end])]
+                ends.append(len(ids))
+                at = end
+            return np.array(ids, np.int32), np.diff(ends, prepend=0)
+
+        solve = solve_word if self.scheme.word else solve_byte
         self.memo = Memo(self.scheme, solve)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -261,6 +297,6 @@ class Encoder:
             starts, ends, keys = self.scheme.tokens(joined, seg_at, special)
             slots = self.memo.slots(joined, starts, ends, keys)
             flat.append(self.memo.values(slots))
-            owner = docs[np.searchsorted(seg_at, starts, "right") - 1]
-            counts += np.bincount(owner, self.memo.size[slots], len(texts)).astype(np.int64)
+            before = np.append(0, np.cumsum(self.memo.size[slots], dtype=np.int64))
+            np.add.at(counts, docs, np.diff(before[np.append(np.searchsorted(starts, seg_at), len(starts))]))
         return (np.concatenate(flat) if flat else np.empty(0, np.int32)), counts

@@ -1,19 +1,22 @@
 """Adaptive context-mixing range coder for token ids below 2**16.
 
 Ids are coded in blocks that start from a fresh model, so each can be decoded
-alone.  A block's model has three parts: the id that last followed the two
-preceding ids (order 2), the id that last followed the preceding one (order 1;
-both in hashed slots that know their context by a tag, so another context's id
-is no prediction), and the frequencies of the ids that these did not tell (order
-0): of their high bytes, and within each high byte of the low ones.  Each
-prediction carries a confidence count, and each of the two orders a running rate
-of its predictions that came true; rate and confidence give the weights by which
-the three are mixed into one interval: order 2's id, order 1's id, else a high
-byte by order 0, whose low byte follows in an interval of its own.
-
-The arithmetic coder keeps 64-bit low and range and puts out 16 bits at a
-time.  All blocks of a chunk are worked in step, one id of each per step, so
-every operation is an array operation over the blocks.
+alone with the chunk's table of order 0, which stands behind the blocks.  A
+model has three parts: the id that last followed the two preceding ids (order
+2), the id that last followed the preceding one (order 1; both in hashed slots
+that know their context by a tag, so another context's id is no prediction),
+and the chunk's ids by their frequencies (order 0).  Each prediction of the
+first two carries a confidence, how often it came true in a row; for each
+confidence a block learns how likely such a prediction is right, and by these
+odds the three are mixed into one interval: order 2's id, order 1's id where it
+is another, else order 0, whose id follows in an interval of its own.
+
+The arithmetic coder keeps 48 bits of low and range and puts out 16 bits at a
+time; carries are kept in the words' upper halves and added at the end.  All
+blocks of a chunk are worked in step, one id of each per step, so every
+operation is an array operation over the blocks.  The operations of a step write
+into arrays made once, and their constants are arrays too: with a thousand
+blocks, making either costs as much as the operation.
 """
 from __future__ import annotations
 
@@ -21,21 +24,28 @@ import zlib
 
 import numpy as np
 
-BLOCK = 1 << 13       # ids a block of a full chunk
-SHORTEST = 1 << 12    # ids a block of a small chunk: fewer teach a model too little
-LANES = 1024          # blocks a chunk aims at
-SLOTS = 12            # bits of a context's slot
+BLOCK = 1 << 13       # most ids a block
+SHORTEST = 1 << 11    # least ids a block: fewer teach a model too little
+LANES = 1 << 12       # blocks a chunk aims at: with few, calls cost more than their work
+CHUNK = 1 << 23       # ids a chunk aims at
+SLOTS = 10            # bits of a context's slot
 SCALE = 15            # bits of the mixing weights
-MOST = (1 << SCALE) - (1 << 10)  # most that a prediction may weigh
-# times the order's rate, in sixteenths, that a prediction of confidence 0 .. 15 weighs
-WORTH = np.array([0, 10, 16, 22, 26, 29, 32, 34, 36, 38, 40, 42, 44, 46, 48, 50], np.int32)
-REFRESH = 16          # steps between updates of the order-0 table of high bytes
-GAIN = 32             # what an id adds to its high byte's count
-LOW_GAIN = 24         # what a low byte seen counts against one not seen
-TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
-U16, U48 = np.uint64(16), np.uint64(48)
-_ONES, _SIXTEENS = np.arange(1, 17, dtype=np.int32), np.arange(16, 257, 16, dtype=np.int32)
-_ODD1, _ODD2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
+MOST = (1 << SCALE) - (1 << 9)  # most that orders 2 and 1 may weigh
+RATE = 5              # odds move by a part of 2**RATE
+GAIN = 31 << SCALE - 10         # what a prediction come true adds to its odds
+# odds of a prediction of confidence 0 (none) .. 7 in a fresh block
+ODDS2 = [0, 8000, 14000, 18000, 21000, 23000, 25000, 28000]
+ODDS1 = [0, 3000, 5000, 7000, 9000, 11000, 13000, 17000]
+TOTAL = 18            # bits of the shares of order 0
+I64, U64 = np.int64, np.uint64
+_C1, _C2 = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)
+_LOW32 = (1 << 32) - 1
+# A slot holds, from the lowest bit, 3 bits of confidence, 12 of its context's hash, 17 of id + 1; 0: empty.
+_ONE, _SIX, _SEVEN, _TAG, _ID = (np.array(v, I64) for v in (1, 6, 7, 0x7FF8, 15))
+_SCALE, _TOTAL, _MOST, _RATE, _GAIN = (np.array(v, I64) for v in (SCALE, TOTAL, MOST, RATE, GAIN))
+# A span of order 0 holds its start above 20 bits of its width.
+_ZERO, _FOUR, _WIDE, _WIDTH, _WORD, _SHORT = (np.array(v, I64) for v in (0, 4, 20, (1 << 20) - 1, 32, 1 << 32))
+_TOP = np.array(64 - SLOTS, U64)
 
 
 def block_size(n: int) -> int:
@@ -43,85 +53,97 @@ def block_size(n: int) -> int:
     return min(BLOCK, max(SHORTEST, -(-n // LANES)))
 
 
+class _Order:
+    """The predictions of one order: id + 1 or 0 (``told``), and their odds."""
+
+    def __init__(self, lanes: int, odds: list[int]):
+        self.slots, self.odds = np.zeros(lanes << SLOTS, np.uint32), np.tile(np.array(odds, I64), lanes)
+
+    def narrow(self, n: int) -> None:
+        self.base, self.row = np.arange(n, dtype=I64) << SLOTS, np.arange(n, dtype=I64) << 3
+        self.at, self.v, self.sure, self.told, self.p, self.t, self.tag = (np.empty(n, I64) for _ in range(7))
+        self.v32, self.same, self.top = np.empty(n, np.uint32), np.empty(n, bool), np.empty(n, U64)
+
+    def look(self, key: np.ndarray) -> None:
+        v, t, tag = self.v, self.t, self.tag
+        np.right_shift(key, _TOP, out=self.top)
+        np.add(self.top.view(I64), self.base, out=self.at)
+        self.slots.take(self.at, out=self.v32, mode="clip")
+        v[:] = self.v32
+        np.bitwise_and(key.view(I64), _TAG, out=tag)
+        np.bitwise_and(v, _TAG, out=t)
+        np.equal(t, tag, out=self.same)
+        t[:] = self.same
+        v *= t
+        np.right_shift(v, _ID, out=self.told)
+        np.bitwise_and(v, _SEVEN, out=self.sure)
+
+    def weigh(self) -> np.ndarray:
+        np.add(self.sure, self.row, out=self.t)
+        self.odds.take(self.t, out=self.p, mode="clip")
+        return self.p
+
+    def learn(self, fresh: np.ndarray, hit: np.ndarray, right: np.ndarray) -> None:
+        """``fresh``: what the slot holds after a miss, without the tag; ``hit``: the
+        prediction came true; ``right``: it was asked as well, which moves its odds."""
+        v, p, s = self.v, self.p, self.sure
+        s[:] = right
+        s *= _GAIN
+        p += s
+        np.right_shift(p, _RATE, out=s)
+        p -= s
+        self.odds[self.t] = p
+        np.bitwise_and(v, _SEVEN, out=s)
+        np.minimum(s, _SIX, out=self.told)
+        s -= self.told
+        v -= s
+        v += _ONE  # one more, seven at most
+        self.tag |= fresh
+        np.copyto(self.tag, v, where=hit)
+        self.v32[:] = self.tag
+        self.slots[self.at] = self.v32
+
+
 class _Model:
     def __init__(self, lanes: int):
-        self.base = np.arange(lanes, dtype=np.int64) << SLOTS
-        self.row = np.arange(lanes, dtype=np.int64) << 8
-        # predictions by context: tag (11 bits), id and, in the low four bits, confidence
-        self.next2, self.next1 = np.zeros(lanes << SLOTS, np.uint32), np.zeros(lanes << SLOTS, np.uint32)
-        self.rate2, self.rate1 = (np.full(lanes, 1 << SCALE - 2, np.int32) for _ in range(2))
-        self.count = np.ones(lanes << 8, np.int32)
-        self.cum = np.zeros((257, lanes), np.int32)
-        self.flat = self.cum.reshape(-1)
-        # times each low byte followed its high byte, and sums of sixteen low bytes each
-        self.low, self.sixteen = np.zeros((lanes << 12, 16), np.uint8), np.zeros((lanes << 8, 16), np.int32)
-        self.a, self.b = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
-        self.steps = 0
-
-    def _look(self, table: np.ndarray, hashed: np.ndarray, n: int):
-        at = self.base[:n] + (hashed >> np.uint32(32 - SLOTS))
-        tag = (hashed & np.uint32(0x7FF)) << np.uint32(20)
-        v = table[at]
-        v *= (v & np.uint32(0xFFF00000)) == tag
-        return at, tag, (v >> np.uint32(4) & np.uint32(0xFFFF)).astype(np.int32), (v & np.uint32(15)).astype(np.int32)
-
-    def predict(self, n: int) -> None:
-        """Weights and candidates of the first n lanes."""
-        if self.steps % REFRESH == 0:
-            np.cumsum(self.count.reshape(-1, 256).T, axis=0, out=self.cum[1:])
-            self.total = self.cum[256].astype(np.int64)
-        self.steps += 1
-        one = (self.b[:n] + np.uint32(1)) * _ODD1
-        one ^= one >> np.uint32(15)
-        self.at1, self.tag1, self.c1, self.s1 = self._look(self.next1, one * _ODD2, n)
-        self.at2, self.tag2, self.c2, self.s2 = self._look(self.next2, (one + self.a[:n]) * _ODD1, n)
-        self.w2 = np.minimum(self.rate2[:n] * WORTH[self.s2] >> 4, MOST)
-        w1 = np.minimum(self.rate1[:n] * WORTH[self.s1] >> 4, MOST) * ((1 << SCALE) - self.w2) >> SCALE
-        self.w1 = w1 * (self.c1 != self.c2)
-        self.w0 = ((1 << SCALE) - self.w2 - self.w1).astype(np.int64)
-        self.total0 = self.total[:n]
-        self.edge2, self.edge1 = self.w2 * self.total0, (self.w2 + self.w1) * self.total0
-
-    def sixteens(self, lanes: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Cumulated counts of the low bytes that followed ``high``, by sixteens."""
-        self.at0, self.own = self.row[lanes] + high, np.arange(len(lanes))
-        self.upto16 = np.cumsum(self.sixteen[self.at0], 1, dtype=np.int32)
-        return self.upto16
-
-    def within(self, group: np.ndarray) -> np.ndarray:
-        """Cumulated counts of the low bytes within the sixteens ``group``."""
-        self.before = np.where(group > 0, self.upto16[self.own, group - 1], 0)
-        self.rows = (self.at0 << 4) + group
-        self.counts = self.low[self.rows]
-        return np.cumsum(self.counts, 1, dtype=np.int32)
-
-    def place(self, group: np.ndarray, upto: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, width) of a low byte's share of LOW_GAIN * counts + 256."""
-        n = self.counts[self.own, digit].astype(np.int32)
-        start = LOW_GAIN * (self.before + upto[self.own, digit] - n) + (group << 4 | digit)
-        return start.astype(np.uint64), (LOW_GAIN * n + 1).astype(np.uint64)
-
-    def update_low(self, group: np.ndarray, digit: np.ndarray) -> None:
-        self.count[self.at0] += GAIN
-        full = self.counts[self.own, digit] == 255
-        if full.any():
-            rows = self.rows[full]
-            self.low[rows] >>= np.uint8(1)
-            self.sixteen[self.at0[full], group[full]] = self.low[rows].sum(1)
-        self.low[self.rows, digit] += np.uint8(1)
-        self.sixteen[self.at0, group] += 1
-
-    def update(self, n: int, ids: np.ndarray) -> None:
-        for table, at, tag, s, c, rate in ((self.next2, self.at2, self.tag2, self.s2, self.c2, self.rate2[:n]),
-                                           (self.next1, self.at1, self.tag1, self.s1, self.c1, self.rate1[:n])):
-            hit = (c == ids) & (s > 0)
-            rate += (((hit.astype(np.int32) << SCALE) - rate) >> 6) * (s > 0)
-            # an established prediction loses confidence before it goes
-            stays = hit | (s > 2)
-            sure = np.where(hit, s + (s < 15), np.where(s > 2, s >> 1, 1))
-            table[at] = tag | (np.where(stays, c, ids) << 4 | sure).astype(np.uint32)
-        self.a[:n] = self.b[:n]
-        self.b[:n] = ids
+        self.two, self.one = _Order(lanes, ODDS2), _Order(lanes, ODDS1)
+        self.last, self.before = np.zeros(lanes, U64), np.zeros(lanes, U64)
+
+    def narrow(self, n: int) -> None:
+        """From now on the first n lanes go on."""
+        self.two.narrow(n)
+        self.one.narrow(n)
+        self.last, self.before = self.last[:n].copy(), self.before[:n].copy()
+        self.key, self.both = np.empty(n, U64), np.empty(n, I64)
+        self.differ, self.is2, self.is1 = (np.empty(n, bool) for _ in range(3))
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights, of 2**SCALE, of order 2 and of orders 2 and 1 together."""
+        one, two = self.one, self.two
+        one.look(self.last)
+        np.multiply(self.before, _C2, out=self.key)
+        self.key += self.last
+        two.look(self.key)
+        np.not_equal(one.told, two.told, out=self.differ)
+        one.t[:] = self.differ
+        one.sure *= one.t
+        np.add(two.weigh(), one.weigh(), out=self.both)
+        np.minimum(self.both, _MOST, out=self.both)
+        return two.p, self.both
+
+    def check(self, x1: np.ndarray) -> None:
+        """Which predictions name the ids + 1."""
+        np.equal(x1, self.two.told, out=self.is2)
+        np.equal(x1, self.one.told, out=self.is1)
+
+    def learn(self, x1: np.ndarray) -> None:
+        np.left_shift(x1, _ID, out=self.both)
+        self.both += _ONE
+        self.differ &= self.is1
+        self.two.learn(self.both, self.is2, self.is2)
+        self.one.learn(self.both, self.is1, self.differ)
+        self.before, self.last = self.last, self.before
+        np.multiply(x1.view(U64), _C1, out=self.last)
 
 
 def _layout(n: int, block: int) -> tuple[int, int]:
@@ -130,20 +152,39 @@ def _layout(n: int, block: int) -> tuple[int, int]:
     return blocks, n - (blocks - 1) * block
 
 
-def _ripe(low: np.ndarray, size: np.ndarray, lanes: np.ndarray) -> np.ndarray:
-    """The lanes whose leading 16 bits are settled; a lane whose range has run
-    short without that is cut down to a range where they are."""
-    a, w = low[lanes], size[lanes]
-    same = (a ^ (a + w)) < TOP
-    short = ~same & (w < BOTTOM)
-    if short.any():
-        size[lanes[short]] = (~a[short] + np.uint64(1)) & (BOTTOM - np.uint64(1))
-        same |= short
-    return lanes[same]
+def shares(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids, the share of 2**TOTAL of each: by its frequency, at least 1)."""
+    counts = np.bincount(ids, minlength=1 << 16)
+    kinds = np.flatnonzero(counts)
+    counts = counts[kinds]
+    room = (1 << TOTAL) - len(kinds)
+    want = np.maximum(counts * ((1 << TOTAL) / len(ids)) - 1, 0)
+    share = 1 + np.floor(want * min(1, room / max(want.sum(), 1))).astype(I64)
+    share[np.argmax(counts)] += (1 << TOTAL) - share.sum()
+    return kinds, share
+
+
+def _pack(kinds: np.ndarray, share: np.ndarray) -> bytes:
+    gaps = np.diff(kinds, prepend=-1) - 1
+    return zlib.compress(b"".join([gaps.astype("<u2").tobytes(), *((share >> i & 255).astype(np.uint8).tobytes() for i in (0, 8, 16))]), 9)
+
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    plain = zlib.decompress(packed)
+    n = len(plain) // 5
+    low, middle, high = np.frombuffer(plain, np.uint8, 3 * n, 2 * n).reshape(3, n).astype(I64)
+    return np.cumsum(np.frombuffer(plain, "<u2", n).astype(I64) + 1) - 1, low | middle << 8 | high << 16
+
+
+def _spans(kinds: np.ndarray, share: np.ndarray) -> np.ndarray:
+    spans = np.zeros(1 << 16, I64)
+    spans[kinds] = np.cumsum(share) - share << 20 | share
+    return spans
 
 
 def encode(ids: np.ndarray) -> tuple[bytes, int, list[int], list[int]]:
-    """(payload, ids a block, 16-bit words of each block, CRC-32 of each block's ids as little-endian 32-bit)."""
+    """(payload, ids a block, 16-bit words of each block, CRC-32 of each block's ids as little-endian 32-bit).
+    Behind the blocks' words the payload holds the table of order 0."""
     total = len(ids)
     if not total:
         return b"", 0, [], []
@@ -151,55 +192,85 @@ def encode(ids: np.ndarray) -> tuple[bytes, int, list[int], list[int]]:
         raise ValueError("the format holds ids from 0 to 65535")
     block = block_size(total)
     lanes, last = _layout(total, block)
-    grid = np.zeros(lanes * block, np.int32)
+    grid = np.zeros(lanes * block, np.uint16)
     grid[:total] = ids
+    kinds, share = shares(grid[:total])
+    spans = _spans(kinds, share)
     grid = np.ascontiguousarray(grid.reshape(lanes, block).T)
-    m, lane = _Model(lanes), np.arange(lanes)
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
-    width_of_row = 4 * block + 8
-    out, used = np.zeros(lanes * width_of_row, np.uint16), lane * width_of_row
-    def settle(go: np.ndarray) -> None:
-        while len(go := _ripe(low, size, go)):
-            out[used[go]] = low[go] >> U48
-            used[go] += 1
-            low[go] <<= U16
-            size[go] <<= U16
-
-    for t in range(block):
-        n = lanes if t < last else lanes - 1
+    m = _Model(lanes)
+    low, size = np.zeros(lanes, I64), np.full(lanes, (1 << 48) - 1, I64)
+    # an id takes two words at most; an odd number of cache lines a row keeps the rows' ends apart in the cache
+    width_of_row = 2 * block + 16
+    first = np.arange(lanes, dtype=I64) * width_of_row
+    out, at = np.zeros(lanes * width_of_row, np.uint32), first.copy()
+    done, t = [], 0
+    for n, until in ((lanes, last), (lanes - 1, block)):
         if not n:
             break
-        x = grid[t, :n]
-        m.predict(n)
-        at = (x >> 8) * lanes + lane[:n]
-        c = m.flat[at].astype(np.int64)
-        f = m.flat[at + lanes] - c
-        is2, is1 = (x == m.c2) & (m.w2 > 0), (x == m.c1) & (m.w1 > 0)
-        start = np.where(is2, 0, np.where(is1, m.edge2, m.edge1 + m.w0 * c))
-        width = np.where(is2, m.edge2, np.where(is1, m.edge1 - m.edge2, m.w0 * f))
-        r = size[:n] // (m.total0 << SCALE).view(np.uint64)
-        low[:n] += r * start.view(np.uint64)
-        size[:n] = r * width.view(np.uint64)
-        settle(lane[:n])
-        miss = np.flatnonzero(~(is2 | is1))
-        if len(miss):
-            high, group, digit = x[miss] >> 8, x[miss] >> 4 & 15, x[miss] & 15
-            whole = LOW_GAIN * m.sixteens(miss, high)[:, 15] + 256
-            start, width = m.place(group, m.within(group), digit)
-            r = size[miss] // whole.astype(np.uint64)
-            low[miss] += r * start
-            size[miss] = r * width
-            m.update_low(group, digit)
-            settle(miss)
-        m.update(n, x)
-    for _ in range(4):
-        out[used] = low >> U48
-        used += 1
-        low <<= U16
-    first, used = lane * width_of_row, used - lane * width_of_row
-    words = [out[i:i + u].astype("<u2").tobytes() for i, u in zip(first.tolist(), used.tolist())]
-    plain = ids.astype("<u4")
-    return b"".join(words), block, used.tolist(), [zlib.crc32(plain[i:i + block].tobytes()) for i in range(0, total, block)]
+        done.append((low[n:], at[n:]))
+        low, size, at = low[:n].copy(), size[:n].copy(), at[:n].copy()
+        m.narrow(n)
+        x, x1, a, b, c, d, r = (np.empty(n, I64) for _ in range(7))
+        need, word = np.empty(n, bool), np.empty(n, np.uint32)
+        for row in grid[t:until, :n]:
+            x[:] = row
+            np.add(x, _ONE, out=x1)
+            edge2, edge1 = m.predict()
+            m.check(x1)
+            np.right_shift(size, _SCALE, out=r)
+            np.multiply(r, edge2, out=a)
+            np.multiply(r, edge1, out=b)
+            # order 0: start d and width size
+            spans.take(x, out=c, mode="clip")
+            size -= b
+            np.right_shift(size, _TOTAL, out=r)
+            np.right_shift(c, _WIDE, out=d)
+            d *= r
+            d += b
+            c &= _WIDTH
+            np.multiply(r, c, out=size)
+            b -= a
+            np.copyto(d, a, where=m.is1)
+            np.copyto(size, b, where=m.is1)
+            np.copyto(d, _ZERO, where=m.is2)
+            np.copyto(size, a, where=m.is2)
+            low += d
+            # every lane writes its word, those that need it keep it
+            np.less(size, _SHORT, out=need)
+            a[:] = need
+            np.left_shift(a, _FOUR, out=b)
+            np.right_shift(low, _WORD, out=c)
+            word[:] = c
+            out[at] = word
+            at += a
+            c *= a
+            c <<= _WORD
+            low -= c
+            low <<= b
+            size <<= b
+            np.less(size, _SHORT, out=need)
+            again = need.nonzero()[0]
+            if len(again):
+                v = low[again]
+                out[at[again]] = v >> 32
+                at[again] += 1
+                low[again] = (v & _LOW32) << 16
+                size[again] <<= 16
+            m.learn(x1)
+        t = until
+    done.append((low, at))
+    low, at = (np.concatenate([d[i] for d in done[::-1]]) for i in (0, 1))
+    for _ in range(3):
+        out[at] = low >> 32
+        at += 1
+        low = (low & _LOW32) << 16
+    words = np.concatenate([out[i:j] for i, j in zip(first.tolist(), at.tolist())])
+    while len(carries := (words >> 16).nonzero()[0]):
+        words[carries] &= 0xFFFF
+        words[carries - 1] += 1
+    plain = ids.astype("<i4", copy=False)
+    return (words.astype("<u2").tobytes() + _pack(kinds, share), block, (at - first).tolist(),
+            [zlib.crc32(plain[i:i + block].tobytes()) for i in range(0, total, block)])
 
 
 def decode(payload: bytes, block: int, words: list[int], crcs: list[int], total: int) -> np.ndarray:
@@ -207,67 +278,86 @@ def decode(payload: bytes, block: int, words: list[int], crcs: list[int], total:
     if not total:
         return np.empty(0, np.int32)
     lanes, last = _layout(total, block)
-    used = np.array(words, np.int64)
-    begin = np.cumsum(used) - used
-    data = np.append(np.frombuffer(payload, "<u2"), np.zeros(8, np.uint16)).astype(np.uint64)
-    end = len(data) - 1
-    code = np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = code << U16 | data[np.minimum(begin, end)]
-        begin += 1
-    m, lane = _Model(lanes), np.arange(lanes)
-    low, size = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
-    grid = np.zeros((block, lanes), np.int32)
-
-    def settle(go: np.ndarray) -> None:
-        while len(go := _ripe(low, size, go)):
-            code[go] = code[go] << U16 | data[np.minimum(begin[go], end)]
-            begin[go] += 1
-            low[go] <<= U16
-            size[go] <<= U16
-
-    for t in range(block):
-        n = lanes if t < last else lanes - 1
+    used = np.array(words, I64)
+    at, coded = np.cumsum(used) - used, int(used.sum())
+    data = np.append(np.frombuffer(payload, "<u2", coded), np.zeros(1, np.uint16))
+    try:
+        kinds, share = _unpack(payload[2 * coded:])
+    except zlib.error as e:
+        raise ValueError("damaged block: the table of order 0, of all blocks") from e
+    spans, symbols = _spans(kinds, share), np.repeat(kinds.astype(np.uint16), share)
+    m = _Model(lanes)
+    code, size = np.zeros(lanes, I64), np.full(lanes, (1 << 48) - 1, I64)
+    for _ in range(3):
+        code = code << 16 | data.take(at, mode="clip")
+        at += 1
+    grid = np.zeros((block, lanes), np.uint16)
+    t = 0
+    for n, until in ((lanes, last), (lanes - 1, block)):
         if not n:
             break
-        m.predict(n)
-        full = m.total0 << SCALE
-        r = size[:n] // full.view(np.uint64)
-        v = np.minimum(((code[:n] - low[:n]) // r).view(np.int64), full - 1)
-        is2, told = v < m.edge2, v < m.edge1
-        u = (np.maximum(v - m.edge1, 0) // m.w0).astype(np.int32)
-        # the high byte: sixteen at a time, then by halves
-        at = ((m.cum[16:256:16, :n] <= u).sum(0, dtype=np.int32) << 4) * lanes + lane[:n]
-        for half in (8 * lanes, 4 * lanes, 2 * lanes, lanes):
-            at += (m.flat[at + half] <= u) * half
-        c = m.flat[at].astype(np.int64)
-        f = m.flat[at + lanes] - c
-        start = np.where(is2, 0, np.where(told, m.edge2, m.edge1 + m.w0 * c))
-        width = np.where(is2, m.edge2, np.where(told, m.edge1 - m.edge2, m.w0 * f))
-        low[:n] += r * start.view(np.uint64)
-        size[:n] = r * width.view(np.uint64)
-        settle(lane[:n])
-        x = np.where(is2, m.c2, m.c1)
-        miss = np.flatnonzero(~told)
-        if len(miss):
-            high = (at[miss] // lanes).astype(np.int32)
-            upto = m.sixteens(miss, high)
-            whole = LOW_GAIN * upto[:, 15] + 256
-            r = size[miss] // whole.astype(np.uint64)
-            v = np.minimum(((code[miss] - low[miss]) // r).view(np.int64), whole - 1).astype(np.int32)[:, None]
-            group = (LOW_GAIN * upto + _SIXTEENS <= v).sum(1, dtype=np.int32)
-            within = m.within(group)
-            digit = (LOW_GAIN * (m.before[:, None] + within) + (group[:, None] << 4) + _ONES <= v).sum(1, dtype=np.int32)
-            start, width = m.place(group, within, digit)
-            low[miss] += r * start
-            size[miss] = r * width
-            m.update_low(group, digit)
-            settle(miss)
-            x[miss] = high << 8 | group << 4 | digit
-        grid[t, :n] = x
-        m.update(n, x)
-    ids = grid.T.reshape(-1)[:total]
-    plain = ids.astype("<u4")
+        code, size, at = code[:n].copy(), size[:n].copy(), at[:n].copy()
+        m.narrow(n)
+        x1, a, b, c, d, e, r = (np.empty(n, I64) for _ in range(7))
+        told, word, quotient, divisor = np.empty(n, bool), np.empty(n, np.uint16), np.empty(n), np.empty(n)
+        # a damaged block may come to anything before its checksum is taken
+        with np.errstate(all="ignore"):
+            for row in grid[t:until, :n]:
+                edge2, edge1 = m.predict()
+                np.right_shift(size, _SCALE, out=r)
+                np.multiply(r, edge2, out=a)
+                np.multiply(r, edge1, out=b)
+                np.less(code, a, out=m.is2)
+                np.less(code, b, out=told)
+                # order 0; doubles divide 48 bits by 30 exactly enough: the nearest whole number is 2**-30 away
+                size -= b
+                np.right_shift(size, _TOTAL, out=r)
+                np.subtract(code, b, out=d)
+                quotient[:] = d
+                divisor[:] = r
+                quotient /= divisor
+                c[:] = quotient
+                symbols.take(c, out=word, mode="clip")
+                x1[:] = word
+                spans.take(x1, out=c, mode="clip")
+                x1 += _ONE
+                np.copyto(x1, m.one.told, where=told)
+                np.copyto(x1, m.two.told, where=m.is2)
+                np.right_shift(c, _WIDE, out=e)
+                e *= r
+                d -= e
+                c &= _WIDTH
+                np.multiply(r, c, out=size)
+                b -= a
+                np.copyto(size, b, where=told)
+                np.copyto(size, a, where=m.is2)
+                np.subtract(code, a, out=b)
+                np.copyto(d, b, where=told)
+                np.copyto(d, code, where=m.is2)
+                code, d = d, code
+                np.less(size, _SHORT, out=told)
+                a[:] = told
+                np.left_shift(a, _FOUR, out=b)
+                size <<= b
+                code <<= b
+                data.take(at, out=word, mode="clip")
+                c[:] = word
+                c *= a
+                code |= c
+                at += a
+                np.less(size, _SHORT, out=told)
+                again = told.nonzero()[0]
+                if len(again):
+                    code[again] = code[again] << 16 | data.take(at[again], mode="clip")
+                    at[again] += 1
+                    size[again] <<= 16
+                np.subtract(x1, _ONE, out=b)
+                row[:] = b
+                m.check(x1)
+                m.learn(x1)
+        t = until
+    ids = grid.T.reshape(-1)[:total].astype(np.int32)
+    plain = ids.astype("<i4", copy=False)
     found = [zlib.crc32(plain[i:i + block].tobytes()) for i in range(0, total, block)]
     if found != list(crcs):
         raise ValueError(f"damaged block: {next(i for i, (a, b) in enumerate(zip(found, crcs)) if a != b)}")

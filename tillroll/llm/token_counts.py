@@ -139,11 +139,11 @@ def counter(path: str):
 
     scheme, merger = Scheme(path), Merger(path)
 
-    def solve(pretokens: list[str]) -> list[np.ndarray]:
+    def solve(pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [p.encode() for p in pretokens]
         plain = merger.counts(b"".join(raw), np.fromiter(map(len, raw), np.int64, len(raw)))
         special = np.fromiter((p in scheme.specials for p in pretokens), bool, len(raw))
-        return list(np.where(special, 1, plain).astype(np.int32)[:, None])
+        return np.where(special, 1, plain).astype(np.int32), np.ones(len(raw), np.int32)
 
     memo = Memo(scheme, solve)
 
