@@ -1,4 +1,6 @@
 """Cover-tree dual traversal against all pairs."""
+from pathlib import Path
+
 import numpy as np
 import pytest
 
@@ -58,3 +60,47 @@ def test_awkward_vectors(spark):
     assert got == _brute(ids, vectors)
     assert near_duplicates(_table(spark, [], [])).count() == 0
     assert [tuple(r) for r in near_duplicates(_table(spark, [4], [None])).collect()] == [(4, 0, 4, True)]
+
+
+@pytest.mark.parametrize(("kind", "many", "least"), [("float", 1, 0), ("double", 9, 0), ("float", 9, 1 << 30)])
+def test_groups_of_blocks_equal_brute_force(spark, monkeypatch, kind, many, least):
+    for name, value in {"BLOCK": 20, "CELL": 30, "LEFT": 3, "MANY": many, "GROUP": least}.items():
+        monkeypatch.setattr(embedding_dups, name, value)
+    vectors = _clustered(3)
+    vectors += vectors[:40] * 2  # copies, with ids of their own
+    ids = np.random.default_rng(1).permutation(len(vectors)).tolist()
+    table = _table(spark, ids, vectors)
+    got = near_duplicates(table.withColumn("embedding", table["embedding"].cast(f"array<{kind}>")))
+    assert sorted(map(tuple, got.collect())) == _brute(ids, vectors)
+
+
+def test_equal_vectors_have_one_cell():
+    pivots = np.eye(8)
+    x = embedding_dups._unit(np.random.default_rng(0).integers(-1, 2, (500, 8)) + np.eye(1, 8) * 4)
+    x[::2, 0] = x[::2, 1] = np.abs(x[::2]).max(1)  # as near to the first pivot as to the second
+    alone = np.concatenate([embedding_dups._cells(x[i:i + 1], pivots)[0] for i in range(len(x))])
+    assert (embedding_dups._cells(x, pivots)[0] == alone).all()
+
+
+def test_groups_apart_do_not_meet():
+    near = lambda far: embedding_dups._near([(4, [0, 0], [0.1, far]), (6, [1], [0.2])], np.eye(2), 0.3)
+    assert near(0.4) == {4: [4], 6: [6]}
+    assert near(1.0) == {4: [4, 6], 6: [6]}
+
+
+def _shuffled(spark):
+    """Bytes of each of the shuffle files there are."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f: f.stat().st_size for d in folders for f in Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+def test_shuffle_grows_with_the_vectors_not_with_their_pairs(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dups, "BLOCK", 25)
+    monkeypatch.setattr(embedding_dups, "CELL", 100)
+    written = {}
+    for n in (400, 1600):
+        before = _shuffled(spark)
+        table = _table(spark, range(n), np.random.default_rng(n).normal(size=(n, 64)).tolist())
+        assert near_duplicates(table).where("n_links = 0 AND kept").count() == n
+        written[n] = sum(size for f, size in _shuffled(spark).items() if f not in before)
+    assert written[1600] < 8 * written[400]  # pairs: 16 times
