@@ -47,6 +47,7 @@ LEFT = 16           # groups that meet their partners in one job
 MANY = 2            # copies per class from which they are merged before they are dealt to groups
 # Bounds use float32 distances: beyond the reach they are exact to the first, near 0 to the second.
 SLACK, SLACK_NEAR = 1e-5, 2e-3
+LARGE = 2048        # pairs of children that are compared as a product of matrices
 FEW, NARROW = 8, 0.3  # nodes of so few members are not kept at wider radii
 
 
@@ -183,31 +184,58 @@ def traverse(s: Tree, t: Tree, exact_s: np.ndarray, exact_t: np.ndarray, weight_
         singles(i[single], j[single])
         for a, b in zip(i[leaf & ~single].tolist(), j[leaf & ~single].tolist()):
             leaves(a, b)
+        i, j = i[~leaf], j[~leaf]
+        # open both nodes; one without children stands for itself
+        (from_i, m), (from_j, n) = _opened(s, i), _opened(t, j)
+        large = m * n > LARGE
         next_i, next_j = [], []
-        for a, b in zip(i[~leaf].tolist(), j[~leaf].tolist()):
-            # open both nodes; one without children stands for itself
-            left = np.arange(s.first[a], s.last[a]) if s.last[a] > s.first[a] else np.array([a])
-            right = np.arange(t.first[b], t.last[b]) if t.last[b] > t.first[b] else np.array([b])
+        for some in _portions(np.flatnonzero(~large), m * n):
+            sizes = (m * n)[some]
+            of = np.repeat(some, sizes)
+            at = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            u, v = from_i[of] + at // n[of], from_j[of] + at % n[of]
+            if same:
+                keep = (i[of] != j[of]) | (u <= v)
+                u, v = u[keep], v[keep]
+            u, v = bounded(u, v, centres(u, v))
+            next_i.append(u)
+            next_j.append(v)
+        for x in np.flatnonzero(large).tolist():
+            a, b, left, right = i[x], j[x], np.arange(from_i[x], from_i[x] + m[x]), np.arange(from_j[x], from_j[x] + n[x])
+            hits = []
             # single vectors and wider nodes apart: each has its own bound for all
             for rows, columns in itertools.product(_by_width(s, left), _by_width(t, right)):
                 y = t.x[t.centre[columns]]
                 limit = 1 - (s.radius[rows].max() + t.radius[columns].max() + reach + 2 * SLACK) ** 2 / 2
-                for at in range(0, len(rows), 512):
-                    some = rows[at:at + 512]
+                for at in range(0, len(rows), 128):
+                    some = rows[at:at + 128]
                     dots = s.x[s.centre[some]] @ y.T
                     p, q = np.divmod(np.flatnonzero(dots >= limit), len(columns))
-                    u, v, dot = some[p], columns[q], dots[p, q]
-                    if same and a == b:
-                        keep = u <= v
-                        u, v, dot = u[keep], v[keep], dot[keep]
-                    u, v = bounded(u, v, dot)
-                    next_i.append(u)
-                    next_j.append(v)
+                    hits.append((some[p], columns[q], dots[p, q]))
+            u, v, dot = (np.concatenate(x) for x in zip(*hits))
+            if same and a == b:
+                keep = u <= v
+                u, v, dot = u[keep], v[keep], dot[keep]
+            u, v = bounded(u, v, dot)
+            next_i.append(u)
+            next_j.append(v)
         i = np.concatenate(next_i) if next_i else np.empty(0, np.int64)
         j = np.concatenate(next_j) if next_j else np.empty(0, np.int64)
     return out
 
 
+def _opened(tree: Tree, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first child and the number of children; a node without any counts as its own."""
+    children = tree.last[nodes] - tree.first[nodes]
+    return np.where(children > 0, tree.first[nodes], nodes), np.maximum(children, 1)
+
+
+def _portions(which: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """``which`` in pieces whose sizes add up to about 16 times ``LARGE``."""
+    if len(which):
+        yield from np.split(which, np.flatnonzero(np.diff(np.cumsum(sizes[which]) // (16 * LARGE))) + 1)
+
+
 def _by_width(tree: Tree, nodes: np.ndarray) -> list[np.ndarray]:
     wide = tree.radius[nodes] > 0
     return [part for part in (nodes[~wide], nodes[wide]) if len(part)]
