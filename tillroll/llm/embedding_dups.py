@@ -41,6 +41,7 @@ BLOCK = 2048        # vectors a block holds on average
 CELL = 4 * BLOCK    # vectors a pivot's cell holds on average
 PIVOTS = 2048       # pivots at most
 SAMPLE = 20         # sampled vectors per pivot
+SAMPLED = 64 << 20  # bytes of sampled vectors at most: long vectors have fewer pivots
 GROUP = 8 << 20     # bytes of a group of blocks, one block at least
 GROUPS = 8          # groups of a small table; a larger one has more
 LEFT = 16           # groups that meet their partners in one job
@@ -321,8 +322,8 @@ def _links(rows: DataFrame, classes: DataFrame, n: int, copies: int, dim: int, t
     say that class a has n linked vectors in other classes.  ``rows`` are
     ``copies`` vectors of the length ``dim``, of ``n`` classes."""
     spark = rows.sparkSession
-    k = max(1, min(PIVOTS, n // CELL))
-    some = classes.select("h1", "h2").orderBy("h2", "h1").limit(SAMPLE * k)  # bounded by PIVOTS * SAMPLE
+    k = max(1, min(PIVOTS, n // CELL, SAMPLED // (SAMPLE * dim * 8)))
+    some = classes.select("h1", "h2").orderBy("h2", "h1").limit(SAMPLE * k)  # bounded by PIVOTS * SAMPLE and SAMPLED
     sample = rows.join(F.broadcast(some), ["h1", "h2"]).groupBy("h1", "h2").agg(F.first("v").alias("v")).toArrow().sort_by([("h2", "ascending"), ("h1", "ascending")])
     pivots = _pivots(_unit(_matrix(sample["v"])), k)
 
